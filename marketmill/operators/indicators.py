@@ -8,10 +8,9 @@ number of trading days, a few thousand rows, however much an instrument trades.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-SERIES = Window.partitionBy("stock_id").orderBy("trade_date")
 # Rows before a day that its values depend on: 19 for the 20-row mean.
 HISTORY_ROWS = 19
 
@@ -21,12 +20,16 @@ FACT_COLUMNS = [
 ]
 
 
+def series() -> WindowSpec:
+    return Window.partitionBy("stock_id").orderBy("trade_date")
+
+
 def _mean_of_last(value: Column | str, rows: int) -> Column:
-    return F.avg(value).over(SERIES.rowsBetween(1 - rows, Window.currentRow))
+    return F.avg(value).over(series().rowsBetween(1 - rows, Window.currentRow))
 
 
 def with_prev_close(quotes: DataFrame) -> DataFrame:
-    return quotes.withColumn("prev_close_price", F.lag("close_price").over(SERIES))
+    return quotes.withColumn("prev_close_price", F.lag("close_price").over(series()))
 
 
 def with_gain_loss(priced: DataFrame) -> DataFrame:

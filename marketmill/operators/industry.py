@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 KEYS = ["trade_date", "industry_code", "market"]
-# At most one row per industry, market and day: a partition is bounded by the calendar.
-INDEX_SERIES = Window.partitionBy("industry_code", "market").orderBy("trade_date")
 
 
 def with_weight_basis(quotes: DataFrame) -> DataFrame:
@@ -68,8 +66,12 @@ def with_industry_name(daily: DataFrame, dimension: DataFrame) -> DataFrame:
 
 
 def with_daily_return(daily: DataFrame) -> DataFrame:
-    """Percent change against the previous row, only between rows weighted the same way."""
-    before = F.lag(F.struct("weighting_method", "weighted_avg_price")).over(INDEX_SERIES)
+    """Percent change against the previous row, only between rows weighted the same way.
+
+    There is one row per industry, market and day, so the calendar bounds a window partition.
+    """
+    series = Window.partitionBy("industry_code", "market").orderBy("trade_date")
+    before = F.lag(F.struct("weighting_method", "weighted_avg_price")).over(series)
     paired = daily.withColumn("before", before)
     price, prior = F.col("weighted_avg_price"), F.col("before.weighted_avg_price")
     change = F.round((price - prior) / F.nullif(prior, F.lit(0.0)) * 100, 2)
