@@ -759,9 +759,9 @@ def dq_freshness(spark, sf):
 
 
 def _completeness(spark, sf, market: str, official_only: bool) -> DataFrame:
-    quotes = _dated(P.clean_quotes(spark, sf, "events")).where(F.col("market") == market)
+    quotes = _dated(P.clean_quotes(spark, sf, "events"))
     requested = B.requested_days(spark, "1998-06-10", "1998-07-20")
-    return shown(V.completeness(requested, quotes, P.official_of(spark, sf, market), official_only), "ratio")
+    return shown(V.completeness(requested, quotes, P.official(spark, sf), market, official_only), "ratio")
 
 
 @query

@@ -102,11 +102,12 @@ def _raw(spark: SparkSession, sf: str, source: str, expressions: list[str], name
 
 
 def raw_a(spark, sf, source: str = "lineitem") -> DataFrame:
-    return _raw(spark, sf, source, raw_row_a(_f2, _f0), S.RAW_ROW_A.names)
+    """Exchange A's raw text, kept as a table: parsing starts from stored text, not from formatting."""
+    return _stored(spark, sf, f"raw-a-{source}", lambda: _raw(spark, sf, source, raw_row_a(_f2, _f0), S.RAW_ROW_A.names))
 
 
 def raw_b(spark, sf, source: str = "lineitem") -> DataFrame:
-    return _raw(spark, sf, source, raw_row_b(_f2, _f0), S.RAW_ROW_B.names)
+    return _stored(spark, sf, f"raw-b-{source}", lambda: _raw(spark, sf, source, raw_row_b(_f2, _f0), S.RAW_ROW_B.names))
 
 
 def of_market(rows: DataFrame, market: str) -> DataFrame:
@@ -115,6 +116,10 @@ def of_market(rows: DataFrame, market: str) -> DataFrame:
 
 
 def payloads(spark, sf, side: str = "a", source: str = "lineitem") -> DataFrame:
+    return _stored(spark, sf, f"payloads-{side}-{source}", lambda: _payloads(spark, sf, side, source))
+
+
+def _payloads(spark, sf, side: str, source: str) -> DataFrame:
     """One payload per trade, without grouping.
 
     Every trade of order line 6 brings a second, cut-off row; some payloads are
@@ -122,10 +127,10 @@ def payloads(spark, sf, side: str = "a", source: str = "lineitem") -> DataFrame:
     column less.
     """
     row = raw_row_a(_f2, _f0) if side == "a" else raw_row_b(_f2, _f0)
-    full = f"array({', '.join(row)})"
+    cells = f"array({', '.join(row)}) as cells"
     header = S.RAW_FIELDS_A if side == "a" else S.RAW_FIELDS_B
     expected = F.array(*[F.lit(f) for f in header])
-    return trades(spark, sf, source).select(
+    return trades(spark, sf, source).select("*", F.expr(cells)).select(
         F.expr("cast(cast(l_shipdate as date) as string)").alias("dt"),
         F.expr(MARKET).alias("market_hint"),
         "l_orderkey", "l_linenumber",
@@ -133,8 +138,7 @@ def payloads(spark, sf, side: str = "a", source: str = "lineitem") -> DataFrame:
         .when(F.col("l_linenumber") == 5, F.slice(expected, 1, len(header) - 1))
         .otherwise(expected).alias("fields"),
         F.expr(
-            f"case when l_orderkey % 23 = 0 then null when l_linenumber = 6 then array({full}, slice({full}, 1, 10)) "
-            f"else array({full}) end"
+            "case when l_orderkey % 23 = 0 then null when l_linenumber = 6 then array(cells, slice(cells, 1, 10)) else array(cells) end"
         ).alias("data"),
     )
 
@@ -344,6 +348,10 @@ def _once(spark: SparkSession, sf: str, name: str, write) -> str:
     return _LANDED[key]
 
 
+def _stored(spark: SparkSession, sf: str, name: str, make) -> DataFrame:
+    return spark.read.parquet(_once(spark, sf, name, lambda path: make().write.parquet(path)))
+
+
 def raw_lake(spark, sf, *sources: str) -> str:
     """Root of a raw lake with the asked sources landed in it."""
     root = _once(spark, sf, "raw", lambda path: None)

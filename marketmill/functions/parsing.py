@@ -16,7 +16,7 @@ ERA_OFFSET = 1911
 
 def numeric(text: Column, dtype: str) -> Column:
     """Number without thousands separators; null for placeholders and anything that does not fit."""
-    plain = F.trim(F.translate(text, ",", ""))
+    plain = F.trim(F.replace(text, F.lit(","), F.lit("")))
     return F.when(plain.rlike(NUMBER), plain.try_cast(dtype))
 
 

@@ -62,7 +62,7 @@ def missing_instruments(quotes: DataFrame, universe: DataFrame, since_listing: b
     """
     seen = quotes.select("market", "dt", "stock_id").distinct()
     by_day = Window.partitionBy("market").orderBy("dt")
-    days = quotes.select("market", "dt").distinct().withColumn("day_no", F.row_number().over(by_day))
+    days = seen.select("market", "dt").distinct().withColumn("day_no", F.row_number().over(by_day))
     last = days.groupBy("market").agg(F.max("day_no").alias("last_no"))
 
     listed = universe.select("market", "stock_id", "company_name", "listing_date")
@@ -123,21 +123,23 @@ def completeness(
     requested: DataFrame,
     quotes: DataFrame,
     official: DataFrame,
+    market: str,
     official_only: bool,
     min_ratio: float = 0.95,
 ) -> DataFrame:
-    """Share of the official list present on each requested day of one market.
+    """Share of a market's official list present on each requested day.
 
     With official_only the numerator counts list members only; without it every
     id counts, so the share can pass 1 and hide gaps. A day without rows passes.
     """
-    ids = quotes.select("dt", "stock_id")
-    counted = ids.join(official.select("stock_id"), "stock_id", "left_semi") if official_only else ids
-    size = official.agg(F.count_distinct("stock_id").alias("n")).scalar()
-    landed = ids.select("dt").distinct()
-    per_day = landed.join(counted.groupBy("dt").agg(F.count_distinct("stock_id").alias("present")), "dt", "left")
+    ids = quotes.where(F.col("market") == market).select("market", "dt", "stock_id")
+    members = official.where(F.col("market") == market).select("market", "stock_id").distinct()
+    counted = ids.join(members.select("stock_id"), "stock_id", "left_semi") if official_only else ids
+    size = members.agg(F.count(F.lit(1)).alias("n")).scalar()
+    landed = ids.select("dt").distinct().withColumn("landed", F.lit(True))
+    present = counted.groupBy("dt").agg(F.count_distinct("stock_id").alias("present"))
     judged = (
-        requested.select("dt").distinct().join(per_day.withColumn("landed", F.lit(True)), "dt", "left")
+        requested.select("dt").distinct().join(landed, "dt", "left").join(present, "dt", "left")
         .select(
             "dt",
             F.coalesce("landed", F.lit(False)).alias("landed"),
@@ -147,23 +149,18 @@ def completeness(
         .withColumn("ratio", F.when(F.col("official_count") > 0, F.col("present") / F.col("official_count")).otherwise(1.0))
         .withColumn("passed", ~F.col("landed") | (F.col("ratio") >= min_ratio))
     )
-    return judged.join(_missing_examples(ids, official), "dt", "left").select(
+    return judged.join(_missing_examples(ids, members), "dt", "left").select(
         "dt", "landed", "present", "official_count", "ratio", "passed",
         F.when(~F.col("passed"), F.col("missing_ids")).alias("missing_ids"),
     )
 
 
-def _missing_examples(ids: DataFrame, official: DataFrame) -> DataFrame:
-    """The first few absent list members of each day, as text; the rank limit is applied before the shuffle."""
-    one_market = F.lit("all")
-    absent = missing_instruments(
-        ids.withColumn("market", one_market),
-        official.select("stock_id").distinct().select(
-            one_market.alias("market"), "stock_id",
-            F.lit(None).cast("string").alias("company_name"), F.lit(None).cast("date").alias("listing_date"),
-        ),
-        since_listing=False,
+def _missing_examples(ids: DataFrame, members: DataFrame) -> DataFrame:
+    """The first few absent members of each day, as text; the rank limit is applied before the shuffle."""
+    always = members.select(
+        "market", "stock_id", F.lit(None).cast("string").alias("company_name"), F.lit(None).cast("date").alias("listing_date")
     )
+    absent = missing_instruments(ids, always, since_listing=False)
     rank = F.row_number().over(Window.partitionBy("dt").orderBy("stock_id"))
     few = absent.withColumn("rank", rank).where(F.col("rank") <= EXAMPLES)
     return few.groupBy("dt").agg(F.concat_ws(",", F.sort_array(F.collect_list("stock_id"))).alias("missing_ids"))

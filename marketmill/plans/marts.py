@@ -76,7 +76,7 @@ def refresh_marts(
         return sinks.materialize(df, name, "marts", f"{root}/{name}")
 
     def written(name: str, like: DataFrame) -> DataFrame:
-        return spark.read.schema(like.schema).parquet(f"{root}/{name}")
+        return spark.read.schema(like.schema).parquet(f"{root}/{name}").select(*like.columns)
 
     lazy = build(quotes, universe, seed, sentiment)
     stocks = table("dim_stock", lazy.stock_dimension)

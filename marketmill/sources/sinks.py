@@ -72,7 +72,7 @@ def materialize(df: DataFrame, name: str, layer: str, path: str | None = None, b
         out = df
     elif by:
         replace_partitions(df, path, by)
-        out = spark.read.schema(df.schema).parquet(path)
+        out = spark.read.schema(df.schema).parquet(path).select(*df.columns)
     else:
         replace_snapshot(df, path)
         out = spark.read.schema(df.schema).parquet(path)
