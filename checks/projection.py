@@ -151,8 +151,8 @@ def clean_quotes(spark, sf, source: str = "lineitem") -> DataFrame:
     aggregate: a heavily traded instrument is combined before the shuffle.
     """
     key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    value_cents = F.round(F.col("l_extendedprice") * F.col("l_quantity") * 100).cast("bigint")
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    value_cents = F.rint(F.col("l_extendedprice") * F.col("l_quantity") * 100).cast("bigint")
     bars = (
         trades(spark, sf, source)
         .groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("day"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketmill import schemas as S
+from marketmill.operators import backlog as B
 from marketmill.operators import quotes as Q
 from marketmill.operators import sentiment as M
 from marketmill.operators import universe as U
@@ -63,5 +64,14 @@ def universe(spark: SparkSession, lake: str, out: str, multiline: bool = True) -
     sinks.replace_snapshot(U.merge_lists(*lists), out)
 
 
+def backlog(spark: SparkSession, lake: str, source: str, start: str, end: str) -> DataFrame:
+    """Days of a range still to be fetched: not in the lake, not confirmed to have no data."""
+    landed, marked = (
+        raw.landed_keys(spark, lake, name).select(F.col("dt").cast("date").alias("dt"))
+        for name in (source, f"{source}{sinks.NO_DATA_SUFFIX}")
+    )
+    return B.backlog_days(B.requested_days(spark, start, end), landed, marked)
+
+
 def official_ids(universe_table: DataFrame, market: str) -> DataFrame:
     return universe_table.where(F.col("market") == market).select("stock_id")

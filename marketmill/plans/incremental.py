@@ -15,20 +15,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketmill.operators import indicators, industry
-from marketmill.sources import sinks
+from marketmill.sources import raw, sinks
 
 STOCK_LOOKBACK_DAYS = 30
 OTHER_LOOKBACK_DAYS = 3
 
 
 def high_water_mark(spark: SparkSession, path: str, by: str) -> date | None:
-    """Newest date of a written table, from its partition column alone; None before the first build."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.schema(f"{by} date").parquet(path).agg(F.max(by)).first()[0]
-    except AnalysisException:
-        return None
+    """Newest date of a written table, from its folder names; None before the first build."""
+    newest = raw.partition_values(spark, path, by).agg(F.max(F.col(by).cast("date"))).first()
+    return newest[0]
 
 
 def rows_with_history(

@@ -167,11 +167,9 @@ def quality_gates(marts: Marts, today: date) -> DataFrame:
 def overview(industry_fact: DataFrame, sentiment_fact: DataFrame, market: str = S.MARKET_A) -> DataFrame:
     """One row: newest sentiment with its change, best and worst industry of the newest day."""
     ends = D.best_and_worst(D.industry_ranking(industry_fact, market))
-    # One row on either side, joined on a constant.
-    one = F.lit(1).alias("one")
-    return (
-        D.sentiment_change(sentiment_fact).select("*", one).join(ends.select("*", one), "one").drop("one")
-    )
+    columns = ends.columns
+    both = ends.select(F.struct(*columns).alias("ends")).scalar()
+    return D.sentiment_change(sentiment_fact).withColumn("ends", both).select("*", "ends.*").drop("ends")
 
 
 def merged_articles(feed: DataFrame, vendor: DataFrame, run_date: Column) -> DataFrame:

@@ -8,12 +8,12 @@ files start with an underscore, which Spark leaves out by itself.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketmill import schemas as S
 from marketmill.operators.quotes import with_trade_date
-from marketmill.operators.universe import latest_snapshot
 
 
 def partition_path(root: str, source: str, key: str, value: str) -> str:
@@ -25,6 +25,21 @@ def _json(spark: SparkSession, path: str, schema: str, multiline: bool, glob: st
     return (reader.option("pathGlobFilter", glob) if glob else reader).json(path)
 
 
+def partition_values(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Values of a partition column that hold a file. File names are listed, no file is opened."""
+    try:
+        files = spark.read.format("binaryFile").load(path)
+    except AnalysisException:
+        return spark.createDataFrame([], f"{key} string")
+    value = F.regexp_extract("path", f"/{key}=([^/]+)/", 1)
+    return files.select(F.url_decode(value).alias(key)).where(F.col(key) != "").distinct()
+
+
+def landed_keys(spark: SparkSession, root: str, source: str, key: str = "dt") -> DataFrame:
+    """Days, or instruments, that a source has data for."""
+    return partition_values(spark, f"{root}/{source}", key)
+
+
 def quotes_day(spark: SparkSession, root: str, source: str, day: str, schema: str = S.RAW_DAY, multiline: bool = True) -> DataFrame:
     """One day's payload with its date attached; only that folder is listed."""
     payload = _json(spark, partition_path(root, source, "dt", day), schema, multiline)
@@ -48,10 +63,13 @@ def sentiment_payloads(spark: SparkSession, path: str, multiline: bool = True) -
 
 
 def universe_snapshot(spark: SparkSession, root: str, source: str, market: str, multiline: bool = True) -> DataFrame:
-    """The newest dated snapshot of an official list."""
+    """The newest dated snapshot of an official list; an error when there is none."""
+    newest = landed_keys(spark, root, source).agg(F.max("dt")).first()[0]
+    if newest is None:
+        raise ValueError(f"no snapshot of {source} under {root}")
     columns = [S.LIST_ID, S.LIST_COMPANY, S.LIST_SHORT_NAME, S.LIST_INDUSTRY, S.LIST_LISTING_DATE[market], "dt"]
     schema = ", ".join(f"`{c}` string" for c in columns)
-    return latest_snapshot(_json(spark, f"{root}/{source}", schema, multiline))
+    return _json(spark, f"{root}/{source}", schema, multiline).where(F.col("dt") == newest)
 
 
 def seed_codes(spark: SparkSession, path: str) -> DataFrame:

@@ -8,12 +8,16 @@ tasks, which a plain repartition by the column would put into one.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketmill.operators.backlog import without_days
 from marketmill.operators.quotes import merge_sources
 
+NO_DATA_SUFFIX = "_no_data"
+
 
 def replace_partitions(df: DataFrame, path: str, by: str = "dt", fmt: str = "parquet") -> None:
     """Overwrite the partitions that occur in the frame; all others stay as they are."""
@@ -56,10 +60,21 @@ def requeue_days(lake: DataFrame, bad_days: DataFrame, new_path: str) -> None:
     replace_partitions(without_days(lake, bad_days), new_path)
 
 
-def append_run_log(rows: DataFrame, path: str) -> None:
-    """Append log rows, filed by run date."""
-    dated = rows.withColumn("run_date", F.to_date("run_timestamp"))
-    dated.write.mode("append").partitionBy("run_date").parquet(path)
+def mark_no_data(days: DataFrame, root: str, source: str) -> None:
+    """Remember days (dt) confirmed to have no data, beside the source, so that they leave the backlog."""
+    confirmed = days.select("dt", F.lit("confirmed_no_trading_day").alias("status"))
+    land_raw(confirmed, root, f"{source}{NO_DATA_SUFFIX}")
+
+
+def append_run_log(rows: DataFrame, path: str) -> bool:
+    """Append log rows, filed by run date. A log that cannot be written warns and never fails the caller."""
+    try:
+        dated = rows.withColumn("run_date", F.to_date("run_timestamp"))
+        dated.write.mode("append").partitionBy("run_date").parquet(path)
+        return True
+    except Exception as error:  # noqa: BLE001 - the run itself succeeded
+        warnings.warn(f"run log not written: {error}", stacklevel=2)
+        return False
 
 
 def materialize(df: DataFrame, name: str, layer: str, path: str | None = None, by: str | None = None) -> DataFrame:

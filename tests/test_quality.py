@@ -102,7 +102,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["fact_stock_daily", "market_obt", "missing_anti", "clean_gap_scan", "completeness_b", "sentiment_asof", "industry_return_pct", "job_articles", "job_quality_gates"])
+@pytest.mark.parametrize("name", ["fact_stock_daily", "market_obt", "missing_anti", "clean_gap_scan", "completeness_b", "sentiment_asof", "industry_return_pct", "job_articles", "job_quality_gates", "job_dashboard_overview"])
 def test_no_nested_loops_and_no_python(spark, name):
     plan = plan_of(catalog.QUERIES[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):

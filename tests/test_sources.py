@@ -1,13 +1,14 @@
 """The raw lake as it is laid out by the fetchers: small hand-written files."""
 
 import json
+from datetime import datetime
 
 import pytest
 
 from marketmill import schemas as S
 from marketmill.operators import quotes as Q
 from marketmill.plans import cleaning
-from marketmill.sources import raw
+from marketmill.sources import raw, sinks
 
 
 def put(root, path, content):
@@ -58,6 +59,32 @@ def test_readers_keep_text_keys(spark, lake):
     assert [(r[S.LIST_ID], r[S.LIST_INDUSTRY], r.dt) for r in newest] == [("0050", "01", "2026-07-08")]
 
 
+def test_a_missing_snapshot_is_an_error(spark, lake):
+    with pytest.raises(ValueError):
+        raw.universe_snapshot(spark, str(lake), "universe_c", S.MARKET_A)
+
+
+def test_landed_keys_open_no_file(spark, lake):
+    plan = raw.landed_keys(spark, str(lake), "quotes_a")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string>" in plan
+
+
+def test_backlog_over_the_lake(spark, lake):
+    root = str(lake)
+    assert sorted(r.dt for r in raw.landed_keys(spark, root, "quotes_a").collect()) == ["2026-07-08", "2026-07-09"]
+    assert [r.stock_id for r in raw.landed_keys(spark, root, "instrument_history", "stock_id").collect()] == ["0051"]
+    days = lambda: [str(r.dt) for r in cleaning.backlog(spark, root, "quotes_a", "2026-07-07", "2026-07-11").orderBy("dt").collect()]
+    assert days() == ["2026-07-07", "2026-07-10", "2026-07-11"]
+    sinks.mark_no_data(spark.createDataFrame([("2026-07-11",)], "dt string"), root, "quotes_a")
+    assert days() == ["2026-07-07", "2026-07-10"]
+
+
+def test_run_log_never_fails_the_caller(spark):
+    rows = spark.createDataFrame([(datetime(2026, 1, 1), "ok")], "run_timestamp timestamp_ntz, status string")
+    with pytest.warns(UserWarning):
+        assert sinks.append_run_log(rows, "nofs://nowhere/log") is False
+
+
 def test_shipped_seed_keeps_leading_zeros(spark):
     from pathlib import Path
 
