@@ -807,7 +807,11 @@ def payload_contract(spark, sf):
 def landing_status(spark, sf):
     attempts = P.fetch_attempts(spark, sf)
     past, current = Q.landing_status(attempts, confirm_empty=True), Q.landing_status(attempts, confirm_empty=False)
-    return past.withColumn("mode", F.lit("history")).unionByName(current.withColumn("mode", F.lit("daily")))
+    answers = attempts.withColumn("n_tables", F.col("n_tables") - 7)
+    single = Q.landing_status_of_answer(answers).select("dt", "status")
+    modes = {"history": past, "daily": current, "single": single}
+    first, *rest = [df.withColumn("mode", F.lit(name)) for name, df in modes.items()]
+    return first.unionByName(rest[0]).unionByName(rest[1])
 
 
 @query

@@ -11,7 +11,8 @@ import re
 
 from checks import projection as P
 from marketmill import schemas as S
-from marketmill.functions.articles import CONTENT_CHARS, NOT_CODES
+from marketmill.functions.articles import CONTENT_CHARS, SUMMARY_CHARS
+from marketmill.functions.parsing import OUTER_SPACE
 from marketmill.operators.calendar import RANGE_PRESETS, range_start
 
 
@@ -242,34 +243,36 @@ STEPS |= {
         select dag_id, task_id, count(*) as total_runs, count(*) filter (status = 'success') as success_runs,
             round(count(*) filter (status = 'success') / count(*) * 100, 1) as success_rate_pct,
             round(avg(duration_seconds), 1) as avg_duration_sec from run_log group by all""",
-    "pages_plain": r"""
-        select *, regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '^\s+|\s+$', '', 'g') as plain from pages""",
-    "page_codes": f"""
+    "pages_plain": f"""
+        select *, regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '{OUTER_SPACE}', '', 'g') as plain from pages""",
+    "page_codes": """
         select page_id, 1 as part, cast(page_id % 7 as varchar) as code from pages
         union all select page_id, 2, cast(page_id % 9 as varchar) from pages
         union all select page_id, 3, 'X' from pages where page_id % 2 = 0""",
     "feed": f"""
         select case when page_id % 3 = 0 then substr(md5(trim(url)), 1, 12) else cast(page_id as varchar) end as article_id,
-            trim(url) as title, substr(plain, 1, {CONTENT_CHARS}) as content, length(plain) as plain_chars, url, page_id as position,
+            trim(url) as title, 'page ' || cast(page_id as varchar) as summary, substr(plain, 1, {CONTENT_CHARS}) as content, length(plain) as plain_chars, url, page_id as position,
             case when page_id % 5 = 0 then '2024-02-01' else strftime(make_timestamp((1700000000 + page_id * 60) * 1000000), '%Y-%m-%dT%H:%M:%SZ') end as published_at,
-            'news,k' || cast(page_id % 4 as varchar) as keyword,
+            case when page_id % 4 > 0 then 'c' || cast(page_id % 4 as varchar) else '' end as category, 'news,k' || cast(page_id % 4 as varchar) as keyword,
             (select string_agg(code, ',' order by first_part) from (select code, min(part) as first_part from page_codes c
                 where c.page_id = p.page_id group by code)) as related_stocks,
-            'feed' as source_name, 0 as source_rank from pages_plain p where trim(url) <> ''""",
+            'feed' as source_name, '2024-02-01' as fetched_date, 0 as source_rank from pages_plain p where trim(url) <> ''""",
     "vendor_rows": """
-        select url as title, url, page_id as position, 1600000000 + page_id as epoch, cast(page_id as varchar) as symbol from pages
-        union all select text, 'doc/' || source || '/' || lang, doc_id, 1500000000 + doc_id, source from documents""",
-    "vendor": """
-        select substr(md5(url), 1, 12) as article_id, trim(title) as title, '' as content, 0 as plain_chars, url, position,
-            strftime(make_timestamp(epoch * 1000000), '%Y-%m-%dT%H:%M:%SZ') as published_at, '' as keyword, symbol as related_stocks,
-            'vendor' as source_name, 1 as source_rank from vendor_rows where trim(title) <> '' and url <> ''""",
+        select url as title, null as summary, url, page_id as position, 1600000000 + page_id as epoch, cast(page_id as varchar) as symbol from pages
+        union all select text, text, 'doc/' || source || '/' || lang, doc_id, 1500000000 + doc_id, source from documents""",
+    "vendor": f"""
+        select substr(md5(url), 1, 12) as article_id, regexp_replace(title, '{OUTER_SPACE}', '', 'g') as title,
+            coalesce(substr(regexp_replace(summary, '{OUTER_SPACE}', '', 'g'), 1, {SUMMARY_CHARS}), '') as summary, '' as content, 0 as plain_chars, url, position,
+            strftime(make_timestamp(epoch * 1000000), '%Y-%m-%dT%H:%M:%SZ') as published_at, 'tw_stock' as category, '' as keyword, symbol as related_stocks,
+            'vendor' as source_name, '2024-02-01' as fetched_date, 1 as source_rank from vendor_rows where regexp_replace(title, '{OUTER_SPACE}', '', 'g') <> '' and url <> ''""",
     "articles": """
         select * exclude (source_rank, position, rn) from (select *, row_number() over (partition by article_id order by source_rank, position) as rn
             from (select * from feed union all select * from vendor)) where rn = 1""",
-    "attempts": """
+    "attempts": "select * from all_attempts where attempt <= 3",
+    "all_attempts": """
         select cast(o_orderdate as date) as dt, o_orderkey % 4 + 1 as attempt, o_orderstatus <> 'P' as http_ok,
             o_orderpriority like '1%' as retryable, o_orderstatus = 'F' as is_ok, 7 + o_custkey % 4 as n_tables,
-            cast(trunc(o_totalprice / 100) as integer) as n_rows from orders where o_orderkey % 4 + 1 <= 3""",
+            cast(trunc(o_totalprice / 100) as integer) as n_rows from orders""",
     "attempt_kinds": """
         select dt, attempt, http_ok and not is_ok as is_empty,
             case when (not http_ok and not retryable) or (http_ok and is_ok and (n_tables < 9 or n_rows < 1105)) then 'unknown_failure'
@@ -310,7 +313,6 @@ _CALENDAR = """cast({0} as date) as calendar_date, cast(year({0}) as integer) as
 _SPINE = "(select unnest(generate_series(min(trade_date), max(trade_date), interval 1 day)) as d from bars_l)"
 _GAPS = """select a.market, a.dt, a.actual_count, e.expected_count, e.expected_count - a.actual_count as gap
     from actual_l a join expected_l e on a.market = e.market and a.dt = e.dt"""
-_PAGE_ID = "page_id"
 
 
 def _completeness(market: str, official_only: bool) -> str:
@@ -549,7 +551,9 @@ BODIES: dict[str, str] = {
         select 'daily', d.dt, coalesce((select case when bool_or(k.decision = 'unknown_failure') then 'unknown_failure' else 'success' end from daily_kinds k
             where k.dt = d.dt and k.decision is not null and k.attempt = (select min(attempt) from daily_kinds j where j.dt = d.dt and j.decision is not null)
             having count(*) > 0), 'unknown_failure')
-        from (select distinct dt from attempts) d""",
+        from (select distinct dt from attempts) d
+        union all
+        select 'single', dt, case when not http_ok then 'unknown_failure' when n_tables = 7 then 'no_data' else 'success' end from all_attempts""",
     "unparseable_scan": "select * from (" + " union all ".join(
         f"select '{c}' as column_name, {c} as value, count(*) as row_count from raw_a_l where {c} is not null and ({dbl(c)}) is null group by {c}"
         for c in A if c in LONGS_A | DOUBLES_A) + ")",
@@ -571,7 +575,7 @@ BODIES: dict[str, str] = {
             b.daily_return_pct as best_return_pct, w.industry_name as worst_industry, w.daily_return_pct as worst_return_pct
         from (select * from s order by index_date desc limit 1) s, (select * from r order by daily_return_pct desc, industry_code limit 1) b,
             (select * from r order by daily_return_pct, industry_code desc limit 1) w""",
-    "job_articles": "select article_id, title, content, plain_chars, url, published_at, keyword, related_stocks, source_name from articles",
+    "job_articles": "select article_id, title, summary, content, plain_chars, url, published_at, category, keyword, related_stocks, source_name, fetched_date from articles",
 }
 
 

@@ -301,7 +301,8 @@ def feed_articles(spark, sf) -> DataFrame:
     """Pages as the first publisher's articles; some lack an id, some a time."""
     return table(spark, sf, "pages").selectExpr(
         "case when page_id % 3 = 0 then '' else cast(page_id as string) end as source_id",
-        "url as title", "html as markup", "url", "page_id as position",
+        "url as title", "html as markup", "url", "page_id as position", "'  page ' || cast(page_id as string) || '\n' as summary",
+        "case when page_id % 4 > 0 then 'c' || cast(page_id % 4 as string) end as category",
         "case when page_id % 5 = 0 then 0L else 1700000000L + page_id * 60 end as epoch",
         "array('news', '', 'k' || cast(page_id % 4 as string), 'news') as keyword",
         "array(named_struct('code', cast(page_id % 7 as string), 'name', 'n'), named_struct('code', '', 'name', 'n')) as market",
@@ -313,11 +314,11 @@ def feed_articles(spark, sf) -> DataFrame:
 def vendor_articles(spark, sf) -> DataFrame:
     """The same pages and all documents from the second publisher; page addresses collide with the first."""
     pages = table(spark, sf, "pages").selectExpr(
-        "url as title", "url", "page_id as position", "1600000000L + page_id as epoch",
+        "url as title", "cast(null as string) as summary", "url", "page_id as position", "1600000000L + page_id as epoch",
         "cast(page_id as string) || case when page_id % 2 = 0 then '.TW' else '.TWO' end as symbol",
     )
     documents = table(spark, sf, "documents").selectExpr(
-        "text as title", "'doc/' || source || '/' || lang as url", "doc_id as position", "1500000000L + doc_id as epoch",
+        "text as title", "text as summary", "'doc/' || source || '/' || lang as url", "doc_id as position", "1500000000L + doc_id as epoch",
         "source as symbol",
     )
     return pages.unionByName(documents)

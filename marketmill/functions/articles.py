@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from marketmill.functions.parsing import stripped
+
 # Product-list segments that are not instrument codes.
 NOT_CODES = ["US", "USS", "TW", "TWS", "STOCK", "COMMON", "ETF"]
 CONTENT_CHARS = 2000
+SUMMARY_CHARS = 500
 ID_CHARS = 12
 
 
 def strip_html(markup: Column) -> Column:
     """Text with tags removed and outer white space trimmed."""
-    bare = F.regexp_replace(F.coalesce(markup, F.lit("")), "<[^>]+>", "")
-    return F.regexp_replace(bare, r"^\s+|\s+$", "")
+    return stripped(F.regexp_replace(F.coalesce(markup, F.lit("")), "<[^>]+>", ""))
 
 
 def article_id(source_id: Column, fallback: Column) -> Column:

@@ -10,6 +10,8 @@ from marketmill.schemas import MARKET_A, MARKET_B
 # What counts as a number, and the direction mark inside its tag.
 NUMBER = r"^[+-]?\d+\.?\d*$"
 DIRECTION_TAG = r"<p[^>]*>(.*?)</p>"
+# White space at either end, the ideographic space included.
+OUTER_SPACE = r"^[\s\x0b\x1c-\x1f\x85\p{Z}]+|[\s\x0b\x1c-\x1f\x85\p{Z}]+$"
 VENDOR_SUFFIX = {MARKET_A: ".TW", MARKET_B: ".TWO"}
 ERA_OFFSET = 1911
 
@@ -20,6 +22,10 @@ def numeric(text: Column, dtype: str) -> Column:
     return F.when(plain.rlike(NUMBER), plain.try_cast(dtype))
 
 
+def stripped(text: Column) -> Column:
+    return F.regexp_replace(text, OUTER_SPACE, "")
+
+
 def direction(markup: Column) -> Column:
     """Text of the first paragraph tag; empty when there is none."""
     return F.trim(F.regexp_extract(markup, DIRECTION_TAG, 1))
@@ -65,7 +71,7 @@ def iso_to_era(day: Column) -> Column:
 
 def split_symbol(raw: Column) -> Column:
     """struct(stock_id, market) of a vendor symbol; the market is UNKNOWN without a suffix."""
-    symbol = F.upper(F.regexp_replace(raw, r"^\s+|\s+$", ""))
+    symbol = F.upper(stripped(raw))
     suffix = F.regexp_extract(symbol, r"\.TWO?$", 0)
     market = (
         F.when(suffix == VENDOR_SUFFIX[MARKET_A], MARKET_A)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketmill.functions import articles as A
+from marketmill.functions.parsing import stripped
 
 
 def with_clean_content(articles: DataFrame, markup: str) -> DataFrame:
@@ -35,27 +36,33 @@ def first_per_id(*sources: DataFrame, position: str = "position") -> DataFrame:
 
 def format_feed(articles: DataFrame, run_date: Column) -> DataFrame:
     """Articles of the first publisher, from its nested fields to the common columns; untitled ones go."""
-    rows = articles.where(F.trim("title") != "")
-    return with_clean_content(rows, "markup").select(
-        A.article_id(F.col("source_id"), F.trim("title")).alias("article_id"),
-        F.trim("title").alias("title"),
+    title = stripped(F.col("title"))
+    return with_clean_content(articles.where(title != ""), "markup").select(
+        A.article_id(F.col("source_id"), title).alias("article_id"),
+        title.alias("title"),
+        F.coalesce(stripped(F.col("summary")), F.lit("")).alias("summary"),
         "content", "plain_chars", "url", "position",
         A.published_at(F.col("epoch"), run_date).alias("published_at"),
+        F.coalesce("category", F.lit("")).alias("category"),
         F.concat_ws(",", A.distinct_nonempty(F.col("keyword"))).alias("keyword"),
         F.concat_ws(",", A.related_codes(F.col("market"), F.col("products"), F.col("stocks"))).alias("related_stocks"),
         F.lit("feed").alias("source_name"),
+        run_date.alias("fetched_date"),
     )
 
 
 def format_vendor(articles: DataFrame, run_date: Column) -> DataFrame:
     """Articles of the second publisher, which carry a symbol instead of code lists; no title or address, no article."""
-    rows = articles.where((F.trim("title") != "") & (F.col("url") != ""))
-    return rows.select(
+    title = stripped(F.col("title"))
+    return articles.where((title != "") & (F.col("url") != "")).select(
         A.article_id(F.lit(None).cast("string"), F.col("url")).alias("article_id"),
-        F.trim("title").alias("title"),
+        title.alias("title"),
+        F.coalesce(F.substring(stripped(F.col("summary")), 1, A.SUMMARY_CHARS), F.lit("")).alias("summary"),
         F.lit("").alias("content"), F.lit(0).alias("plain_chars"), "url", "position",
         A.published_at(F.col("epoch"), run_date).alias("published_at"),
+        F.lit("tw_stock").alias("category"),
         F.lit("").alias("keyword"),
         F.regexp_replace("symbol", r"\.(TW|TWO)$", "").alias("related_stocks"),
         F.lit("vendor").alias("source_name"),
+        run_date.alias("fetched_date"),
     )

@@ -195,6 +195,13 @@ def landing_status(attempts: DataFrame, confirm_empty: bool) -> DataFrame:
     return per_day.select("dt", status.alias("status"))
 
 
+def landing_status_of_answer(answers: DataFrame) -> DataFrame:
+    """Verdict on single answers of the exchange that states a closed day by sending no tables."""
+    success, no_data, unknown = FETCH_STATUSES
+    status = F.when(~F.col("http_ok"), unknown).when(F.col("n_tables") == 0, no_data).otherwise(success)
+    return answers.withColumn("status", status)
+
+
 # -- audits ----------------------------------------------------------------
 
 def unparseable_values(rows: DataFrame, columns: list[str]) -> DataFrame:

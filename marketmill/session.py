@@ -10,8 +10,12 @@ from pyspark.sql import SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def build_session(app_name: str, master: str | None = None, time_zone: str = "Asia/Taipei") -> SparkSession:
-    """A session for the jobs; parallelism is left to AQE, resources to the deployment."""
+def build_session(app_name: str, master: str | None = None, time_zone: str = "Asia/Taipei", shuffle_partitions: int | None = None) -> SparkSession:
+    """A session for the jobs; resources are left to the deployment.
+
+    shuffle_partitions is where AQE starts merging from: at least the largest
+    shuffle divided by what one task should take. Too many cost little, too few spill.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", time_zone)
@@ -20,6 +24,8 @@ def build_session(app_name: str, master: str | None = None, time_zone: str = "As
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.parquet.compression.codec", "snappy")
     )
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", shuffle_partitions)
     return (builder.master(master) if master else builder).getOrCreate()
 
 

@@ -1,3 +1,5 @@
+import random
+import re
 from datetime import date
 
 import pytest
@@ -29,6 +31,21 @@ def test_numeric(spark, dtype, text, expected):
     assert values(spark, P.numeric(F.col("v"), dtype), [text]) == [expected]
 
 
+def test_numeric_fuzz(spark):
+    """Against the rule stated in Python, on random texts over the characters that matter."""
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("0123456789+-., eE") for _ in range(rng.randrange(8))) for _ in range(3000)]
+
+    def rule(text, kind):
+        plain = text.replace(",", "").strip(" ")
+        whole = r"[+-]?\d+" if kind is int else r"[+-]?\d+\.?\d*"
+        return kind(plain) if re.fullmatch(whole, plain) else None
+
+    rows = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = rows.select("v", P.numeric(F.col("v"), "double").alias("d"), P.numeric(F.col("v"), "bigint").alias("n")).collect()
+    assert [(r.d, r.n) for r in got] == [(rule(r.v, float), rule(r.v, int)) for r in got]
+
+
 def test_direction_and_sign(spark):
     rows = spark.createDataFrame(
         [("<p style='color:red'>+</p>", 2.5), ("<p style= color:green> - </p>", 1.0), ("<p>X</p>", 3.0), ("", 4.0), (None, 5.0)],
@@ -61,7 +78,7 @@ def test_dates(spark):
 
 
 def test_symbols(spark):
-    got = values(spark, P.split_symbol(F.col("v")), ["2330.TW", "6488.TWO", "2330", "  2330.tw  ", "\t1.two\n", "TW"])
+    got = values(spark, P.split_symbol(F.col("v")), ["2330.TW", "6488.TWO", "2330", "\u30002330.tw  ", "\t1.two\n", "TW"])
     assert [tuple(r) for r in got] == [
         ("2330", "TWSE"), ("6488", "TPEx"), ("2330", "UNKNOWN"), ("2330", "TWSE"), ("1", "TPEx"), ("TW", "UNKNOWN"),
     ]

@@ -62,6 +62,11 @@ def test_rules(spark):
     assert Q.duplicate_rows(keys, "k").count() == 2
 
 
+def test_landing_status_of_single_answers(spark):
+    answers = spark.createDataFrame([(False, 3), (True, 0), (True, 1)], "http_ok boolean, n_tables int")
+    assert [r.status for r in Q.landing_status_of_answer(answers).collect()] == ["unknown_failure", "no_data", "success"]
+
+
 def test_freshness_bounds(spark):
     loads = spark.createDataFrame([("a", datetime(2026, 1, 1)), ("b", datetime(2026, 1, 1, 18)), ("c", datetime(2026, 1, 2)), ("a", datetime(2025, 1, 1))], "source string, loaded_at timestamp_ntz")
     got = {r.source: (r.age_hours, r.state) for r in Q.freshness(loads, datetime(2026, 1, 3, 1)).collect()}
@@ -122,3 +127,9 @@ def test_missing_examples_are_limited_before_the_shuffle(spark):
 def test_market_filter_reaches_the_scan(spark):
     plan = plan_of(catalog.QUERIES["scan_clean_partitioned"](spark, SF))
     assert "EqualTo(market,TWSE)" in plan
+
+
+@pytest.mark.parametrize("name", ["sentiment_dedup_day", "article_dedup", "landing_status", "dq_unique", "completeness_a", "industry_daily_price", "unparseable_scan", "job_quality_gates"])
+def test_groups_combine_before_the_shuffle(spark, name):
+    """A key with a third of all rows reaches the reducers as partial results."""
+    assert "partial_" in plan_of(catalog.QUERIES[name](spark, SF))
