@@ -63,6 +63,10 @@ def _marts(spark, sf, source: str = "lineitem") -> marts.Marts:
     return marts.build(P.bars(spark, sf, source), P.universe(spark, sf), P.seed(spark, sf), P.sentiment(spark, sf))
 
 
+def _lake_quotes(spark, sf) -> DataFrame:
+    return K.stage_quotes(raw.clean_quotes(spark, P.clean_lake(spark, sf)))
+
+
 def _dated(quotes: DataFrame) -> DataFrame:
     return quotes.withColumn("dt", F.col("dt").cast("date"))
 
@@ -184,7 +188,7 @@ def load_day_partition(spark, sf):
 @query
 def incremental_replace(spark, sf):
     """Built to the eighteenth day, then refreshed twice; equals a rebuild."""
-    path, quotes = scratch_path(spark, "fact"), P.bars(spark, sf, "events")
+    path, quotes = scratch_path(spark, "fact"), _lake_quotes(spark, sf)
     for end in ("1998-07-03", "1998-07-08", "1998-07-15"):
         incremental.refresh_stock_fact(spark, quotes.where(F.col("trade_date") <= F.lit(end).cast("date")), path, lookback_days=5)
     return show_fact(spark.read.schema(I.stock_fact(quotes).schema).parquet(path))
@@ -874,7 +878,7 @@ def job_universe(spark, sf):
 @query
 def job_marts(spark, sf):
     """All marts, built to the twentieth day and refreshed to the last."""
-    root, quotes = scratch_path(spark, "marts"), P.bars(spark, sf, "events")
+    root, quotes = scratch_path(spark, "marts"), _lake_quotes(spark, sf)
     rest = P.universe(spark, sf), P.seed(spark, sf), P.sentiment(spark, sf)
     marts.refresh_marts(spark, quotes.where("trade_date <= date'1998-07-05'"), *rest, root)
     return show_wide(marts.refresh_marts(spark, quotes, *rest, root)["marts_market_obt"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from datetime import date, datetime
@@ -72,7 +73,7 @@ def main(sf: str, names: list[str]) -> int:
 
     spark = (
         SparkSession.builder.master("local[8]").appName("compare").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
+        .config("spark.sql.session.timeZone", os.environ.get("CHECK_ZONE", "UTC")).config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

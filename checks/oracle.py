@@ -88,7 +88,7 @@ def _as_is(names, **over: str) -> dict[str, str]:
 
 
 for f in ("l", "e"):
-    trade_order = "l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity"
+    trade_order = "l_orderkey, l_linenumber, l_extendedprice"
     keep = "cast(cast(l_shipdate as date) as varchar) as dt, l_orderkey, l_linenumber, l_suppkey"
     for side, row, names, longs, doubles in (
         ("a", P.raw_row_a(_f2, _f0), A, LONGS_A, DOUBLES_A),

@@ -24,6 +24,8 @@ TODAY = date(2001, 6, 30)
 RUN_ANCHOR = datetime(2024, 1, 31)
 # Days from the first event day, 2024-01-01, back to its market day, 1998-06-16.
 DAY_SHIFT = 9330
+# Above any price in cents.
+PRICE_ROOM = 10_000_000_000
 
 # Events with the columns of lineitem, in words both engines read.
 EVENT_TRADES = f"""
@@ -96,9 +98,15 @@ def trades(spark: SparkSession, sf: str, source: str = "lineitem") -> DataFrame:
     return table(spark, sf, "lineitem")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Give a single small file's rows to all cores; a table with more splits than cores is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def _raw(spark: SparkSession, sf: str, source: str, expressions: list[str], names: list[str]) -> DataFrame:
     row = [f"{e} as {n}" for e, n in zip(expressions, names, strict=True)]
-    return trades(spark, sf, source).selectExpr("cast(cast(l_shipdate as date) as string) as dt", *row)
+    return _spread(trades(spark, sf, source)).selectExpr("cast(cast(l_shipdate as date) as string) as dt", *row)
 
 
 def raw_a(spark, sf, source: str = "lineitem") -> DataFrame:
@@ -130,7 +138,7 @@ def _payloads(spark, sf, side: str, source: str) -> DataFrame:
     cells = f"array({', '.join(row)}) as cells"
     header = S.RAW_FIELDS_A if side == "a" else S.RAW_FIELDS_B
     expected = F.array(*[F.lit(f) for f in header])
-    return trades(spark, sf, source).select("*", F.expr(cells)).select(
+    return _spread(trades(spark, sf, source)).select("*", F.expr(cells)).select(
         F.expr("cast(cast(l_shipdate as date) as string)").alias("dt"),
         F.expr(MARKET).alias("market_hint"),
         "l_orderkey", "l_linenumber",
@@ -146,19 +154,21 @@ def _payloads(spark, sf, side: str, source: str) -> DataFrame:
 def clean_quotes(spark, sf, source: str = "lineitem") -> DataFrame:
     """Unified quotes: one row per instrument and day.
 
-    Open and close are the first and last trade by key. Sums run over whole
-    cents, so they are exact in any order, and everything is a mergeable
-    aggregate: a heavily traded instrument is combined before the shuffle.
+    Open and close are the first and last trade by key, then price: both are
+    packed into one number, so that a plain minimum and maximum find them. Sums
+    run over whole cents, so they are exact in any order. Everything stays on
+    hash aggregation and combines before the shuffle.
     """
-    key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
     cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    trade_no = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("decimal(20,0)")
+    trade = (trade_no * F.lit(PRICE_ROOM).cast("decimal(11,0)") + cents).cast("decimal(38,0)")
     value_cents = F.rint(F.col("l_extendedprice") * F.col("l_quantity") * 100).cast("bigint")
     bars = (
         trades(spark, sf, source)
         .groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("day"))
         .agg(
-            F.min_by("l_extendedprice", key).alias("open_price"),
-            F.max_by("l_extendedprice", key).alias("close_price"),
+            F.min(trade).alias("first_trade"),
+            F.max(trade).alias("last_trade"),
             F.max("l_extendedprice").alias("high_price"),
             F.min("l_extendedprice").alias("low_price"),
             F.sum(cents).alias("cents"),
@@ -172,7 +182,12 @@ def clean_quotes(spark, sf, source: str = "lineitem") -> DataFrame:
         )
     )
     second = "l_suppkey % 2 = 1"
-    return bars.selectExpr(
+    priced = bars.selectExpr(
+        "*",
+        f"cast(first_trade % {PRICE_ROOM} as double) / 100D as open_price",
+        f"cast(last_trade % {PRICE_ROOM} as double) / 100D as close_price",
+    )
+    return priced.selectExpr(
         "cast(day as string) as dt",
         "cast(l_suppkey as string) as stock_id",
         "'Stock ' || cast(l_suppkey as string) as stock_name",

@@ -118,8 +118,7 @@ def key_verdict(table: str, rows: DataFrame, *keys: str) -> DataFrame:
 
 def freshness(loads: DataFrame, anchor: datetime) -> DataFrame:
     """Age in hours of the newest load of each source: pass, warn or error."""
-    stamp = loads.schema["loaded_at"].dataType
-    now = F.lit(anchor).cast(stamp).cast("timestamp")
+    now = F.lit(str(anchor)).cast(loads.schema["loaded_at"].dataType).cast("timestamp")
     newest = loads.groupBy("source").agg(F.max("loaded_at").alias("last_loaded"))
     hours = (F.unix_micros(now) - F.unix_micros(F.col("last_loaded").cast("timestamp"))) / 3.6e9
     return newest.select(

@@ -22,7 +22,8 @@ def run_rows(runs: DataFrame) -> DataFrame:
 
 
 def recent(log: DataFrame, anchor: datetime) -> DataFrame:
-    return log.where(F.col("run_timestamp") >= F.lit(anchor - timedelta(days=WINDOW_DAYS)).cast(log.schema["run_timestamp"].dataType))
+    since = F.lit(str(anchor - timedelta(days=WINDOW_DAYS))).cast(log.schema["run_timestamp"].dataType)
+    return log.where(F.col("run_timestamp") >= since)
 
 
 def _pct(part: Column, whole: Column) -> Column:
@@ -68,7 +69,7 @@ def partition_runs(quotes: DataFrame, dag_id: str, task_id: str, run_timestamp:
     return quotes.groupBy(F.col("dt").cast("date").alias("target_date"), "market").agg(
         F.count(F.lit(1)).alias("row_count")
     ).select(
-        F.lit(run_timestamp).alias("run_timestamp"), F.lit(dag_id).alias("dag_id"),
+        F.lit(str(run_timestamp)).cast("timestamp").alias("run_timestamp"), F.lit(dag_id).alias("dag_id"),
         F.concat_ws(".", F.lit(task_id), "market").alias("task_id"), "target_date",
         F.lit("success").alias("status"), "row_count", F.lit(None).cast("double").alias("duration_seconds"),
     )

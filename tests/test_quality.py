@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import datetime
 
 import pytest
@@ -124,6 +125,12 @@ def test_missing_examples_are_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan_of(catalog.QUERIES["completeness_b"](spark, SF))
 
 
+def test_a_date_filter_prunes_folders_of_the_clean_lake(spark):
+    recent = catalog._lake_quotes(spark, SF).where(F.col("trade_date") >= F.lit("1998-07-10").cast("date"))
+    pruned = re.search(r"PartitionFilters: \[([^\]]*)\]", plan_of(recent)).group(1)
+    assert "dt" in pruned and "1998-07-10" in pruned
+
+
 def test_market_filter_reaches_the_scan(spark):
     plan = plan_of(catalog.QUERIES["scan_clean_partitioned"](spark, SF))
     assert "EqualTo(market,TWSE)" in plan
