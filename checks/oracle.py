@@ -150,11 +150,11 @@ for f in ("l", "e"):
     )
     STEPS[f"unified_history_{f}"] = f"select {_contract(**given)} from clean_history_{f}"
     STEPS[f"prev_{f}"] = (
-        f"select *, lag(close_price) over (partition by stock_id order by trade_date) as prev_close_price from bars_{f}"
+        f"select *, lag(close_price) over (partition by stock_id order by trade_date) as prior_close from bars_{f}"
     )
     STEPS[f"change_{f}"] = (
-        "select *, case when close_price > prev_close_price then close_price - prev_close_price else 0.0 end as gain, "
-        f"case when close_price < prev_close_price then prev_close_price - close_price else 0.0 end as loss from prev_{f}"
+        "select *, greatest(close_price - prior_close, 0.0) as gain, greatest(prior_close - close_price, 0.0) as loss "
+        f"from prev_{f}"
     )
 
     def _avg(col: str, back: int) -> str:
@@ -166,7 +166,7 @@ for f in ("l", "e"):
     )
     STEPS[f"fact_{f}"] = (
         f"select {', '.join(FACT_KEYS)}, ma5, ma20, case when mean_loss = 0 then 100.0 "
-        f"else 100 - 100 / (1 + mean_gain / mean_loss) end as rsi14 from means_{f}"
+        f"else 100 * mean_gain / (mean_gain + mean_loss) end as rsi14 from means_{f}"
     )
     STEPS[f"weighed_{f}"] = (
         "select *, coalesce(trade_value, trade_volume) as weight_basis, case when trade_value is not null then 'trade_value' "
@@ -174,17 +174,19 @@ for f in ("l", "e"):
     )
     STEPS[f"idaily_{f}"] = f"""
         select w.trade_date, u.industry_code, w.market, cast(sum(weight_basis) as bigint) as total_weight_basis,
-            sum(close_price * weight_basis) / nullif(cast(sum(weight_basis) as double), 0) as weighted_avg_price,
+            sum(close_price * weight_basis) / cast(sum(weight_basis) as double) as weighted_avg_price,
             count(distinct w.stock_id) as stock_count,
-            case when count(distinct weighting_method) > 1 then 'mixed' else max(weighting_method) end as weighting_method
+            case min(weighting_method) when max(weighting_method) then min(weighting_method) else 'mixed' end as weighting_method
         from weighed_{f} w join universe u on w.stock_id = u.stock_id
         where weight_basis > 0 and close_price is not null group by all"""
-    over = "over (partition by b.industry_code, b.market order by b.trade_date)"
+    STEPS[f"paired_{f}"] = f"""
+        select *, lag(weighted_avg_price) over series as prior_price, lag(weighting_method) over series as prior_method
+        from idaily_{f} window series as (partition by industry_code, market order by trade_date)"""
     STEPS[f"ifact_{f}"] = f"""
-        select b.trade_date, b.industry_code, d.industry_name, b.market, total_weight_basis, weighted_avg_price, stock_count,
-            weighting_method, case when weighting_method = lag(weighting_method) {over} then round((weighted_avg_price
-            - lag(weighted_avg_price) {over}) / nullif(lag(weighted_avg_price) {over}, 0) * 100, 2) + 0.0 end as daily_return_pct
-        from idaily_{f} b left join dim_industry d on b.industry_code = d.industry_code"""
+        select trade_date, industry_code, industry_name, market, total_weight_basis, weighted_avg_price, stock_count, weighting_method,
+            case when prior_method = weighting_method and prior_price <> 0
+                then round((weighted_avg_price - prior_price) / prior_price * 100, 2) + 0.0 end as daily_return_pct
+        from paired_{f} left join dim_industry using (industry_code)"""
     STEPS[f"obt_{f}"] = f"""
         select f.trade_date, f.stock_id, s.company_name, s.stock_name, f.market, s.industry_code, i.industry_name, f.open_price,
             f.high_price, f.low_price, f.close_price, f.trade_volume, f.trade_value, f.change_amount, f.ma5, f.ma20, f.rsi14,
@@ -479,7 +481,7 @@ BODIES: dict[str, str] = {
         count(*) over (partition by l_orderkey, l_linenumber) as row_count from lineitem) where row_count > 1""",
     "id_length_histogram": "select trade_value is null as is_subset, cast(length(stock_id) as integer) as id_length, count(*) as row_count from bars_l group by all",
     # windows
-    "prev_close": "select trade_date, stock_id, close_price, prev_close_price from prev_l",
+    "prev_close": "select trade_date, stock_id, close_price, prior_close from prev_l",
     "gain_loss": f"select trade_date, stock_id, {r4('gain')}, {r4('loss')} from change_l",
     "ma5": f"select trade_date, stock_id, {r4('ma5')} from fact_l",
     "ma20": f"select trade_date, stock_id, {r4('ma20')} from fact_l",
@@ -487,7 +489,7 @@ BODIES: dict[str, str] = {
     "fact_stock_daily": f"select {_FACT} from fact_l",
     "industry_return_pct": f"""select trade_date, industry_code, industry_name, market, total_weight_basis, {r4('weighted_avg_price')}, stock_count,
         weighting_method, daily_return_pct from ifact_l""",
-    "latest_vs_previous": f"""select stock_id, trade_date, close_price, {r4('close_price - coalesce(prev_close_price, close_price)', 'close_change')}
+    "latest_vs_previous": f"""select stock_id, trade_date, close_price, {r4('close_price - coalesce(prior_close, close_price)', 'close_change')}
         from prev_l p where trade_date = (select max(trade_date) from prev_l x where x.stock_id = p.stock_id)""",
     # sorts and limits
     "sentiment_last2": "select index_date, fear_greed_score, fear_greed_rating from sentiment order by index_date desc limit 2",

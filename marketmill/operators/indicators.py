@@ -29,12 +29,12 @@ def _mean_of_last(value: Column | str, rows: int) -> Column:
 
 
 def with_prev_close(quotes: DataFrame) -> DataFrame:
-    return quotes.withColumn("prev_close_price", F.lag("close_price").over(series()))
+    return quotes.withColumn("prior_close", F.lag("close_price").over(series()))
 
 
 def with_gain_loss(priced: DataFrame) -> DataFrame:
     """Size of the rise and of the fall since the previous row; 0 where either close is missing."""
-    change = F.col("close_price") - F.col("prev_close_price")
+    change = F.col("close_price") - F.col("prior_close")
     return priced.select(
         "*",
         F.when(change > 0, change).otherwise(0.0).alias("gain"),
@@ -53,7 +53,7 @@ def relative_strength(changes: DataFrame, rows: int = 14) -> DataFrame:
         "*", _mean_of_last("gain", rows).alias("mean_gain"), _mean_of_last("loss", rows).alias("mean_loss")
     )
     gain, loss = F.col("mean_gain"), F.col("mean_loss")
-    rsi = F.when(loss == 0, 100.0).otherwise(100 - 100 / (1 + gain / loss))
+    rsi = F.when(loss == 0, 100.0).otherwise(100 * gain / (gain + loss))
     return means.withColumn(f"rsi{rows}", rsi).drop("mean_gain", "mean_loss")
 
 
@@ -66,7 +66,7 @@ def stock_fact(quotes: DataFrame) -> DataFrame:
 
 def latest_vs_previous(quotes: DataFrame) -> DataFrame:
     """Newest close of every instrument and its change against the row before."""
-    prior = F.coalesce("prev_close_price", "close_price")
+    prior = F.coalesce("prior_close", "close_price")
     newest = F.max_by(F.struct("trade_date", "close_price", prior.alias("prior")), "trade_date")
     return (
         with_prev_close(quotes.select("stock_id", "trade_date", "close_price"))

@@ -51,7 +51,7 @@ def industry_daily(quotes: DataFrame, universe: DataFrame) -> DataFrame:
     return sums.select(
         *KEYS,
         "total_weight_basis",
-        (F.col("weighted_sum") / F.nullif(F.col("total_weight_basis"), F.lit(0))).alias("weighted_avg_price"),
+        (F.col("weighted_sum") / F.col("total_weight_basis")).alias("weighted_avg_price"),
         "stock_count",
         method.alias("weighting_method"),
     )
