@@ -134,15 +134,17 @@ def completeness(
     """
     ids = quotes.where(F.col("market") == market).select("market", "dt", "stock_id")
     members = official.where(F.col("market") == market).select("market", "stock_id").distinct()
-    counted = ids.join(members.select("stock_id"), "stock_id", "left_semi") if official_only else ids
+    if official_only:
+        counted = ids.join(members.select("stock_id", F.lit(True).alias("counts")), "stock_id", "left")
+    else:
+        counted = ids.withColumn("counts", F.lit(True))
     size = members.agg(F.count(F.lit(1)).alias("n")).scalar()
-    landed = ids.select("dt").distinct().withColumn("landed", F.lit(True))
-    present = counted.groupBy("dt").agg(F.count_distinct("stock_id").alias("present"))
+    per_day = counted.groupBy("dt").agg(F.count_distinct(F.when(F.col("counts"), F.col("stock_id"))).alias("present"))
     judged = (
-        requested.select("dt").distinct().join(landed, "dt", "left").join(present, "dt", "left")
+        requested.select("dt").distinct().join(per_day, "dt", "left")
         .select(
             "dt",
-            F.coalesce("landed", F.lit(False)).alias("landed"),
+            F.col("present").isNotNull().alias("landed"),
             F.coalesce("present", F.lit(0)).cast("bigint").alias("present"),
             size.alias("official_count"),
         )

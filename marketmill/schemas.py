@@ -33,17 +33,17 @@ RATINGS = ["extreme fear", "fear", "neutral", "greed", "extreme greed"]
 FETCH_STATUSES = ["success", "no_data", "unknown_failure"]
 
 
-def _strings(names: str) -> T.StructType:
+def strings(names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names.split()])
 
 
 # Positional layouts of one raw row; everything stays text until parsed.
-RAW_ROW_A = _strings(
+RAW_ROW_A = strings(
     "stock_id stock_name trade_volume transaction_count trade_value open_price high_price "
     "low_price close_price change_symbol_raw change_amount last_bid_price last_bid_volume "
     "last_ask_price last_ask_volume pe_ratio"
 )
-RAW_ROW_B = _strings(
+RAW_ROW_B = strings(
     "stock_id stock_name close_price change_symbol_raw open_price high_price low_price "
     "average_price trade_volume trade_value transaction_count last_bid_price last_bid_volume "
     "last_ask_price last_ask_volume issued_shares next_day_reference_price next_day_limit_up "

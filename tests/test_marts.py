@@ -154,6 +154,12 @@ def test_range_presets():
     ]
 
 
+def test_in_range(spark):
+    quotes = frame(spark, [quote("a", d, 1.0) for d in range(40)])
+    assert C.in_range(quotes, "5D", D0 + timedelta(days=39)).count() == 6
+    assert C.in_range(quotes, "ALL", D0, history_start=D0 + timedelta(days=30)).count() == 10
+
+
 def test_backlog(spark):
     days = lambda *ds: spark.createDataFrame([(D0 + timedelta(days=d),) for d in ds], "dt date")
     requested = B.requested_days(spark, "2026-01-01", "2026-01-05")

@@ -116,7 +116,7 @@ def test_flatten_is_positional_and_tolerates_ragged_rows(spark):
         [("2026-07-09", ["a", "b"], [["v1", "v2"], ["v3"]]), ("2026-07-10", None, None), ("2026-07-11", [], [])],
         "dt string, fields array<string>, data array<array<string>>",
     )
-    layout = S._strings("a b")
+    layout = S.strings("a b")
     got = Q.flatten_payloads(raw, layout)
     assert got.columns == ["dt", "a", "b"]
     assert [tuple(r) for r in got.collect()] == [("2026-07-09", "v1", "v2"), ("2026-07-09", "v3", None)]

@@ -5,6 +5,7 @@ from datetime import datetime
 
 import pytest
 
+from marketmill import __main__ as cli
 from marketmill import schemas as S
 from marketmill.operators import quotes as Q
 from marketmill.plans import cleaning
@@ -94,6 +95,28 @@ def test_shipped_seed_keeps_leading_zeros(spark):
     assert len(codes) == 36 and codes[0].industry_code == "01"
 
 
+def test_jobs_from_the_command_line(spark, lake, tmp_path):
+    put(lake, "sentiment_history/range=full/data.json", json.loads((lake / "sentiment.json").read_text()))
+
+    def job(name, *more):
+        return cli.run(spark, cli._arguments([name, "--lake", str(lake), "--clean", str(tmp_path / "c"), "--marts", str(tmp_path / "m"), *more]))
+
+    # The shared list of both markets would fan out, so exchange B gets its own instrument.
+    put(lake, "universe_b/dt=2026-07-09/data.json", [
+        {S.LIST_ID: "6488", S.LIST_COMPANY: "c", S.LIST_SHORT_NAME: "s", S.LIST_INDUSTRY: "24", S.LIST_LISTING_DATE[S.MARKET_B]: "20110101"}])
+    for name in ("universe", "backfill", "sentiment-history"):
+        job(name)
+    job("clean-day", "--date", "2026-07-09")
+    job("marts")
+    wide = spark.read.parquet(str(tmp_path / "m" / "marts_market_obt"))
+    named = {(r.stock_id, r.industry_name is not None) for r in wide.collect()}
+    assert named == {("0050", True), ("0051", False), ("6488", True)}
+    verdict = {(r.table_name, r.rule, r.column_name): r.failing_rows for r in job("gates", "--date", "2026-07-08").collect()}
+    assert verdict["fact_stock_daily", "not_future", "trade_date"] == 2
+    assert [str(r.dt) for r in job("backlog", "--start", "2026-07-08", "--end", "2026-07-10").collect()] == ["2026-07-10"]
+    assert job("gaps").isEmpty()
+
+
 def test_jobs_end_to_end(spark, lake, tmp_path):
     root, out = str(lake), str(tmp_path / "clean")
     official = spark.createDataFrame([("0050",), ("6488",)], "stock_id string")
