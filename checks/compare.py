@@ -38,15 +38,13 @@ def _normal(columns: list[str], rows) -> list[tuple]:
     return sorted(tuple(_cell(r[i]) for i in order) for r in rows)
 
 
-# Spark type -> kind of the SQL type; integers of any width are one kind.
-_SPARK_KINDS = {"bigint": "int", "int": "int", "double": "float", "string": "text", "date": "date", "boolean": "bool"}
-_SQL_KINDS = {"BIGINT": "int", "INTEGER": "int", "DOUBLE": "float", "VARCHAR": "text", "DATE": "date", "BOOLEAN": "bool"}
+# Spark type -> SQL type of the same column.
+_SQL_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
 
 
-def _kinds(df: DataFrame, names: list[str], sql_types: list[str]):
-    ours = {f.name: _SPARK_KINDS.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
-    for name, sql_type in zip(names, sql_types, strict=True):
-        yield name, ours[name], _SQL_KINDS.get(sql_type, sql_type)
+def _unlike(df: DataFrame, names: list[str], sql_types: list[str]) -> list[str]:
+    ours = {f.name: _SQL_TYPE.get(f.dataType.simpleString()) for f in df.schema}
+    return [f"{n}: {ours[n]} vs {t}" for n, t in zip(names, sql_types, strict=True) if ours[n] != t]
 
 
 def difference(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
@@ -57,9 +55,9 @@ def difference(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str |
     expected = found.fetchall()
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} vs {sorted(names)}"
-    wrong = [n for n, a, b in _kinds(df, names, found_types) if a != b]
-    if wrong:
-        return f"types differ: {wrong}"
+    unlike = _unlike(df, names, found_types)
+    if unlike:
+        return f"types differ: {unlike}"
     left, right = _normal(df.columns, df.collect()), _normal(names, expected)
     if left == right:
         return None

@@ -15,7 +15,7 @@ def with_clean_content(articles: DataFrame, markup: str) -> DataFrame:
     return articles.select(
         *[c for c in articles.columns if c != markup],
         F.substring(plain, 1, A.CONTENT_CHARS).alias("content"),
-        F.length(plain).alias("plain_chars"),
+        F.length(plain).cast("bigint").alias("plain_chars"),
     )
 
 
@@ -58,7 +58,7 @@ def format_vendor(articles: DataFrame, run_date: Column) -> DataFrame:
         A.article_id(F.lit(None).cast("string"), F.col("url")).alias("article_id"),
         title.alias("title"),
         F.coalesce(F.substring(stripped(F.col("summary")), 1, A.SUMMARY_CHARS), F.lit("")).alias("summary"),
-        F.lit("").alias("content"), F.lit(0).alias("plain_chars"), "url", "position",
+        F.lit("").alias("content"), F.lit(0).cast("bigint").alias("plain_chars"), "url", "position",
         A.published_at(F.col("epoch"), run_date).alias("published_at"),
         F.lit("tw_stock").alias("category"),
         F.lit("").alias("keyword"),
