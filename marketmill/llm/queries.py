@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from marketmill.llm import warc
+from marketmill.llm import quality, warc
 
 QUERIES = {
+    "op8_quality": quality.op8_quality,
     "op10_warc": warc.op10_warc,
 }
 
 SQL = {
+    "op8_quality": quality.OP8_SQL,
     "op10_warc": warc.OP10_SQL,
 }
