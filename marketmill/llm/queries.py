@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from marketmill.llm import quality, warc
+from marketmill.llm import decontam, quality, warc
 
 QUERIES = {
+    "op5_decontamination": decontam.op5_decontamination,
     "op8_quality": quality.op8_quality,
     "op10_warc": warc.op10_warc,
 }
