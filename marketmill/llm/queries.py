@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from marketmill.llm import decontam, quality, sentencepiece, warc
+from marketmill.llm import binary, decontam, quality, sentencepiece, warc
 
 QUERIES = {
+    "op4_token_ids": binary.op4_token_ids,
     "op1_sentencepiece": sentencepiece.op1_sentencepiece,
     "op5_decontamination": decontam.op5_decontamination,
     "op8_quality": quality.op8_quality,
