@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from marketmill.llm import binary, decontam, quality, sentencepiece, warc
+from marketmill.llm import binary, decontam, neardup, quality, sentencepiece, warc
 
 QUERIES = {
+    "op2_neardup": neardup.op2_neardup,
     "op4_token_ids": binary.op4_token_ids,
     "op1_sentencepiece": sentencepiece.op1_sentencepiece,
     "op5_decontamination": decontam.op5_decontamination,
