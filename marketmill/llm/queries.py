@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from marketmill.llm import binary, decontam, neardup, quality, sentencepiece, warc
+from marketmill.llm import binary, decontam, neardup, quality, sentencepiece, substring, suffixes, warc
 
 QUERIES = {
+    "op3_substring": substring.op3_substring,
+    "op9_suffix_array": suffixes.op9_suffix_array,
     "op2_neardup": neardup.op2_neardup,
     "op4_token_ids": binary.op4_token_ids,
     "op1_sentencepiece": sentencepiece.op1_sentencepiece,
