@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-SIZE = 400_000
+SIZE = 150_000
 
 
 class Memo:

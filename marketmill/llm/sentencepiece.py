@@ -30,6 +30,7 @@ with clashing names pass through. No rows give no rows.
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +90,9 @@ class Pieces:
         self.dummy_prefix = self.normalize("a") == SPACE + "a"
         #: Whether no piece goes on with a space after another character, or crosses a line break.
         self.cuts = not any(p[k + 1] == SPACE and p[k] != SPACE or "\n" in p for p in self.ids for k in range(len(p) - 1))
+        #: Parts end before the next space or line break, and before a full stop or comma behind a character that no piece joins to it.
+        joined = "".join(re.escape(c) for c in sorted({p[k] for p in self.ids for k in range(len(p) - 1) if p[k].isalnum() and p[k + 1] in ".,"}))
+        self.pattern = re.compile(rf"{SPACE}*[^\W_{joined}]+(?=[.,])|{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
         self.memo = Memo(self._search_all)
 
     def prepared(self, text: str) -> str:
@@ -99,7 +103,7 @@ class Pieces:
 
     def parts(self, text: str) -> list[str]:
         """The text cut at line breaks and before every space that follows another character, if no piece crosses such places."""
-        return _PARTS.findall(text) if self.cuts else [text] if text else []
+        return self.pattern.findall(text) if self.cuts else [text] if text else []
 
     def _search_all(self, parts: list[str]) -> list[bytes]:
         return [np.array(self.search(p), "<u4").tobytes() for p in parts]
@@ -178,8 +182,6 @@ class Pieces:
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
-_PARTS = re.compile(f"{SPACE}*[^{SPACE}\\n]+|{SPACE}+|\\n")
-
 _LOADED: dict[str, Pieces] = {}
 
 
@@ -215,15 +217,28 @@ def decode_column(docs: DataFrame, ids_col: str = "piece_ids", text_col: str = "
     return _appended(docs, ids_col, text_col, T.StringType(), lambda ids: pa.array([pieces(path).decode(x or b"") for x in ids], pa.string()))
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_ids, ids_crc32, text_crc32, round_trip: whether decoding the ids gives the text back."""
-    both = decode_column(encode_column(docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))))
-    return both.select(
-        "doc_id", (F.octet_length("piece_ids") / 4).cast("long").alias("n_ids"), F.crc32("piece_ids").alias("ids_crc32"),
-        F.crc32(F.col("decoded").cast("binary")).alias("text_crc32"), (F.col("decoded") == F.col("text")).alias("round_trip"),
-    )
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_file: str | None = None) -> DataFrame:
+    """id, n_ids, ids_crc32, text_crc32, round_trip: the figures of each text's ids and of the text they decode to, in one pass."""
+    path = model_file or public_model()
+    names = ["id", "n_ids", "ids_crc32", "text_crc32", "round_trip"]
+
+    def run(batches):
+        for batch in batches:
+            model = pieces(path)
+            rows = []
+            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = text.as_py() or ""
+                ids = model.encode(text)
+                back = model.decode(ids)
+                rows.append((id_, len(ids) // 4, zlib.crc32(ids), zlib.crc32(back.encode()), back == text))
+            columns = list(zip(*rows)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.bool_() if n == "round_trip" else pa.int64()) for n, c in zip(names, columns)], names)
+
+    prepare(docs.sparkSession)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return texts.mapInArrow(run, "id long, n_ids long, ids_crc32 long, text_crc32 long, round_trip boolean")
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded to ids and decoded again."""
-    return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return digests(spark.read.parquet(f"{sf_dir}/documents.parquet")).withColumnRenamed("id", "doc_id")
