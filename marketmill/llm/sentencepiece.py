@@ -92,7 +92,7 @@ class Pieces:
         self.cuts = not any(p[k + 1] == SPACE and p[k] != SPACE or "\n" in p for p in self.ids for k in range(len(p) - 1))
         #: Parts end before the next space or line break, and before a full stop or comma behind a character that no piece joins to it.
         joined = "".join(re.escape(c) for c in sorted({p[k] for p in self.ids for k in range(len(p) - 1) if p[k].isalnum() and p[k + 1] in ".,"}))
-        self.pattern = re.compile(rf"{SPACE}*[^\W_{joined}]+(?=[.,])|{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
+        self.pattern = re.compile(rf"{SPACE}*+[^\W_{joined}]++(?=[.,])|{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
         self.memo = Memo(self._search_all)
 
     def prepared(self, text: str) -> str:
