@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketmill.llm.shared import prepare
-from marketmill.llm.text import chunks, constants, mix, word_hashes
+from marketmill.llm.text import chunks, constants, mix, word_bounds, word_hashes
 
 #: Kept positions of each mask; the others are ignored. No two substitutions nearby defeat all of them.
 MASKS = ("111111111111", "110110110110", "101101101101", "111000111000", "000111000111", "110011001100")
@@ -41,25 +41,27 @@ BLOCK_TOKENS = 1_000_000
 
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
-def compared_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of the texts as they are compared, and for each text the range of its words."""
+def trimmed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts in lower case as one array, start and end of their words as they are compared, and for each text the range of its words."""
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     offsets = np.concatenate([[0], np.cumsum(lengths)])
     data = np.frombuffer((b"\n".join(texts) + b"\n").lower(), np.uint8)
-    space = np.concatenate([[True], _SPACE[data], [True]])
-    change = np.flatnonzero(space[1:] != space[:-1])
-    starts, ends = change[0::2].copy(), change[1::2].copy()
+    starts, ends = (x.copy() for x in word_bounds(data))
     while len(move := np.flatnonzero((starts < ends) & _PUNCTUATION[data[np.minimum(starts, len(data) - 1)]])):
         starts[move] += 1
     while len(move := np.flatnonzero((starts < ends) & _PUNCTUATION[data[ends - 1]])):
         ends[move] -= 1
     filled = starts < ends
     starts, ends = starts[filled], ends[filled]
-    return word_hashes(data, starts, ends), np.searchsorted(starts, offsets)
+    return data, starts, ends, np.searchsorted(starts, offsets)
+
+
+def compared_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of the texts as they are compared, and for each text the range of its words."""
+    data, starts, ends, bounds = trimmed_words(texts)
+    return word_hashes(data, starts, ends), bounds
 
 
 def masked_hashes(words: np.ndarray, mask: str, seed: int) -> np.ndarray:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from marketmill.llm import binary, decontam, neardup, quality, sentencepiece, substring, suffixes, warc
+from marketmill.llm import binary, decontam, neardup, quality, sentencepiece, substring, suffixes, toxicity, warc
 
 QUERIES = {
+    "op7_toxicity": toxicity.op7_toxicity,
     "op3_substring": substring.op3_substring,
     "op9_suffix_array": suffixes.op9_suffix_array,
     "op2_neardup": neardup.op2_neardup,
