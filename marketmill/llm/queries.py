@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from marketmill.llm import binary, decontam, neardup, quality, sentencepiece, substring, suffixes, toxicity, warc
+from marketmill.llm import binary, decontam, neardup, pii, quality, sentencepiece, substring, suffixes, toxicity, warc
 
 QUERIES = {
+    "op6_personal_data": pii.op6_personal_data,
     "op7_toxicity": toxicity.op7_toxicity,
     "op3_substring": substring.op3_substring,
     "op9_suffix_array": suffixes.op9_suffix_array,
