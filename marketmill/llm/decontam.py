@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketmill.llm.shared import prepare
+from marketmill.llm.shared import prepare, without_ids
 from marketmill.llm.text import chunks, constants, mix, word_bounds, word_hashes
 
 #: Kept positions of each mask; the others are ignored. No two substitutions nearby defeat all of them.
@@ -211,8 +211,7 @@ def find_overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The documents that no item contaminates, all columns. Rows with a null id stay."""
-    found = find_overlaps(docs, items, id_col, text_col, item_id_col, item_text_col).select(F.col("id").alias("_contaminated")).distinct()
-    return docs.join(found, F.col(id_col).cast("long") == F.col("_contaminated"), "left_anti")
+    return without_ids(docs, id_col, find_overlaps(docs, items, id_col, text_col, item_id_col, item_text_col).select("id"))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

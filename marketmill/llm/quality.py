@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketmill.llm.shared import SPACES, prepare, stored
+from marketmill.llm.shared import SPACES, new_name, prepare, stored
 from marketmill.llm.text import Words, chunks
 
 MIN_WORDS = 50
@@ -148,12 +148,10 @@ def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     verdicts = stored(quality_verdicts(docs, id_col, text_col, host_col).select("id", "host", "removed", "kept").where("not kept or size(removed) > 0"), "quality-verdicts").distinct()
     wanted = T.StructType(docs.schema.fields)
-    mark = "_removed"
-    while mark in docs.columns:
-        mark = f"_{mark}"
-    verdicts = verdicts.select(F.col("id").alias(f"{mark}_id"), F.col("host").alias(f"{mark}_host"), F.col("removed").alias(mark), F.col("kept").alias(f"{mark}_kept"))
-    joined = docs.join(verdicts, F.col(id_col).cast("long").eqNullSafe(F.col(f"{mark}_id")) & F.coalesce(F.col(host_col).cast("string"), F.lit("\0")).eqNullSafe(F.col(f"{mark}_host")), "left")
-    kept = joined.where(F.coalesce(f"{mark}_kept", F.lit(True)))
+    mark, other_id, other_host, other_kept = (new_name(docs, n) for n in ("_removed", "_other_id", "_other_host", "_other_kept"))
+    verdicts = verdicts.select(F.col("id").alias(other_id), F.col("host").alias(other_host), F.col("removed").alias(mark), F.col("kept").alias(other_kept))
+    joined = docs.join(verdicts, F.col(id_col).cast("long").eqNullSafe(F.col(other_id)) & F.coalesce(F.col(host_col).cast("string"), F.lit("\0")).eqNullSafe(F.col(other_host)), "left")
+    kept = joined.where(F.coalesce(other_kept, F.lit(True)))
     place = docs.columns.index(text_col)
 
     def rewrite(batches):

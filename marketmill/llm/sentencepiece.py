@@ -192,29 +192,44 @@ def pieces(model_file: str) -> Pieces:
     return _LOADED[model_file]
 
 
-def _appended(docs: DataFrame, source: str, column: str, kind: T.DataType, make) -> DataFrame:
-    """docs with one more last column, made from one of its columns batch by batch."""
+def _appended(docs: DataFrame, source: str, columns: dict[str, T.DataType], make) -> DataFrame:
+    """docs with more last columns, made from one of its columns batch by batch."""
     place = docs.columns.index(source)
-    fields = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
+    fields = [T.StructField(f"c{i}", kind) for i, kind in enumerate([f.dataType for f in docs.schema.fields] + list(columns.values()))]
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, make(batch.column(place).to_pylist())], names=[f"c{i}" for i in range(batch.num_columns + 1)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *make(batch.column(place))], names=[f.name for f in fields])
 
     prepare(docs.sparkSession)
-    return docs.mapInArrow(run, T.StructType([*fields, T.StructField(f"c{len(fields)}", kind)])).toDF(*docs.columns, column)
+    return docs.mapInArrow(run, T.StructType(fields)).toDF(*docs.columns, *columns)
 
 
 def encode_column(docs: DataFrame, text_col: str = "text", ids_col: str = "piece_ids", model_file: str | None = None) -> DataFrame:
     """docs with a last column of ids (little-endian unsigned 32-bit integers)."""
     path = model_file or public_model()
-    return _appended(docs, text_col, ids_col, T.BinaryType(), lambda texts: pa.array([pieces(path).encode(t) for t in texts], pa.binary()))
+    return _appended(docs, text_col, {ids_col: T.BinaryType()}, lambda texts: [pa.array([pieces(path).encode(t.as_py()) for t in texts], pa.binary())])
 
 
 def decode_column(docs: DataFrame, ids_col: str = "piece_ids", text_col: str = "decoded", model_file: str | None = None) -> DataFrame:
     """docs with a last column of the texts of its ids."""
     path = model_file or public_model()
-    return _appended(docs, ids_col, text_col, T.StringType(), lambda ids: pa.array([pieces(path).decode(x or b"") for x in ids], pa.string()))
+    return _appended(docs, ids_col, {text_col: T.StringType()}, lambda ids: [pa.array([pieces(path).decode(x.as_py() or b"") for x in ids], pa.string())])
+
+
+def encode_checked(docs: DataFrame, text_col: str = "text", ids_col: str = "piece_ids", check_col: str = "round_trip", model_file: str | None = None) -> DataFrame:
+    """docs with a last column of ids, and one that says whether they decode to the text, in one pass."""
+    path = model_file or public_model()
+
+    def make(texts):
+        model, ids, same = pieces(path), [], []
+        for text in texts:
+            text = text.as_py() or ""
+            ids.append(model.encode(text))
+            same.append(model.decode(ids[-1]) == text)
+        return [pa.array(ids, pa.binary()), pa.array(same, pa.bool_())]
+
+    return _appended(docs, text_col, {ids_col: T.BinaryType(), check_col: T.BooleanType()}, make)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_file: str | None = None) -> DataFrame:

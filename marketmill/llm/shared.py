@@ -33,6 +33,21 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def new_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, however its own are called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def without_ids(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows whose id (as long) is not in the one-column table `ids`; rows with a null id stay."""
+    mine, theirs = new_name(df, "_mine"), new_name(df, "_theirs")
+    keyed = df.withColumn(mine, F.col(id_col).cast("long"))
+    return keyed.join(ids.toDF(theirs).distinct(), F.col(mine) == F.col(theirs), "left_anti").drop(mine)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder for files that tasks write themselves."""
     path = scratch_path(spark, name)
