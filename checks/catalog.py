@@ -8,7 +8,7 @@ rounding tie.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +63,14 @@ def _marts(spark, sf, source: str = "lineitem") -> marts.Marts:
     return marts.build(P.bars(spark, sf, source), P.universe(spark, sf), P.seed(spark, sf), P.sentiment(spark, sf))
 
 
+def _stored_marts(spark, sf) -> marts.StoredMarts:
+    """Marts written once, those of the events; dashboards and gates read them."""
+    def write(root: str) -> None:
+        marts.refresh_marts(spark, P.bars(spark, sf, "events"), P.universe(spark, sf), P.seed(spark, sf), P.sentiment(spark, sf), root)
+
+    return marts.read_marts(spark, P.stored_once(spark, sf, "marts", write))
+
+
 def _lake_quotes(spark, sf) -> DataFrame:
     return K.stage_quotes(raw.clean_quotes(spark, P.clean_lake(spark, sf)))
 
@@ -207,8 +215,9 @@ def materialize_table(spark, sf):
 def run_log_append(spark, sf):
     path, quotes = scratch_path(spark, "runs"), P.clean_quotes(spark, sf, "events")
     for minute, task in enumerate(("clean", "load")):
-        sinks.append_run_log(L.partition_runs(quotes, "market", task, datetime(2024, 2, 1, 17, minute)), path)
-    return spark.read.parquet(path).select("target_date", "task_id", "status", "row_count")
+        began = datetime(2024, 2, 1, 17, minute)
+        sinks.append_run_log(L.partition_runs(quotes, "market", task, began, began + timedelta(seconds=90)), path)
+    return spark.read.parquet(path).select("target_date", "task_id", "status", "row_count", "duration_seconds")
 
 
 @query
@@ -393,7 +402,7 @@ def array_dedup_ordered(spark, sf):
     words = NF.distinct_nonempty(F.split("text", " "))
     return P.table(spark, sf, "documents").select(
         "doc_id", F.concat_ws(" ", words).alias("words"), F.size(words).cast("bigint").alias("word_count")
-    ).where("word_count > 0")
+    )
 
 
 # -- filters -----------------------------------------------------------------
@@ -446,7 +455,7 @@ def market_obt(spark, sf):
 
 @query
 def industry_vs_sentiment(spark, sf):
-    m = _marts(spark, sf)
+    m = _stored_marts(spark, sf)
     pairs = D.industry_vs_sentiment(m.industry_fact, m.sentiment_fact, "AMERICA", S.MARKET_A, ALL_HISTORY)
     return shown(pairs, "weighted_avg_price")
 
@@ -464,7 +473,15 @@ def listed_asof_count(spark, sf):
 
 @query
 def missing_anti(spark, sf):
-    return V.missing_instruments(_dated(P.clean_quotes(spark, sf)), P.universe(spark, sf))
+    return V.absence_intervals(_dated(P.clean_quotes(spark, sf)), P.universe(spark, sf))
+
+
+@query
+def raw_gap_days(spark, sf):
+    """The gap scan's days of one range with the instruments missing on them."""
+    quotes = _dated(P.clean_quotes(spark, sf))
+    asked = quotes.where("dt between date'1998-06-10' and date'1998-07-20'").select("market", "dt")
+    return V.missing_on(quotes, P.universe(spark, sf), asked)
 
 
 @query
@@ -475,7 +492,7 @@ def sentiment_asof(spark, sf):
 
 @query
 def scalar_latest_filter(spark, sf):
-    latest = D.latest_rows(_marts(spark, sf).industry_fact, S.MARKET_A)
+    latest = D.latest_rows(_stored_marts(spark, sf).industry_fact, S.MARKET_A)
     return shown(latest.select("trade_date", "industry_code", "weighted_avg_price", "daily_return_pct"), "weighted_avg_price")
 
 
@@ -594,12 +611,12 @@ def sentiment_last2(spark, sf):
 
 @query
 def industry_ranking_latest(spark, sf):
-    return shown(D.industry_ranking(_marts(spark, sf).industry_fact, S.MARKET_A), "weighted_avg_price")
+    return shown(D.industry_ranking(_stored_marts(spark, sf).industry_fact, S.MARKET_A), "weighted_avg_price")
 
 
 @query
 def best_worst_industry(spark, sf):
-    return D.best_and_worst(D.industry_ranking(_marts(spark, sf).industry_fact, S.MARKET_A))
+    return D.best_and_worst(D.industry_ranking(_stored_marts(spark, sf).industry_fact, S.MARKET_A))
 
 
 @query
@@ -609,7 +626,7 @@ def stock_series(spark, sf):
 
 @query
 def stock_info(spark, sf):
-    return D.stock_info(_marts(spark, sf).market_wide, "7")
+    return D.stock_info(_stored_marts(spark, sf).market_wide, "7")
 
 
 @query
@@ -759,13 +776,13 @@ def dq_freshness(spark, sf):
     loads = P.table(spark, sf, "events").select(
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("source"), F.col("ts").alias("loaded_at")
     )
-    return shown(Q.freshness(loads, datetime(2024, 2, 1)).drop("last_loaded"), "age_hours")
+    return shown(Q.freshness(loads, datetime(2024, 2, 1), ["user_1", "never_loaded"]).drop("last_loaded"), "age_hours")
 
 
 def _completeness(spark, sf, market: str, official_only: bool) -> DataFrame:
     quotes = _dated(P.clean_quotes(spark, sf, "events"))
     requested = B.requested_days(spark, "1998-06-10", "1998-07-20")
-    return shown(V.completeness(requested, quotes, P.official(spark, sf), market, official_only), "ratio")
+    return shown(V.completeness(requested, quotes, P.official(spark, sf), market, official_only, start="1998-06-10", end="1998-07-20"), "ratio")
 
 
 @query
@@ -886,12 +903,14 @@ def job_marts(spark, sf):
 
 @query
 def job_quality_gates(spark, sf):
-    return marts.quality_gates(_marts(spark, sf), P.TODAY)
+    loads = P.table(spark, sf, "events").select(F.lit("events").alias("source"), F.col("ts").alias("loaded_at"))
+    late = marts.freshness_gates(loads, datetime(2024, 1, 31), ["events", "never_loaded"])
+    return marts.quality_gates(_stored_marts(spark, sf), P.TODAY).unionByName(late)
 
 
 @query
 def job_dashboard_overview(spark, sf):
-    m = _marts(spark, sf)
+    m = _stored_marts(spark, sf)
     return shown(marts.overview(m.industry_fact, m.sentiment_fact), "score_change")
 
 

@@ -11,9 +11,20 @@ import re
 
 from checks import projection as P
 from marketmill import schemas as S
-from marketmill.functions.articles import CONTENT_CHARS, SUMMARY_CHARS
 from marketmill.functions.parsing import OUTER_SPACE
-from marketmill.operators.calendar import RANGE_PRESETS, range_start
+
+
+# First days of the named ranges, counted back by hand from 2001-06-30.
+RANGES_ON_2001_06_30 = {
+    "1D": "2001-06-29",
+    "5D": "2001-06-25",
+    "1M": "2001-05-31",
+    "6M": "2000-12-30",
+    "YTD": "2001-01-01",
+    "1Y": "2000-06-30",
+    "5Y": "1996-07-01",
+    "ALL": "2024-07-01",
+}
 
 
 def _f2(x: str) -> str:
@@ -228,8 +239,8 @@ STEPS |= {
     "clean_sentiment": f"select dt, score, {P.RATING.format('score')} as fear_greed_rating from scores",
     "sentiment": "select cast(dt as date) as index_date, score as fear_greed_score, fear_greed_rating from clean_sentiment",
     "records": f"""
-        select cast(epoch_us(ts) // 1000 - cast({P.DAY_SHIFT} as bigint) * 86400000 as double) as x, least(value, 100) as y,
-            {P.RATING.format('least(value, 100)')} as rating, ts from events""",
+        select cast(epoch_us(ts) // 1000 - cast({P.DAY_SHIFT} as bigint) * 86400000 as double) as x, value as y,
+            {P.RATING.format('value')} as rating, ts from events""",
     "per_day": f"""
         select cast(cast(ts as date) - {P.DAY_SHIFT} as varchar) as dt, round(last(y order by x, y, rating), 2) as score,
             last(rating order by x, y, rating) as fear_greed_rating from records group by 1""",
@@ -252,8 +263,8 @@ STEPS |= {
         union all select page_id, 2, cast(page_id % 9 as varchar) from pages
         union all select page_id, 3, 'X' from pages where page_id % 2 = 0""",
     "feed": f"""
-        select case when page_id % 3 = 0 then substr(md5(trim(url)), 1, 12) else cast(page_id as varchar) end as article_id,
-            trim(url) as title, 'page ' || cast(page_id as varchar) as summary, substr(plain, 1, {CONTENT_CHARS}) as content, length(plain) as plain_chars, url, page_id as position,
+        select case when page_id % 3 = 0 then md5(trim(url)) else cast(page_id as varchar) end as article_id,
+            trim(url) as title, 'page ' || cast(page_id as varchar) as summary, plain as content, length(plain) as plain_chars, url, page_id as position,
             case when page_id % 5 = 0 then '2024-02-01' else strftime(make_timestamp((1700000000 + page_id * 60) * 1000000), '%Y-%m-%dT%H:%M:%SZ') end as published_at,
             case when page_id % 4 > 0 then 'c' || cast(page_id % 4 as varchar) else '' end as category, 'news,k' || cast(page_id % 4 as varchar) as keyword,
             (select string_agg(code, ',' order by first_part) from (select code, min(part) as first_part from page_codes c
@@ -261,23 +272,22 @@ STEPS |= {
             'feed' as source_name, '2024-02-01' as fetched_date, 0 as source_rank from pages_plain p where trim(url) <> ''""",
     "vendor_rows": """
         select url as title, null as summary, url, page_id as position, 1600000000 + page_id as epoch, cast(page_id as varchar) as symbol from pages
-        union all select text, text, 'doc/' || source || '/' || lang, doc_id, 1500000000 + doc_id, source from documents""",
+        union all select text, text, 'doc/' || source || '/' || case when doc_id % 10 = 0 then lang else cast(doc_id as varchar) end, doc_id, 1500000000 + doc_id, source from documents""",
     "vendor": f"""
-        select substr(md5(url), 1, 12) as article_id, regexp_replace(title, '{OUTER_SPACE}', '', 'g') as title,
-            coalesce(substr(regexp_replace(summary, '{OUTER_SPACE}', '', 'g'), 1, {SUMMARY_CHARS}), '') as summary, '' as content, 0 as plain_chars, url, position,
+        select md5(url) as article_id, regexp_replace(title, '{OUTER_SPACE}', '', 'g') as title,
+            coalesce(regexp_replace(summary, '{OUTER_SPACE}', '', 'g'), '') as summary, '' as content, 0 as plain_chars, url, position,
             strftime(make_timestamp(epoch * 1000000), '%Y-%m-%dT%H:%M:%SZ') as published_at, 'tw_stock' as category, '' as keyword, symbol as related_stocks,
             'vendor' as source_name, '2024-02-01' as fetched_date, 1 as source_rank from vendor_rows where regexp_replace(title, '{OUTER_SPACE}', '', 'g') <> '' and url <> ''""",
     "articles": """
         select * exclude (source_rank, position, rn) from (select *, row_number() over (partition by article_id order by source_rank, position) as rn
             from (select * from feed union all select * from vendor)) where rn = 1""",
-    "attempts": "select * from all_attempts where attempt <= 3",
-    "all_attempts": """
+    "attempts": """
         select cast(o_orderdate as date) as dt, o_orderkey % 4 + 1 as attempt, o_orderstatus <> 'P' as http_ok,
             o_orderpriority like '1%' as retryable, o_orderstatus = 'F' as is_ok, 7 + o_custkey % 4 as n_tables,
             cast(trunc(o_totalprice / 100) as integer) as n_rows from orders""",
     "attempt_kinds": """
-        select dt, attempt, http_ok and not is_ok as is_empty,
-            case when (not http_ok and not retryable) or (http_ok and is_ok and (n_tables < 9 or n_rows < 1105)) then 'unknown_failure'
+        select dt, attempt, attempt <= 3 and http_ok and not is_ok as is_empty,
+            case when attempt > 3 then null when (not http_ok and not retryable) or (http_ok and is_ok and (n_tables < 9 or n_rows < 1105)) then 'unknown_failure'
                  when http_ok and is_ok then 'success' end as decision from attempts""",
     "history_mode": """
         select dt, coalesce((select case when min(k.attempt) is null then null
@@ -307,8 +317,9 @@ _OBT = (
     f"close_price, trade_volume, trade_value, change_amount, {r4('ma5')}, {r4('ma20')}, {r4('rsi14')}, "
     f"{r4('industry_weighted_price')}, fear_greed_score, fear_greed_rating"
 )
-_RANKED = """from ifact_l where market = 'TWSE' and daily_return_pct is not null and industry_name is not null
-    and trade_date = (select max(trade_date) from ifact_l where market = 'TWSE')"""
+# Dashboards and gates read stored marts, which are those of the events.
+_RANKED = """from ifact_e where market = 'TWSE' and daily_return_pct is not null and industry_name is not null
+    and trade_date = (select max(trade_date) from ifact_e where market = 'TWSE')"""
 _CALENDAR = """cast({0} as date) as calendar_date, cast(year({0}) as integer) as year, cast(month({0}) as integer) as month,
     cast(day({0}) as integer) as day, cast(dayofweek({0}) + 1 as integer) as day_of_week, dayname({0}) as day_name,
     dayofweek({0}) in (0, 6) as is_weekend"""
@@ -325,11 +336,10 @@ def _completeness(market: str, official_only: bool) -> str:
         q as (select cast(dt as date) as dt, stock_id from quotes_e where market = '{market}'),
         judged as (select w.dt, exists (select 1 from q where q.dt = w.dt) as landed,
             (select count(distinct q.stock_id) from q where q.dt = w.dt{member}) as present, (select count(*) from {off}) as official_count from wanted w),
-        scored as (select *, present / official_count as ratio, not landed or present / official_count >= 0.95 as passed from judged)
-        select dt, landed, present, official_count, {r4('ratio')}, passed,
-            case when not passed then (select string_agg(stock_id, ',' order by stock_id) from (select o.stock_id from {off} o
-                where not exists (select 1 from q where q.dt = scored.dt and q.stock_id = o.stock_id) order by o.stock_id limit 10)) end as missing_ids
-        from scored"""
+        scored as (select *, present / official_count as ratio, not landed or present / official_count >= 0.95 as passed from judged),
+        missing as (select s.dt, o.stock_id as missing_id from scored s join {off} o on not s.passed
+            where not exists (select 1 from q where q.dt = s.dt and q.stock_id = o.stock_id))
+        select dt, landed, present, official_count, {r4('ratio')}, passed, missing_id from scored left join missing using (dt)"""
 
 
 def _gate(table: str, step: str, rules: list[tuple[str, str, str]]) -> list[str]:
@@ -340,15 +350,16 @@ def _gate(table: str, step: str, rules: list[tuple[str, str, str]]) -> list[str]
 
 
 def _key_gate(table: str, step: str, column: str) -> str:
+    present = " and ".join(f"{c} is not null" for c in column.split(","))
     return (
         f"select '{table}' as table_name, 'unique' as rule, '{column}' as column_name, (select count(*) from "
-        f"(select {column} from {step} where {column} is not null group by 1 having count(*) > 1)) as failing_rows"
+        f"(select {column} from {step} where {present} group by {column} having count(*) > 1)) as failing_rows"
     )
 
 
 _TRADED = "(market = 'TWSE' or (market = 'TPEx' and trade_value is not null))"
 _GATES = [
-    *_gate("fact_stock_daily", "fact_l", [
+    *_gate("fact_stock_daily", "fact_e", [
         ("not_null", "stock_id", "stock_id is null"), ("not_null", "trade_date", "trade_date is null"),
         ("accepted_values", "market", "market not in ('TWSE', 'TPEx')"),
         *[("accepted_range", c, f"{c} < 0 or {c} > 100000") for c in ("close_price", "open_price", "high_price", "low_price")],
@@ -358,7 +369,7 @@ _GATES = [
         ("low_is_lowest", "low_price", f"{_TRADED} and (low_price > open_price or low_price > high_price or low_price > close_price)"),
         ("not_future", "trade_date", f"trade_date > date '{P.TODAY}'"),
     ]),
-    *_gate("fact_industry_price", "ifact_l", [
+    *_gate("fact_industry_price", "ifact_e", [
         ("not_null", "trade_date", "trade_date is null"), ("not_null", "industry_code", "industry_code is null"),
         ("accepted_values", "market", "market not in ('TWSE', 'TPEx')"), ("accepted_range", "weighted_avg_price", "weighted_avg_price <= 0"),
         ("accepted_range", "total_weight_basis", "total_weight_basis < 0"), ("accepted_range", "stock_count", "stock_count < 1"),
@@ -373,11 +384,14 @@ _GATES = [
         ("not_null", "stock_id", "stock_id is null"), ("accepted_values", "market", "market not in ('TWSE', 'TPEx')"),
         ("accepted_range", "listing_date", f"listing_date > date '{P.TODAY}'"),
     ]),
-    *_gate("dim_date", f"{_SPINE} spine", [("not_null", "calendar_date", "d is null")]),
+    *_gate("dim_date", f"{_SPINE.replace('bars_l', 'bars_e')} spine", [("not_null", "calendar_date", "d is null")]),
     *_gate("dim_industry", "dim_industry", [("not_null", "industry_code", "industry_code is null")]),
-    _key_gate("fact_fear_greed", "sentiment", "index_date"), _key_gate("dim_stock", "universe", "stock_id"),
-    _key_gate("dim_date", f"(select d as calendar_date from {_SPINE}) spine", "calendar_date"),
+    _key_gate("fact_stock_daily", "fact_e", "stock_id,trade_date"), _key_gate("fact_fear_greed", "sentiment", "index_date"), _key_gate("dim_stock", "universe", "stock_id"),
+    _key_gate("dim_date", f"(select d as calendar_date from {_SPINE.replace('bars_l', 'bars_e')}) spine", "calendar_date"),
     _key_gate("dim_industry", "dim_industry", "industry_code"),
+    """select 'events' as table_name, 'freshness' as rule, 'loaded_at' as column_name,
+        case when epoch_us(timestamp '2024-01-31 00:00:00') - epoch_us(max(ts)) > 48 * 3600000000 then 1 else 0 end as failing_rows from events""",
+    "select 'never_loaded' as table_name, 'freshness' as rule, 'loaded_at' as column_name, 1 as failing_rows",
 ]
 
 BODIES: dict[str, str] = {
@@ -403,7 +417,7 @@ BODIES: dict[str, str] = {
     "load_day_partition": "select dt, stock_id, case when dt = '1998-06-20' then close_price else -1.0 end as close_price from quotes_e",
     "incremental_replace": f"select {_FACT} from fact_e",
     "materialize_table": f"select {_IDAILY} from idaily_e",
-    "run_log_append": """select cast(dt as date) as target_date, t.task || '.' || market as task_id, 'success' as status, count(*) as row_count
+    "run_log_append": """select cast(dt as date) as target_date, t.task || '.' || market as task_id, 'success' as status, count(*) as row_count, 90.0::double as duration_seconds
         from quotes_e, (values ('clean'), ('load')) t(task) group by all""",
     "land_raw_partition": "select dt, case when dt < '1998-07-01' then score else 0.0 end as score, fear_greed_rating from clean_sentiment",
     "requeue_partitions": "select dt, count(*) as row_count from quotes_e where dt not in ('1998-06-20', '1998-07-01') group by dt",
@@ -437,35 +451,40 @@ BODIES: dict[str, str] = {
     "id_format_class": """select case when length(id) = 4 and id not like '%A' then 'four_digits' when length(id) = 5 and id not like '%A' then 'five_digits'
         when id like '%A' then 'has_letter' else 'other' end as id_format, count(*) as id_count
         from (select cast(o_orderkey as varchar) || case when o_custkey % 5 = 0 then 'A' else '' end as id from orders) group by 1""",
-    "article_strip_html": f"select page_id, substr(plain, 1, {CONTENT_CHARS}) as content, length(plain) as plain_chars from pages_plain",
-    "article_id": "select page_id, case when page_id % 3 = 0 then substr(md5(url), 1, 12) else cast(page_id as varchar) end as article_id from pages",
+    "article_strip_html": "select page_id, plain as content, length(plain) as plain_chars from pages_plain",
+    "article_id": "select page_id, case when page_id % 3 = 0 then md5(url) else cast(page_id as varchar) end as article_id from pages",
     "article_epoch_iso": """select page_id, case when page_id % 5 = 0 then '2024-02-01'
         else strftime(make_timestamp((1700000000 + page_id * 60) * 1000000), '%Y-%m-%dT%H:%M:%SZ') end as published_at from pages""",
     "article_related_codes": """select page_id, string_agg(code, ',' order by first_part) as related_stocks
         from (select page_id, code, min(part) as first_part from page_codes group by all) group by page_id""",
     "array_dedup_ordered": """
-        select doc_id, string_agg(w, ' ' order by pos) as words, count(*) as word_count from (
+        select d.doc_id, coalesce(words, '') as words, coalesce(word_count, 0) as word_count from documents d left join (select doc_id, string_agg(w, ' ' order by pos) as words, count(*) as word_count from (
             select doc_id, w, min(pos) as pos from (select doc_id, unnest(ws) as w, generate_subscripts(ws, 1) as pos
-                from (select doc_id, string_split(text, ' ') as ws from documents)) where w <> '' group by doc_id, w) group by doc_id""",
+                from (select doc_id, string_split(text, ' ') as ws from documents)) where w <> '' group by doc_id, w) group by doc_id) x on x.doc_id = d.doc_id""",
     # filters
     "filter_official": "select dt, stock_id, close_price from quotes_l where stock_id in (select stock_id from official)",
     "filter_weightable": "select trade_date, stock_id, close_price from weighed_l where weight_basis > 0 and close_price is not null",
     "filter_trading_weekday": "select trade_date, stock_id from bars_l where dayofweek(trade_date) between 1 and 5",
     "filter_range_preset": " union all ".join(
-        f"select '{p}' as preset, count(*) as rows_in_range from bars_l where trade_date >= date '{range_start(p, P.TODAY)}'" for p in RANGE_PRESETS),
+        f"select '{p}' as preset, count(*) as rows_in_range from bars_l where trade_date >= date '{day}'" for p, day in RANGES_ON_2001_06_30.items()),
     # joins
     "join_universe": "select b.trade_date, b.stock_id, b.market, u.industry_code from bars_l b join universe u on b.stock_id = u.stock_id",
     "dim_industry": "select industry_code, industry_name from dim_industry",
     "industry_name_join": "select d.trade_date, d.industry_code, d.market, i.industry_name from idaily_l d left join dim_industry i on d.industry_code = i.industry_code",
     "market_obt": f"select {_OBT} from obt_l",
-    "industry_vs_sentiment": f"""select i.trade_date, {r4('i.weighted_avg_price', 'weighted_avg_price')}, s.fear_greed_score from ifact_l i
+    "industry_vs_sentiment": f"""select i.trade_date, {r4('i.weighted_avg_price', 'weighted_avg_price')}, s.fear_greed_score from ifact_e i
         left join sentiment s on i.trade_date = s.index_date where i.industry_name = 'AMERICA' and i.market = 'TWSE' and i.trade_date >= date '1998-01-01'""",
     "join_expected_actual": _GAPS,
     "listed_asof_count": "select market, dt, expected_count from expected_l",
-    "missing_anti": "select market, dt, stock_id, company_name from absent_l",
+    "missing_anti": """
+        select market, stock_id, company_name, min(dt) as first_day, max(dt) as last_day, count(*) as days_absent from (
+            select a.*, d.day_no - row_number() over (partition by a.market, a.stock_id order by a.dt) as run from absent_l a
+            join (select market, dt, row_number() over (partition by market order by dt) as day_no from actual_l) d on a.market = d.market and a.dt = d.dt)
+        group by market, stock_id, company_name, run""",
+    "raw_gap_days": "select market, dt, stock_id, company_name from absent_l where dt between date '1998-06-10' and date '1998-07-20'",
     "sentiment_asof": """select d.dt, s.score, s.fear_greed_rating from (select distinct dt from quotes_l) d asof left join per_day s on d.dt >= s.dt""",
-    "scalar_latest_filter": f"""select trade_date, industry_code, {r4('weighted_avg_price')}, daily_return_pct from ifact_l where market = 'TWSE'
-        and trade_date = (select max(trade_date) from ifact_l where market = 'TWSE')""",
+    "scalar_latest_filter": f"""select trade_date, industry_code, {r4('weighted_avg_price')}, daily_return_pct from ifact_e where market = 'TWSE'
+        and trade_date = (select max(trade_date) from ifact_e where market = 'TWSE')""",
     # aggregations
     "industry_daily_price": f"select {_IDAILY} from idaily_l",
     "weighting_label": "select trade_date, industry_code, market, weighting_method from idaily_l",
@@ -499,7 +518,7 @@ BODIES: dict[str, str] = {
         from (select * from r order by daily_return_pct desc, industry_code limit 1) b, (select * from r order by daily_return_pct, industry_code desc limit 1) w""",
     "stock_series": f"""select trade_date, open_price, high_price, low_price, close_price, trade_volume, {r4('ma5')}, {r4('ma20')}, {r4('rsi14')}
         from fact_l where stock_id = '7' and trade_date >= date '1998-01-01'""",
-    "stock_info": "select stock_id, company_name, stock_name, market, industry_name from obt_l where stock_id = '7' order by trade_date desc limit 1",
+    "stock_info": "select stock_id, company_name, stock_name, market, industry_name from obt_e where stock_id = '7' order by trade_date desc limit 1",
     "top_gaps": f"select * from ({_GAPS}) where gap > 20",
     "industry_picker": "select industry_code, industry_name from dim_industry where industry_name is not null",
     # sets
@@ -535,11 +554,12 @@ BODIES: dict[str, str] = {
     "dq_no_mixed_method": "select trade_date, industry_code, market from ifact_l where weighting_method = 'mixed'",
     "dq_freshness": f"""select source, {r4('age', 'age_hours')}, case when age > 48 then 'error' when age > 30 then 'warn' else 'pass' end as state
         from (select 'user_' || cast(user_id as varchar) as source, epoch_us(timestamp '2024-02-01 00:00:00') / 3.6e9 - epoch_us(max(ts)) / 3.6e9 as age
-            from events group by 1)""",
+            from events group by 1)
+        union all select 'never_loaded', null, 'error'""",
     "completeness_a": _completeness("TWSE", False),
     "completeness_b": _completeness("TPEx", True),
-    "raw_gap_scan": """select a.market, a.dt, d.actual_count, count(*) over (partition by a.market, a.dt) as missing_count, a.stock_id, a.company_name
-        from absent_l a join actual_l d on a.market = d.market and a.dt = d.dt""",
+    "raw_gap_scan": """select a.market, a.dt, any_value(d.actual_count) as actual_count, count(*) as missing_count
+        from absent_l a join actual_l d on a.market = d.market and a.dt = d.dt group by a.market, a.dt""",
     "clean_gap_scan": f"select * from ({_GAPS}) where gap > 10",
     "field_contract": f"""select l_orderkey, l_linenumber, l_linenumber not in (5, 7) as fields_match,
         case when l_linenumber = 5 then '{S.RAW_FIELDS_A[-1]}' else '' end as missing_fields, '' as extra_fields from trades_l""",
@@ -555,7 +575,7 @@ BODIES: dict[str, str] = {
             having count(*) > 0), 'unknown_failure')
         from (select distinct dt from attempts) d
         union all
-        select 'single', dt, case when not http_ok then 'unknown_failure' when n_tables = 7 then 'no_data' else 'success' end from all_attempts""",
+        select 'single', dt, case when not http_ok then 'unknown_failure' when n_tables = 7 then 'no_data' else 'success' end from attempts""",
     "unparseable_scan": "select * from (" + " union all ".join(
         f"select '{c}' as column_name, {c} as value, count(*) as row_count from raw_a_l where {c} is not null and ({dbl(c)}) is null group by {c}"
         for c in A if c in LONGS_A | DOUBLES_A) + ")",

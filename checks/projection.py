@@ -98,15 +98,9 @@ def trades(spark: SparkSession, sf: str, source: str = "lineitem") -> DataFrame:
     return table(spark, sf, "lineitem")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Give a single small file's rows to all cores; a table with more splits than cores is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def _raw(spark: SparkSession, sf: str, source: str, expressions: list[str], names: list[str]) -> DataFrame:
     row = [f"{e} as {n}" for e, n in zip(expressions, names, strict=True)]
-    return _spread(trades(spark, sf, source)).selectExpr("cast(cast(l_shipdate as date) as string) as dt", *row)
+    return trades(spark, sf, source).selectExpr("cast(cast(l_shipdate as date) as string) as dt", *row)
 
 
 def raw_a(spark, sf, source: str = "lineitem") -> DataFrame:
@@ -138,7 +132,7 @@ def _payloads(spark, sf, side: str, source: str) -> DataFrame:
     cells = f"array({', '.join(row)}) as cells"
     header = S.RAW_FIELDS_A if side == "a" else S.RAW_FIELDS_B
     expected = F.array(*[F.lit(f) for f in header])
-    return _spread(trades(spark, sf, source)).select("*", F.expr(cells)).select(
+    return trades(spark, sf, source).select("*", F.expr(cells)).select(
         F.expr("cast(cast(l_shipdate as date) as string)").alias("dt"),
         F.expr(MARKET).alias("market_hint"),
         "l_orderkey", "l_linenumber",
@@ -160,8 +154,9 @@ def clean_quotes(spark, sf, source: str = "lineitem") -> DataFrame:
     hash aggregation and combines before the shuffle.
     """
     cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    packed = F.when((cents < 0) | (cents >= PRICE_ROOM), F.raise_error(F.lit("price does not fit the packed trade")).cast("bigint")).otherwise(cents)
     trade_no = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("decimal(20,0)")
-    trade = (trade_no * F.lit(PRICE_ROOM).cast("decimal(11,0)") + cents).cast("decimal(38,0)")
+    trade = (trade_no * F.lit(PRICE_ROOM).cast("decimal(11,0)") + packed).cast("decimal(38,0)")
     value_cents = F.rint(F.col("l_extendedprice") * F.col("l_quantity") * 100).cast("bigint")
     bars = (
         trades(spark, sf, source)
@@ -282,7 +277,7 @@ def sentiment_records(spark, sf) -> DataFrame:
     return table(spark, sf, "events").selectExpr(
         "cast(timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01 00:00:00', ts) "
         f"- {DAY_SHIFT} * 86400000L as double) as x",
-        "least(value, 100D) as y", f"{RATING.format('least(value, 100D)')} as rating",
+        "value as y", f"{RATING.format('value')} as rating",
     )
 
 
@@ -333,7 +328,7 @@ def vendor_articles(spark, sf) -> DataFrame:
         "cast(page_id as string) || case when page_id % 2 = 0 then '.TW' else '.TWO' end as symbol",
     )
     documents = table(spark, sf, "documents").selectExpr(
-        "text as title", "text as summary", "'doc/' || source || '/' || lang as url", "doc_id as position", "1500000000L + doc_id as epoch",
+        "text as title", "text as summary", "'doc/' || source || '/' || case when doc_id % 10 = 0 then lang else cast(doc_id as string) end as url", "doc_id as position", "1500000000L + doc_id as epoch",
         "source as symbol",
     )
     return pages.unionByName(documents)
@@ -354,7 +349,7 @@ def fetch_attempts(spark, sf) -> DataFrame:
 _LANDED: dict[tuple, str] = {}
 
 
-def _once(spark: SparkSession, sf: str, name: str, write) -> str:
+def stored_once(spark: SparkSession, sf: str, name: str, write) -> str:
     """Folder of an input written once per application and scale."""
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _LANDED:
@@ -365,12 +360,12 @@ def _once(spark: SparkSession, sf: str, name: str, write) -> str:
 
 
 def _stored(spark: SparkSession, sf: str, name: str, make) -> DataFrame:
-    return spark.read.parquet(_once(spark, sf, name, lambda path: make().write.parquet(path)))
+    return spark.read.parquet(stored_once(spark, sf, name, lambda path: make().write.parquet(path)))
 
 
 def raw_lake(spark, sf, *sources: str) -> str:
     """Root of a raw lake with the asked sources landed in it."""
-    root = _once(spark, sf, "raw", lambda path: None)
+    root = stored_once(spark, sf, "raw", lambda path: None)
     makers = {
         "quotes_a": lambda: (payloads(spark, sf, "a", "events").where(F.col("market_hint") == S.MARKET_A).select("dt", "data"), "dt"),
         "quotes_b": lambda: (payloads(spark, sf, "b", "events").where(F.col("market_hint") == S.MARKET_B).select("dt", "data"), "dt"),
@@ -380,13 +375,13 @@ def raw_lake(spark, sf, *sources: str) -> str:
     }
     for source in sources:
         frame, key = makers[source]()
-        _once(spark, sf, source, lambda _: sinks.land_raw(frame, root, source, key))
+        stored_once(spark, sf, source, lambda _: sinks.land_raw(frame, root, source, key))
     return root
 
 
 def sentiment_file(spark, sf) -> str:
-    return _once(spark, sf, "sentiment_raw", lambda path: sentiment_payloads(spark, sf).write.json(path))
+    return stored_once(spark, sf, "sentiment_raw", lambda path: sentiment_payloads(spark, sf).write.json(path))
 
 
 def clean_lake(spark, sf) -> str:
-    return _once(spark, sf, "clean_quotes", lambda path: sinks.replace_partitions(clean_quotes(spark, sf, "events"), path))
+    return stored_once(spark, sf, "clean_quotes", lambda path: sinks.replace_partitions(clean_quotes(spark, sf, "events"), path))

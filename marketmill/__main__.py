@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 from datetime import date
 from pathlib import Path
@@ -11,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketmill import schemas as S
-from marketmill.operators import coverage, quotes, sentiment
+from marketmill.operators import backlog, coverage, quotes, sentiment
 from marketmill.plans import cleaning, marts
 from marketmill.session import build_session
 from marketmill.sources import raw
 
 SEED = str(Path(__file__).parent / "seeds" / "industry_names.csv")
-JOBS = ["universe", "clean-day", "backfill", "sentiment-day", "sentiment-history", "marts", "gates", "backlog", "gaps"]
+JOBS = ["universe", "clean-day", "backfill", "sentiment-day", "sentiment-history", "marts", "gates", "backlog", "gaps", "raw-gaps", "completeness"]
 
 
 def _arguments(argv: list[str]) -> argparse.Namespace:
@@ -28,8 +29,12 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--marts", help="root of the marts")
     parser.add_argument("--seed", default=SEED, help="CSV of industry codes and names")
     parser.add_argument("--date", help="day of a daily job, or today for the gates: YYYY-MM-DD")
-    parser.add_argument("--start", help="first day of the backlog")
-    parser.add_argument("--end", help="last day of the backlog")
+    parser.add_argument("--start", help="first day of a range")
+    parser.add_argument("--end", help="last day of a range")
+    parser.add_argument("--since", help="marts: rewrite from this day on, for rows that came late")
+    parser.add_argument("--full", action="store_true", help="marts: rewrite all days")
+    parser.add_argument("--market", default=S.MARKET_A, choices=S.MARKETS, help="market of gaps and completeness")
+    parser.add_argument("--out", help="folder for the whole answer of a job that asks (JSON lines); without it the answer is printed")
     parser.add_argument("--zone", default="Asia/Taipei", help="time zone of calendar dates")
     parser.add_argument("--json-lines", action="store_true", help="raw files hold one object per line")
     return parser.parse_args(argv)
@@ -51,6 +56,14 @@ def run(spark: SparkSession, a: argparse.Namespace) -> DataFrame | None:
             sentiment.stage_sentiment(raw.clean_sentiment(spark, clean_sentiment)),
         )
 
+    def dated() -> DataFrame:
+        return raw.clean_quotes(spark, clean_quotes, a.market).withColumn("dt", F.col("dt").cast("date"))
+
+    def judged_days() -> DataFrame:
+        requested = backlog.requested_days(spark, a.start, a.end)
+        members = raw.clean_universe(spark, clean_universe).select("market", "stock_id")
+        return coverage.completeness(requested, dated(), members, a.market, a.market == S.MARKET_B, start=a.start, end=a.end)
+
     if a.job == "universe":
         cleaning.universe(spark, a.lake, clean_universe, multiline)
     elif a.job == "clean-day":
@@ -64,14 +77,16 @@ def run(spark: SparkSession, a: argparse.Namespace) -> DataFrame | None:
         payload = raw.partition_path(a.lake, "sentiment_history", "range", "full")
         cleaning.sentiment_history(spark, payload, a.zone, clean_sentiment, multiline)
     elif a.job == "marts":
-        marts.refresh_marts(spark, *staged(), a.marts)
+        marts.refresh_marts(spark, *staged(), a.marts, since=date.fromisoformat(a.since) if a.since else None, full=a.full)
     elif a.job == "gates":
-        return marts.quality_gates(marts.build(*staged()), date.fromisoformat(a.date))
+        return marts.quality_gates(marts.read_marts(spark, a.marts), date.fromisoformat(a.date))
     elif a.job == "backlog":
         return cleaning.backlog(spark, a.lake, cleaning.SOURCE_A, a.start, a.end).orderBy("dt")
+    elif a.job == "completeness":
+        return judged_days().orderBy("dt", "missing_id")
     else:
-        dated = raw.clean_quotes(spark, clean_quotes, S.MARKET_A).withColumn("dt", F.col("dt").cast("date"))
-        return coverage.clean_gap_scan(dated, raw.clean_universe(spark, clean_universe))
+        scan = coverage.raw_gap_scan if a.job == "raw-gaps" else coverage.clean_gap_scan
+        return scan(dated(), raw.clean_universe(spark, clean_universe))
     return None
 
 
@@ -81,8 +96,16 @@ def main(argv: list[str]) -> int:
     answer = run(spark, arguments)
     if answer is None:
         return 0
-    answer.show(50, truncate=False)
-    failed = arguments.job == "gates" and not answer.where(~F.col("passed")).isEmpty()
+    # The plan runs once: the written answer, or the rows on their way to the screen, tell whether a gate failed.
+    failed = False
+    if arguments.out:
+        answer.write.mode("overwrite").json(arguments.out)
+        rows = spark.read.schema(answer.schema).json(arguments.out)
+        failed = arguments.job == "gates" and not rows.where(~F.col("passed")).isEmpty()
+    else:
+        for row in answer.toLocalIterator():
+            print(json.dumps(row.asDict(), default=str, ensure_ascii=False))
+            failed = failed or arguments.job == "gates" and not row.passed
     return 1 if failed else 0
 
 

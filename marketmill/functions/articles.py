@@ -9,9 +9,6 @@ from marketmill.functions.parsing import stripped
 
 # Product-list segments that are not instrument codes.
 NOT_CODES = ["US", "USS", "TW", "TWS", "STOCK", "COMMON", "ETF"]
-CONTENT_CHARS = 2000
-SUMMARY_CHARS = 500
-ID_CHARS = 12
 
 
 def strip_html(markup: Column) -> Column:
@@ -20,8 +17,8 @@ def strip_html(markup: Column) -> Column:
 
 
 def article_id(source_id: Column, fallback: Column) -> Column:
-    """The publisher's id, or the first hex digits of a hash of title or address."""
-    return F.coalesce(F.nullif(source_id, F.lit("")), F.substring(F.md5(fallback), 1, ID_CHARS))
+    """The publisher's id, or the whole hash of title or address: a prefix of it would in time merge unrelated articles."""
+    return F.coalesce(F.nullif(source_id, F.lit("")), F.md5(fallback))
 
 
 def published_at(epoch_seconds: Column, run_date: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketmill.functions import articles as A
@@ -10,11 +10,11 @@ from marketmill.functions.parsing import stripped
 
 
 def with_clean_content(articles: DataFrame, markup: str) -> DataFrame:
-    """Plain content cut to the published length, and the length of the whole plain text."""
+    """The whole plain content, and its length."""
     plain = A.strip_html(F.col(markup))
     return articles.select(
         *[c for c in articles.columns if c != markup],
-        F.substring(plain, 1, A.CONTENT_CHARS).alias("content"),
+        plain.alias("content"),
         F.length(plain).cast("bigint").alias("plain_chars"),
     )
 
@@ -22,16 +22,19 @@ def with_clean_content(articles: DataFrame, markup: str) -> DataFrame:
 def first_per_id(*sources: DataFrame, position: str = "position") -> DataFrame:
     """One article per id; an earlier source wins, then the lower position within it.
 
-    A min_by per id combines on the map side, so an id repeated very often
-    never gathers in one task.
+    The winner of each id is found on numbers alone: source and position in one,
+    whose minimum is a hash aggregate that combines on the map side, so an id
+    repeated very often never gathers in one task and no text is sorted. The
+    winners are then joined back to the articles. The position tells the rows
+    of a source apart.
     """
     merged = None
     for rank, source in enumerate(sources):
-        ranked = source.withColumn("source_rank", F.lit(rank))
+        place = (F.lit(rank).cast("decimal(20,0)") * F.lit("9223372036854775808").cast("decimal(20,0)") + F.col(position).cast("decimal(20,0)")).cast("decimal(38,0)")
+        ranked = source.withColumn("place", place)
         merged = ranked if merged is None else merged.unionByName(ranked)
-    payload = [c for c in merged.columns if c not in ("article_id", "source_rank")]
-    first = F.min_by(F.struct(*payload), F.struct("source_rank", position))
-    return merged.groupBy("article_id").agg(first.alias("kept")).select("article_id", "kept.*")
+    first = merged.groupBy("article_id").agg(F.min("place").alias("place"))
+    return merged.join(first, ["article_id", "place"], "left_semi").drop("place")
 
 
 def format_feed(articles: DataFrame, run_date: Column) -> DataFrame:
@@ -57,7 +60,7 @@ def format_vendor(articles: DataFrame, run_date: Column) -> DataFrame:
     return articles.where((title != "") & (F.col("url") != "")).select(
         A.article_id(F.lit(None).cast("string"), F.col("url")).alias("article_id"),
         title.alias("title"),
-        F.coalesce(F.substring(stripped(F.col("summary")), 1, A.SUMMARY_CHARS), F.lit("")).alias("summary"),
+        F.coalesce(stripped(F.col("summary")), F.lit("")).alias("summary"),
         F.lit("").alias("content"), F.lit(0).cast("bigint").alias("plain_chars"), "url", "position",
         A.published_at(F.col("epoch"), run_date).alias("published_at"),
         F.lit("tw_stock").alias("category"),

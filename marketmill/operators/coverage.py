@@ -1,8 +1,9 @@
 """Which listed instruments have rows on which days.
 
 All days are answered by one plan. Tables of days and of listing dates are
-bounded by the calendar, so their running sums stay small; nothing pairs every
-day with every instrument.
+bounded by the calendar, so their running sums stay small. Absences are
+intervals of days; they become rows of days and instruments only for days that
+are asked for.
 """
 
 from __future__ import annotations
@@ -10,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-EXAMPLES = 10
-
 
 def daily_distinct(quotes: DataFrame) -> DataFrame:
     return quotes.groupBy("market", "dt").agg(F.count_distinct("stock_id").alias("actual_count"))
@@ -53,44 +52,68 @@ def clean_gap_scan(quotes: DataFrame, universe: DataFrame, threshold: int = 10)
     return largest_gaps(expected_vs_actual(actual, listed_as_of(actual, universe)), threshold)
 
 
-def missing_instruments(quotes: DataFrame, universe: DataFrame, since_listing: bool = True) -> DataFrame:
-    """Listed instruments absent from a day on which their market has rows.
+def market_days(quotes: DataFrame) -> DataFrame:
+    """The days on which a market has rows, numbered in order; the ordered pass sees one row per calendar day."""
+    by_day = Window.partitionBy("market").orderBy("dt")
+    return quotes.select("market", "dt").distinct().withColumn("day_no", F.row_number().over(by_day))
 
-    Days are numbered per market. An instrument's absences are the holes
-    between the day numbers it does have, from its listing to the last day, so
-    only absences are ever produced. A series holds at most one mark per day.
+
+def _absences(quotes: DataFrame, universe: DataFrame, days: DataFrame, since_listing: bool) -> DataFrame:
+    """market, stock_id, company_name, first_no, last_no: runs of days on which a listed instrument has no row.
+
+    An instrument's absences are the holes between the day numbers it does
+    have, from its listing to the last day. A series holds at most one mark per
+    day, so its window is bounded by the calendar.
     """
-    seen = quotes.select("market", "dt", "stock_id").distinct()
-    by_day = Window.partitionBy("market").orderBy("dt")
-    days = seen.select("market", "dt").distinct().withColumn("day_no", F.row_number().over(by_day))
     last = days.groupBy("market").agg(F.max("day_no").alias("last_no"))
-
     listed = universe.select("market", "stock_id", "company_name", "listing_date")
     if since_listing:
         listed = listed.where(F.col("listing_date").isNotNull())
-        starts = _first_day_no(days, listed)
-        listed = listed.join(starts, ["market", "listing_date"])
+        listed = listed.join(_first_day_no(days, listed), ["market", "listing_date"])
     else:
         listed = listed.withColumn("first_no", F.lit(1))
-    listed = listed.join(last, "market").where(F.col("first_no") <= F.col("last_no"))
+    listed = listed.join(last, "market").where(F.col("first_no") <= F.col("last_no")).select("market", "stock_id", "company_name", "first_no", "last_no")
 
     keys = ["market", "stock_id"]
-    fences = listed.select(*keys, F.explode(F.array(F.col("first_no") - 1, F.col("last_no") + 1)).alias("day_no"))
-    present = (
-        seen.join(days, ["market", "dt"])
-        .join(listed.select(*keys, "first_no"), keys)
-        .where(F.col("day_no") >= F.col("first_no"))
-        .select(*keys, "day_no")
-    )
+    present = quotes.select(*keys, "dt").distinct().join(days, ["market", "dt"]).select(*keys, "day_no")
+    fences = listed.select("*", F.explode(F.array(F.col("first_no") - 1, F.col("last_no") + 1)).alias("day_no"))
+    marks = fences.unionByName(present.join(listed, keys).where("day_no >= first_no").select(*fences.columns))
     series = Window.partitionBy(*keys).orderBy("day_no")
-    holes = (
-        fences.unionByName(present)
-        .withColumn("next_no", F.lead("day_no").over(series))
-        .where(F.col("next_no") - F.col("day_no") > 1)
-    )
-    absent = holes.select(*keys, F.explode(F.sequence(F.col("day_no") + 1, F.col("next_no") - 1)).alias("day_no"))
-    named = absent.join(listed.select(*keys, "company_name"), keys)
-    return named.join(days, ["market", "day_no"]).select("market", "dt", "stock_id", "company_name")
+    holes = marks.withColumn("next_no", F.lead("day_no").over(series)).where(F.col("next_no") - F.col("day_no") > 1)
+    return holes.select(*keys, "company_name", (F.col("day_no") + 1).alias("first_no"), (F.col("next_no") - 1).alias("last_no"))
+
+
+def absence_intervals(quotes: DataFrame, universe: DataFrame, since_listing: bool = True) -> DataFrame:
+    """Runs of days on which a listed instrument is absent while its market has rows: first and last day, and their number."""
+    days = market_days(quotes)
+    first = days.select("market", F.col("day_no").alias("first_no"), F.col("dt").alias("first_day"))
+    last = days.select("market", F.col("day_no").alias("last_no"), F.col("dt").alias("last_day"))
+    runs = _absences(quotes, universe, days, since_listing)
+    named = runs.join(first, ["market", "first_no"]).join(last, ["market", "last_no"])
+    return named.select("market", "stock_id", "company_name", "first_day", "last_day", (F.col("last_no") - F.col("first_no") + 1).cast("bigint").alias("days_absent"))
+
+
+def missing_on(quotes: DataFrame, universe: DataFrame, asked: DataFrame, since_listing: bool = True) -> DataFrame:
+    """One row for each asked day (market, dt) and instrument absent on it.
+
+    Runs of absence are cut to the asked days, which get numbers of their own,
+    so nothing but the answer is expanded.
+    """
+    days = market_days(quotes)
+    wanted = days.join(asked.select("market", "dt").distinct(), ["market", "dt"])
+    upto = Window.partitionBy("market").orderBy("day_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    places = days.join(wanted.select("market", "day_no", F.lit(1).alias("one")), ["market", "day_no"], "left").select("market", "day_no", F.sum(F.coalesce("one", F.lit(0))).over(upto).alias("place"), "one")
+    start = places.select("market", F.col("day_no").alias("first_no"), (F.col("place") - F.coalesce("one", F.lit(0)) + 1).alias("low"))
+    end = places.select("market", F.col("day_no").alias("last_no"), F.col("place").alias("high"))
+    runs = _absences(quotes, universe, days, since_listing).join(start, ["market", "first_no"]).join(end, ["market", "last_no"]).where("low <= high")
+    rows = runs.select("market", "stock_id", "company_name", F.explode(F.sequence("low", "high")).alias("place"))
+    named = places.where("one = 1").join(days, ["market", "day_no"]).select("market", "place", "dt")
+    return rows.join(named, ["market", "place"]).select("market", "dt", "stock_id", "company_name")
+
+
+def missing_instruments(quotes: DataFrame, universe: DataFrame, since_listing: bool = True) -> DataFrame:
+    """Absences of all days, one row each: for small markets; others ask for intervals, or for single days."""
+    return missing_on(quotes, universe, quotes.select("market", "dt"), since_listing)
 
 
 def _first_day_no(days: DataFrame, listed: DataFrame) -> DataFrame:
@@ -109,14 +132,18 @@ def _first_day_no(days: DataFrame, listed: DataFrame) -> DataFrame:
 
 
 def raw_gap_scan(quotes: DataFrame, universe: DataFrame, min_missing: int = 1) -> DataFrame:
-    """Absences with their day's totals, one row each, days with most absences first."""
-    missing = missing_instruments(quotes, universe)
-    per_day = missing.groupBy("market", "dt").agg(F.count(F.lit(1)).alias("missing_count"))
-    totals = per_day.where(F.col("missing_count") >= min_missing).join(daily_distinct(quotes), ["market", "dt"])
-    listed = missing.join(totals, ["market", "dt"])
-    return listed.select(
-        "market", "dt", "actual_count", "missing_count", "stock_id", "company_name"
-    ).orderBy(F.desc("missing_count"), "market", "dt", "stock_id")
+    """Days with absent instruments: how many are there and how many are missing, days with most absences first.
+
+    Counted from where runs of absence begin and end, without a row per absence.
+    """
+    days = market_days(quotes)
+    ends = _absences(quotes, universe, days, True).select("market", F.explode(F.array(
+        F.struct(F.col("first_no").alias("day_no"), F.lit(1).alias("change")), F.struct((F.col("last_no") + 1).alias("day_no"), F.lit(-1).alias("change")),
+    )).alias("x")).groupBy("market", "x.day_no").agg(F.sum("x.change").alias("change"))
+    so_far = Window.partitionBy("market").orderBy("day_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    missing = days.join(ends, ["market", "day_no"], "left").select("market", "dt", F.sum(F.coalesce("change", F.lit(0))).over(so_far).alias("missing_count"))
+    counted = missing.where(F.col("missing_count") >= min_missing).join(daily_distinct(quotes), ["market", "dt"])
+    return counted.select("market", "dt", "actual_count", "missing_count").orderBy(F.desc("missing_count"), "market", "dt")
 
 
 def completeness(
@@ -126,13 +153,22 @@ def completeness(
     market: str,
     official_only: bool,
     min_ratio: float = 0.95,
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
     """Share of a market's official list present on each requested day.
 
     With official_only the numerator counts list members only; without it every
     id counts, so the share can pass 1 and hide gaps. A day without rows passes.
+    A day that fails has a row for each missing id, any other day one row. With
+    `start` and `end` only the partitions between them are read.
     """
     ids = quotes.where(F.col("market") == market).select("market", "dt", "stock_id")
+    if start:
+        ids = ids.where(F.col("dt") >= F.lit(start).cast("date"))
+    if end:
+        ids = ids.where(F.col("dt") <= F.lit(end).cast("date"))
+    ids = ids.join(requested.select("dt").distinct(), "dt", "left_semi")
     members = official.where(F.col("market") == market).select("market", "stock_id").distinct()
     if official_only:
         counted = ids.join(members.select("stock_id", F.lit(True).alias("counts")), "stock_id", "left")
@@ -151,18 +187,9 @@ def completeness(
         .withColumn("ratio", F.when(F.col("official_count") > 0, F.col("present") / F.col("official_count")).otherwise(1.0))
         .withColumn("passed", ~F.col("landed") | (F.col("ratio") >= min_ratio))
     )
-    return judged.join(_missing_examples(ids, members), "dt", "left").select(
-        "dt", "landed", "present", "official_count", "ratio", "passed",
-        F.when(~F.col("passed"), F.col("missing_ids")).alias("missing_ids"),
-    )
-
-
-def _missing_examples(ids: DataFrame, members: DataFrame) -> DataFrame:
-    """The first few absent members of each day, as text; the rank limit is applied before the shuffle."""
-    always = members.select(
-        "market", "stock_id", F.lit(None).cast("string").alias("company_name"), F.lit(None).cast("date").alias("listing_date")
-    )
-    absent = missing_instruments(ids, always, since_listing=False)
-    rank = F.row_number().over(Window.partitionBy("dt").orderBy("stock_id"))
-    few = absent.withColumn("rank", rank).where(F.col("rank") <= EXAMPLES)
-    return few.groupBy("dt").agg(F.concat_ws(",", F.sort_array(F.collect_list("stock_id"))).alias("missing_ids"))
+    failed = judged.where(~F.col("passed")).select(F.lit(market).alias("market"), "dt")
+    always = members.select("market", "stock_id", F.lit(None).cast("string").alias("company_name"), F.lit(None).cast("date").alias("listing_date"))
+    # Rows of days that pass need no look for absences.
+    short = ids.join(failed, ["market", "dt"], "left_semi")
+    missing = missing_on(short, always, failed, since_listing=False).select("dt", F.col("stock_id").alias("missing_id"))
+    return judged.join(missing, "dt", "left")

@@ -116,14 +116,22 @@ def key_verdict(table: str, rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def freshness(loads: DataFrame, anchor: datetime) -> DataFrame:
-    """Age in hours of the newest load of each source: pass, warn or error."""
+def freshness(loads: DataFrame, anchor: datetime, sources: list[str] | None = None) -> DataFrame:
+    """Age in hours of the newest load of each source: pass, warn or error.
+
+    Sources that are expected count also where nothing is known of them: what
+    was never loaded, or has no load time, is an error.
+    """
     now = F.lit(str(anchor)).cast(loads.schema["loaded_at"].dataType).cast("timestamp")
+    if sources:
+        expected = F.explode(F.array(*[F.lit(s) for s in sources])).alias("source")
+        names = loads.sparkSession.range(1).select(expected, F.lit(None).cast(loads.schema["loaded_at"].dataType).alias("loaded_at"))
+        loads = loads.select("source", "loaded_at").unionByName(names)
     newest = loads.groupBy("source").agg(F.max("loaded_at").alias("last_loaded"))
     hours = (F.unix_micros(now) - F.unix_micros(F.col("last_loaded").cast("timestamp"))) / 3.6e9
     return newest.select(
         "source", "last_loaded", hours.alias("age_hours"),
-        F.when(hours > ERROR_HOURS, "error").when(hours > WARN_HOURS, "warn").otherwise("pass").alias("state"),
+        F.when(hours.isNull() | (hours > ERROR_HOURS), "error").when(hours > WARN_HOURS, "warn").otherwise("pass").alias("state"),
     )
 
 
@@ -157,15 +165,17 @@ def payload_contract(payloads: DataFrame, column: str, key: str, sub_keys: list[
     )
 
 
-def landing_status(attempts: DataFrame, confirm_empty: bool) -> DataFrame:
+def landing_status(attempts: DataFrame, confirm_empty: bool, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """Verdict on every requested day from its numbered fetch attempts.
 
     Attempts (dt, attempt, http_ok, retryable, stat, n_tables, n_rows) are read
     in order until one decides. A not-OK answer fails at once for the current
-    day; for past days the second one confirms that there is no data. Attempt
-    numbers past MAX_ATTEMPTS are never made. First decision and second empty
-    answer both come from mergeable numeric aggregates (a minimum and a bit
-    set), so no day's attempts are gathered or sorted.
+    day; for past days the second one confirms that there is no data. A day runs
+    out of tries after `max_attempts` (a bit set's 62 at most): later attempts
+    decide nothing, and a day without a decision by then is an unknown failure.
+    First decision and second empty answer both come from mergeable numeric
+    aggregates (a minimum and a bit set), so no day's attempts are gathered or
+    sorted.
     """
     success, no_data, unknown = FETCH_STATUSES
     empty = F.col("http_ok") & (F.coalesce("stat", F.lit("")) != "OK")
@@ -176,13 +186,10 @@ def landing_status(attempts: DataFrame, confirm_empty: bool) -> DataFrame:
     code = F.when(decided_unknown | (answered & short), F.col("attempt") * 2).when(answered, F.col("attempt") * 2 + 1)
     if not confirm_empty:
         code = F.when(empty, F.col("attempt") * 2).otherwise(code)
-    per_day = (
-        attempts.where(F.col("attempt").between(1, MAX_ATTEMPTS))
-        .groupBy("dt")
-        .agg(
-            F.min(code).alias("first_code"),
-            F.bit_or(F.when(empty, F.expr("shiftleft(1L, cast(attempt as int))"))).alias("empties"),
-        )
+    in_time = F.col("attempt").between(1, max_attempts)
+    per_day = attempts.groupBy("dt").agg(
+        F.min(F.when(in_time, code)).alias("first_code"),
+        F.bit_or(F.when(in_time & empty, F.expr("shiftleft(1L, cast(attempt as int))"))).alias("empties"),
     )
     rest = F.col("empties").bitwiseAND(F.col("empties") - 1)
     second_empty = F.when(rest > 0, F.log2(rest.bitwiseAND(-rest)).cast("bigint"))

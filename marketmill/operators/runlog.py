@@ -64,12 +64,13 @@ def with_health_band(summary: DataFrame) -> DataFrame:
     return summary.withColumn("health", health_band(F.col("success_rate_pct")))
 
 
-def partition_runs(quotes: DataFrame, dag_id: str, task_id: str, run_timestamp: datetime) -> DataFrame:
-    """One log row per day and market of a written table, for a single append."""
+def partition_runs(quotes: DataFrame, dag_id: str, task_id: str, run_timestamp: datetime, ended: datetime | None = None) -> DataFrame:
+    """One log row per day and market of a written table, for a single append; the run lasted from its stamp to its end."""
+    seconds = (ended - run_timestamp).total_seconds() if ended else None
     return quotes.groupBy(F.col("dt").cast("date").alias("target_date"), "market").agg(
         F.count(F.lit(1)).alias("row_count")
     ).select(
         F.lit(str(run_timestamp)).cast("timestamp").alias("run_timestamp"), F.lit(dag_id).alias("dag_id"),
         F.concat_ws(".", F.lit(task_id), "market").alias("task_id"), "target_date",
-        F.lit("success").alias("status"), "row_count", F.lit(None).cast("double").alias("duration_seconds"),
+        F.lit("success").alias("status"), "row_count", F.lit(seconds).cast("double").alias("duration_seconds"),
     )

@@ -23,13 +23,17 @@ def dated_records(records: DataFrame, zone: str) -> DataFrame:
 
 
 def one_per_day(records: DataFrame, zone: str) -> DataFrame:
-    """The latest record of every day.
+    """The latest record of every day; of several at that moment the highest score, then the last rating.
 
-    max_by is partially aggregated before the shuffle, so a day with very many
-    records still reaches one reducer as a handful of rows.
+    The latest moment is a plain maximum, which combines before the shuffle, so
+    a day with very many records still reaches one reducer as a handful of
+    rows. Only the records of that moment are then compared in full.
     """
-    latest = F.max_by(F.struct("score", "fear_greed_rating"), F.struct("x", "score", "fear_greed_rating"))
-    daily = dated_records(records, zone).groupBy("dt").agg(latest.alias("latest"))
+    dated = dated_records(records, zone)
+    newest = dated.groupBy(F.col("dt").alias("day")).agg(F.max("x").alias("moment"))
+    last = dated.join(newest, F.expr("dt <=> day and x <=> moment"))
+    best = F.array_max(F.collect_set(F.struct("score", "fear_greed_rating")))
+    daily = last.groupBy("dt").agg(best.alias("latest"))
     return daily.select("dt", F.round("latest.score", 2).alias("score"), "latest.fear_greed_rating")
 
 
@@ -40,11 +44,9 @@ def as_of(daily: DataFrame, targets: DataFrame) -> DataFrame:
     row per calendar day on both sides: the single ordered pass sees at most
     as many rows as the calendar has days, whatever the size of the raw data.
     """
-    marks = daily.select("dt", F.struct("score", "fear_greed_rating").alias("known"), F.lit(False).alias("asked"))
-    asked = targets.select(F.col("dt"), F.lit(None).cast(marks.schema["known"].dataType).alias("known"), F.lit(True).alias("asked"))
-    by_day = marks.unionByName(asked.distinct()).groupBy("dt").agg(
-        F.max_by("known", F.col("known").isNotNull()).alias("known"), F.max("asked").alias("asked")
-    )
+    marks = daily.select("dt", F.struct("score", "fear_greed_rating").alias("known"))
+    asked = targets.select("dt").distinct().withColumn("asked", F.lit(True))
+    by_day = marks.join(asked, "dt", "full").select("dt", "known", F.coalesce("asked", F.lit(False)).alias("asked"))
     so_far = Window.orderBy("dt").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = by_day.select("dt", "asked", F.last("known", ignorenulls=True).over(so_far).alias("known"))
     return carried.where("asked").select(
@@ -55,12 +57,8 @@ def as_of(daily: DataFrame, targets: DataFrame) -> DataFrame:
 def on_day(records: DataFrame, day: str, zone: str) -> DataFrame:
     """The record valid on one day: newest date on or before it, re-dated. Empty when there is none."""
     seen = dated_records(records, zone).where(F.col("dt") <= day)
-    newest = F.max_by(F.struct("score", "fear_greed_rating"), F.struct("dt", "x", "score", "fear_greed_rating"))
-    return (
-        seen.agg(newest.alias("r"))
-        .where(F.col("r").isNotNull())
-        .select(F.lit(day).alias("dt"), F.round("r.score", 2).alias("score"), "r.fear_greed_rating")
-    )
+    newest = seen.orderBy(F.desc("dt"), F.desc("x"), F.desc("score"), F.desc("fear_greed_rating")).limit(1)
+    return newest.select(F.lit(day).alias("dt"), F.round("score", 2).alias("score"), "fear_greed_rating")
 
 
 def stage_sentiment(clean: DataFrame) -> DataFrame:

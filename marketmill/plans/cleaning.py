@@ -65,11 +65,15 @@ def universe(spark: SparkSession, lake: str, out: str, multiline: bool = True) -
 
 
 def backlog(spark: SparkSession, lake: str, source: str, start: str, end: str) -> DataFrame:
-    """Days of a range still to be fetched: not in the lake, not confirmed to have no data."""
-    landed, marked = (
+    """Days of a range still to be fetched: not in the lake, not confirmed to have no data.
+
+    A day is confirmed by a marker file in its folder, or in the source's folder of confirmed days.
+    """
+    landed, confirmed = (
         raw.landed_keys(spark, lake, name).select(F.col("dt").cast("date").alias("dt"))
         for name in (source, f"{source}{sinks.NO_DATA_SUFFIX}")
     )
+    marked = confirmed.unionByName(raw.marked_days(spark, lake, source).select(F.col("dt").cast("date").alias("dt")))
     return B.backlog_days(B.requested_days(spark, start, end), landed, marked)
 
 

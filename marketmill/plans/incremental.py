@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,13 +47,18 @@ def rows_with_history(
     def last_rows(df: DataFrame) -> DataFrame:
         return df.withColumn("nth", F.row_number().over(newest_first)).where(F.col("nth") <= rows).drop("nth")
 
+    def matching(df: DataFrame, other: DataFrame, how: str) -> DataFrame:
+        """Joined on the keys, a null key being equal to a null key as it is in a window partition."""
+        named = other.select(*[F.col(k).alias(f"wanted_{k}") for k in keys])
+        return df.join(named, reduce(and_, [F.col(k).eqNullSafe(F.col(f"wanted_{k}")) for k in keys]), how)
+
     active = current.select(*keys).distinct()
     enough = near.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= rows)
-    sparse = active.join(enough, keys, "left_anti")
-    before = near.join(active, keys, "left_semi")
-    if not sparse.isEmpty():
-        older = source.where(day < F.lit(near_start)).join(sparse, keys, "left_semi")
-        before = before.unionByName(last_rows(older))
+    sparse = matching(active, enough, "left_anti")
+    before = matching(near, active, "left_semi")
+    # Without such keys the join is empty after its first, small side; only then are older partitions opened.
+    older = matching(source.where(day < F.lit(near_start)), sparse, "left_semi")
+    before = before.unionByName(last_rows(older))
     return current.unionByName(last_rows(before.select(*source.columns)))
 
 
@@ -62,48 +69,60 @@ def refresh(
     lookback_days: int,
     build_full: Callable[[], DataFrame],
     build_from: Callable[[date], DataFrame],
+    since: date | None = None,
+    full: bool = False,
 ) -> None:
-    """First run: everything. Later runs: recompute and replace the days since the lookback."""
-    mark = high_water_mark(spark, path, by)
+    """First run, or `full`: everything. Later runs: recompute and replace the days since the lookback.
+
+    `since` is the first day whose source rows changed, where that lies before
+    the lookback: days that arrive late are named by it.
+    """
+    mark = None if full else high_water_mark(spark, path, by)
     if mark is None:
         sinks.replace_partitions(build_full(), path, by)
         return
     start = mark - timedelta(days=lookback_days)
+    if since is not None:
+        start = min(start, since)
     fresh = build_from(start).where(F.col(by) >= F.lit(start))
     sinks.replace_partitions(fresh, path, by)
 
 
-def refresh_stock_fact(spark: SparkSession, quotes: DataFrame, path: str, lookback_days: int = STOCK_LOOKBACK_DAYS) -> None:
-    def since(start: date) -> DataFrame:
+def refresh_stock_fact(
+    spark: SparkSession, quotes: DataFrame, path: str, lookback_days: int = STOCK_LOOKBACK_DAYS, since: date | None = None, full: bool = False
+) -> None:
+    """A late day changes the windows of the rows after it as well, so all days from it on are rewritten."""
+
+    def build_from(start: date) -> DataFrame:
         needed = quotes.select(*indicators.FACT_COLUMNS)
         return indicators.stock_fact(rows_with_history(needed, start, ["stock_id"], indicators.HISTORY_ROWS))
 
-    refresh(spark, path, "trade_date", lookback_days, lambda: indicators.stock_fact(quotes), since)
+    refresh(spark, path, "trade_date", lookback_days, lambda: indicators.stock_fact(quotes), build_from, since, full)
 
 
 def refresh_industry_daily(
-    spark: SparkSession, quotes: DataFrame, universe: DataFrame, path: str, lookback_days: int = OTHER_LOOKBACK_DAYS
+    spark: SparkSession, quotes: DataFrame, universe: DataFrame, path: str, lookback_days: int = OTHER_LOOKBACK_DAYS, since: date | None = None, full: bool = False
 ) -> None:
-    def since(start: date) -> DataFrame:
+    def build_from(start: date) -> DataFrame:
         return industry.industry_daily(quotes.where(F.col("trade_date") >= F.lit(start)), universe)
 
-    refresh(spark, path, "trade_date", lookback_days, lambda: industry.industry_daily(quotes, universe), since)
+    refresh(spark, path, "trade_date", lookback_days, lambda: industry.industry_daily(quotes, universe), build_from, since, full)
 
 
 def refresh_industry_fact(
-    spark: SparkSession, daily: DataFrame, dimension: DataFrame, path: str, lookback_days: int = OTHER_LOOKBACK_DAYS
+    spark: SparkSession, daily: DataFrame, dimension: DataFrame, path: str, lookback_days: int = OTHER_LOOKBACK_DAYS, since: date | None = None, full: bool = False
 ) -> None:
     """One earlier row per industry and market is read, for the return of the first rewritten day."""
 
-    def since(start: date) -> DataFrame:
+    def build_from(start: date) -> DataFrame:
         needed = rows_with_history(daily, start, ["industry_code", "market"], 1)
         return industry.industry_fact(needed, dimension)
 
-    refresh(spark, path, "trade_date", lookback_days, lambda: industry.industry_fact(daily, dimension), since)
+    refresh(spark, path, "trade_date", lookback_days, lambda: industry.industry_fact(daily, dimension), build_from, since, full)
 
 
 def refresh_rows(
-    spark: SparkSession, rows: DataFrame, path: str, by: str, lookback_days: int = OTHER_LOOKBACK_DAYS
+    spark: SparkSession, rows: DataFrame, path: str, by: str, lookback_days: int = OTHER_LOOKBACK_DAYS, since: date | None = None, full: bool = False
 ) -> None:
     """Refresh of a table whose rows do not depend on other days."""
-    refresh(spark, path, by, lookback_days, lambda: rows, lambda start: rows.where(F.col(by) >= F.lit(start)))
+    refresh(spark, path, by, lookback_days, lambda: rows, lambda start: rows.where(F.col(by) >= F.lit(start)), since, full)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,14 +63,19 @@ def require_unique(table: str, rows: DataFrame, *keys: str) -> None:
 
 
 def refresh_marts(
-    spark: SparkSession, quotes: DataFrame, universe: DataFrame, seed: DataFrame, sentiment: DataFrame, root: str
+    spark: SparkSession, quotes: DataFrame, universe: DataFrame, seed: DataFrame, sentiment: DataFrame, root: str,
+    since: date | None = None, full: bool = False,
 ) -> dict[str, DataFrame]:
     """Build or refresh every mart under a root folder.
 
+    `since` rewrites from an earlier day than the lookback (rows that came
+    late, requeued days), `full` everything.
+
     Each fact is written once and read back by the models that use it, which
     cuts their lineage at a table instead of recomputing it per reader.
     """
     require_unique("universe", universe, "stock_id")
+    require_unique("quotes", quotes, "stock_id", "trade_date")
 
     def table(name: str, df: DataFrame) -> DataFrame:
         return sinks.materialize(df, name, "marts", f"{root}/{name}")
@@ -83,17 +88,17 @@ def refresh_marts(
     industries = table("dim_industry", lazy.industry_dimension)
     dates = table("dim_date", lazy.date_dimension)
 
-    R.refresh_industry_daily(spark, quotes, universe, f"{root}/int_industry_daily_price")
+    R.refresh_industry_daily(spark, quotes, universe, f"{root}/int_industry_daily_price", since=since, full=full)
     daily = written("int_industry_daily_price", lazy.industry_daily)
-    R.refresh_industry_fact(spark, daily, industries, f"{root}/fact_industry_price")
+    R.refresh_industry_fact(spark, daily, industries, f"{root}/fact_industry_price", since=since, full=full)
     industry_fact = written("fact_industry_price", lazy.industry_fact)
-    R.refresh_stock_fact(spark, quotes, f"{root}/fact_stock_daily")
+    R.refresh_stock_fact(spark, quotes, f"{root}/fact_stock_daily", since=since, full=full)
     stock_fact = written("fact_stock_daily", lazy.stock_fact)
-    R.refresh_rows(spark, lazy.sentiment_fact, f"{root}/fact_fear_greed", "index_date")
+    R.refresh_rows(spark, lazy.sentiment_fact, f"{root}/fact_fear_greed", "index_date", since=since, full=full)
     mood = written("fact_fear_greed", lazy.sentiment_fact)
     wide = W.market_wide(stock_fact, stocks, industries, industry_fact, mood)
     # The wide table follows the stock fact, which rewrites more days than the others.
-    R.refresh_rows(spark, wide, f"{root}/marts_market_obt", "trade_date", R.STOCK_LOOKBACK_DAYS)
+    R.refresh_rows(spark, wide, f"{root}/marts_market_obt", "trade_date", R.STOCK_LOOKBACK_DAYS, since, full)
     return {
         "dim_stock": stocks, "dim_industry": industries, "dim_date": dates,
         "int_industry_daily_price": daily, "fact_industry_price": industry_fact,
@@ -102,12 +107,42 @@ def refresh_marts(
     }
 
 
+class StoredMarts:
+    """The marts as they were written, for questions and gates. A table's folders are listed when it is first asked for."""
+
+    TABLES = {
+        "stock_dimension": "dim_stock", "industry_dimension": "dim_industry", "date_dimension": "dim_date", "industry_daily": "int_industry_daily_price",
+        "industry_fact": "fact_industry_price", "stock_fact": "fact_stock_daily", "sentiment_fact": "fact_fear_greed", "market_wide": "marts_market_obt",
+    }
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark, self._root = spark, root
+
+    def __getattr__(self, mart: str) -> DataFrame:
+        if mart not in self.TABLES:
+            raise AttributeError(mart)
+        table = self._spark.read.parquet(f"{self._root}/{self.TABLES[mart]}")
+        setattr(self, mart, table)
+        return table
+
+
+def read_marts(spark: SparkSession, root: str) -> StoredMarts:
+    return StoredMarts(spark, root)
+
+
 def _present(column: str) -> Column:
     return F.col(column).isNotNull()
 
 
-def quality_gates(marts: Marts, today: date) -> DataFrame:
-    """Verdict table of all rules; one scan per table, one shuffle per key rule."""
+def freshness_gates(loads: DataFrame, anchor: datetime, sources: list[str]) -> DataFrame:
+    """Verdict rows of the expected sources: one that is too old, or was never loaded, fails."""
+    states = Q.freshness(loads, anchor, sources)
+    late = F.col("state") == "error"
+    return states.select(F.col("source").alias("table_name"), F.lit("freshness").alias("rule"), F.lit("loaded_at").alias("column_name"), late.cast("bigint").alias("failing_rows"), (~late).alias("passed"))
+
+
+def quality_gates(marts: Marts | StoredMarts, today: date) -> DataFrame:
+    """Verdict table of all rules; one scan per table, one shuffle per key rule. Over written marts each scan reads one table."""
     price_rules = [
         Q.Rule("accepted_range", c, Q.out_of_range(c, 0, 100_000, where=_present(c)))
         for c in ("close_price", "open_price", "high_price", "low_price")
@@ -153,6 +188,7 @@ def quality_gates(marts: Marts, today: date) -> DataFrame:
         Q.verdicts("dim_stock", marts.stock_dimension, dimension_rules),
         Q.verdicts("dim_date", marts.date_dimension, [Q.Rule("not_null", "calendar_date", Q.is_missing("calendar_date"))]),
         Q.verdicts("dim_industry", marts.industry_dimension, [Q.Rule("not_null", "industry_code", Q.is_missing("industry_code"))]),
+        Q.key_verdict("fact_stock_daily", marts.stock_fact, "stock_id", "trade_date"),
         Q.key_verdict("fact_fear_greed", marts.sentiment_fact, "index_date"),
         Q.key_verdict("dim_stock", marts.stock_dimension, "stock_id"),
         Q.key_verdict("dim_date", marts.date_dimension, "calendar_date"),

@@ -16,6 +16,10 @@ from marketmill import schemas as S
 from marketmill.operators.quotes import with_trade_date
 
 
+#: A file beside a day's data, or in its place, that says that the day has none.
+NO_DATA_MARKER = "_no_data_marker.json"
+
+
 def partition_path(root: str, source: str, key: str, value: str) -> str:
     return f"{root}/{source}/{key}={value}"
 
@@ -29,12 +33,26 @@ def partition_values(spark: SparkSession, path: str, key: str) -> DataFrame:
     """Values of a partition column that hold a file. File names are listed, no file is opened."""
     try:
         files = spark.read.format("binaryFile").load(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], f"{key} string")
     value = F.regexp_extract("path", f"/{key}=([^/]+)/", 1)
     return files.select(F.url_decode(value).alias(key)).where(F.col(key) != "").distinct()
 
 
+def marked_days(spark: SparkSession, root: str, source: str, key: str = "dt", marker: str = NO_DATA_MARKER) -> DataFrame:
+    """Days whose folder holds a marker that there is no data. One name per day is listed, no file is opened.
+
+    Spark's readers hide names with a leading underscore, so the file system is asked.
+    """
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/{source}/{key}=*/{marker}")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    days = [(f.getPath().getParent().getName().split("=", 1)[1],) for f in found or []]
+    return spark.createDataFrame(days, f"{key} string")
+
+
 def landed_keys(spark: SparkSession, root: str, source: str, key: str = "dt") -> DataFrame:
     """Days, or instruments, that a source has data for."""
     return partition_values(spark, f"{root}/{source}", key)

@@ -66,15 +66,18 @@ def mark_no_data(days: DataFrame, root: str, source: str) -> None:
     land_raw(confirmed, root, f"{source}{NO_DATA_SUFFIX}")
 
 
-def append_run_log(rows: DataFrame, path: str) -> bool:
-    """Append log rows, filed by run date. A log that cannot be written warns and never fails the caller."""
+def append_run_log(rows: DataFrame, path: str) -> DataFrame | None:
+    """Append log rows, filed by run date; returns rows that could not be written, to be kept elsewhere, else None.
+
+    A log that cannot be written warns and never fails the caller.
+    """
     try:
         dated = rows.withColumn("run_date", F.to_date("run_timestamp"))
         dated.write.mode("append").partitionBy("run_date").parquet(path)
-        return True
+        return None
     except Exception as error:  # noqa: BLE001 - the run itself succeeded
         warnings.warn(f"run log not written: {error}", stacklevel=2)
-        return False
+        return rows
 
 
 def materialize(df: DataFrame, name: str, layer: str, path: str | None = None, by: str | None = None) -> DataFrame:

@@ -112,9 +112,14 @@ def test_coverage_matches_brute_force(spark):
     assert {(r.market, r.dt, r.gap) for r in gaps} == {(*k, len(listed_on[k]) - len(present[k])) for k in days if len(listed_on[k]) - len(present[k]) > 1}
     assert [r.gap for r in gaps] == sorted((r.gap for r in gaps), reverse=True)
     scan = V.raw_gap_scan(q, u, min_missing=3).collect()
-    big = {k for k in days if len(listed_on[k] - present[k]) >= 3}
-    assert {(r.market, r.dt, r.stock_id) for r in scan} == {x for x in missing if x[:2] in big}
-    assert all(r.actual_count == len(present[r.market, r.dt]) for r in scan)
+    assert {(r.market, r.dt): (r.actual_count, r.missing_count) for r in scan} == {k: (len(present[k]), len(listed_on[k] - present[k])) for k in days if len(listed_on[k] - present[k]) >= 3}
+    order = {m: sorted(d for dm, d in days if dm == m) for m, _ in days}
+    spans = V.absence_intervals(q, u).collect()
+    inside = [(r.market, d, r.stock_id) for r in spans for d in order[r.market] if r.first_day <= d <= r.last_day]
+    assert sorted(inside) == sorted(missing) and sum(r.days_absent for r in spans) == len(missing)
+    asked = [k for k in sorted(days)][::3] + [("TWSE", D0 - timedelta(days=900))]
+    some = V.missing_on(q, u, spark.createDataFrame(asked * 2, "market string, dt date")).collect()
+    assert sorted((r.market, r.dt, r.stock_id) for r in some) == sorted(x for x in missing if x[:2] in asked)
 
 
 @pytest.mark.parametrize("official_only", [False, True])
@@ -125,11 +130,13 @@ def test_completeness(spark, official_only):
     rows += [(D0 + timedelta(days=3), "other")]
     quotes = spark.createDataFrame([("TPEx" if s == "other" else "TWSE", d, s) for d, s in rows], "market string, dt date, stock_id string")
     requested = B.requested_days(spark, "2026-01-01", "2026-01-04")
-    got = {(r.dt - D0).days: r for r in V.completeness(requested, quotes, official, S.MARKET_A, official_only).collect()}
-    assert got[0].passed and got[0].ratio == 0.95 and got[0].missing_ids is None
+    rows = V.completeness(requested, quotes, official, S.MARKET_A, official_only, start="2026-01-01", end="2026-01-04").collect()
+    got = {(r.dt - D0).days: r for r in rows}
+    gone = lambda day: sorted(r.missing_id for r in rows if (r.dt - D0).days == day and r.missing_id)
+    assert got[0].passed and got[0].ratio == 0.95 and gone(0) == []
     assert got[1].passed is (not official_only) and got[1].present == (5 if official_only else 20)
     if official_only:
-        assert got[1].missing_ids == ",".join(f"{i:02d}" for i in range(5, 15))
+        assert gone(1) == [f"{i:02d}" for i in range(5, 20)]
     assert not got[2].passed and got[2].present == (0 if official_only else 1)
     assert got[3].passed and not got[3].landed
 
@@ -215,6 +222,24 @@ def test_incremental_industry_fact_equals_a_rebuild(spark):
     assert sorted(built.collect(), key=key) == sorted(whole.collect(), key=key)
 
 
+def test_late_days_and_null_industries_equal_a_rebuild(spark):
+    """A null industry keeps its history; a day before the lookback reaches the facts when it is named."""
+    days = [(s, d) for s in ("a", "bb", "ccc") for d in range(60)]
+    universe = spark.createDataFrame([("a", "01"), ("bb", None), ("ccc", None)], "stock_id string, industry_code string")
+    names = spark.createDataFrame([("01", "one")], "industry_code string, industry_name string")
+    rows = lambda keep: frame(spark, [quote(s, d, 99.0 if (s, d) == ("a", 20) else 10.0 + d + len(s)) for s, d in days if keep(s, d)])
+    first, every = rows(lambda s, d: d < 57 and (s, d) != ("a", 20)), rows(lambda s, d: True)
+    paths = [scratch_path(spark, n) for n in ("daily", "industry", "stock")]
+    whole_daily = G.industry_daily(every, universe)
+    for quotes, since in ((first, None), (every, D0 + timedelta(days=20))):
+        R.refresh_industry_daily(spark, quotes, universe, paths[0], since=since)
+        R.refresh_industry_fact(spark, spark.read.schema(whole_daily.schema).parquet(paths[0]), names, paths[1], since=since)
+        R.refresh_stock_fact(spark, quotes, paths[2], since=since)
+    for path, whole in ((paths[1], G.industry_fact(whole_daily, names)), (paths[2], I.stock_fact(every))):
+        built = spark.read.schema(whole.schema).parquet(path).select(*whole.columns)
+        assert sorted(map(str, built.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_marts_refuse_a_universe_that_would_fan_out(spark):
     twice = spark.createDataFrame([("a",), ("a",)], "stock_id string")
     with pytest.raises(ValueError):

@@ -78,12 +78,16 @@ def test_backlog_over_the_lake(spark, lake):
     assert days() == ["2026-07-07", "2026-07-10", "2026-07-11"]
     sinks.mark_no_data(spark.createDataFrame([("2026-07-11",)], "dt string"), root, "quotes_a")
     assert days() == ["2026-07-07", "2026-07-10"]
+    put(lake, "quotes_a/dt=2026-07-10/_no_data_marker.json", {"status": "confirmed"})
+    assert [r.dt for r in raw.marked_days(spark, root, "quotes_a").collect()] == ["2026-07-10"]
+    assert days() == ["2026-07-07"]
+    assert sorted(r.dt for r in raw.landed_keys(spark, root, "quotes_a").collect()) == ["2026-07-08", "2026-07-09"]
 
 
 def test_run_log_never_fails_the_caller(spark):
     rows = spark.createDataFrame([(datetime(2026, 1, 1), "ok")], "run_timestamp timestamp_ntz, status string")
     with pytest.warns(UserWarning):
-        assert sinks.append_run_log(rows, "nofs://nowhere/log") is False
+        assert sinks.append_run_log(rows, "nofs://nowhere/log").count() == 1
 
 
 def test_shipped_seed_keeps_leading_zeros(spark):
