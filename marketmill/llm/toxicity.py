@@ -1,10 +1,11 @@
 """Toxicity scores by a counterfactually regularised classifier.
 
-A logistic regression over the words that a text contains and how they begin. For every labelled
-text that mentions a group, each identity term is swapped for the next one of
-its list; the squared change of the score's logit is added to the loss. So a
-mention alone cannot move the score, and neutral texts about a group are not
-taken for toxic because toxic ones mention it.
+A logistic regression over the words that a text contains and how they begin.
+Every labelled text that mentions a group has two counterfactuals: each identity
+term swapped for the next one of its list, and each left out. The squared change
+of the score's logit is added to the loss. So neither the group nor its mention
+can move the score, and neutral texts about a group are not taken for toxic
+because toxic ones mention it.
 
 Fitting takes a bounded sample: SAMPLE labelled documents, those with the
 smallest hash of their id, and features in at least LEAST_DOCUMENTS of them whose share
@@ -78,18 +79,21 @@ def features(texts: list[bytes]) -> list[np.ndarray]:
     return [np.unique(every[s:e]) for s, e in zip(cuts, cuts[1:])]
 
 
-def swaps() -> dict[int, int]:
-    """Each identity term's code to that of the next one of its list."""
+def swaps() -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Each identity term's code to its own features and those of the next one of its list."""
     out = {}
     for terms in IDENTITY_LISTS:
-        codes = word_codes(list(terms)).tolist()
-        out.update({a: b for a, b in zip(codes, codes[1:] + codes[:1]) if a not in out})
+        codes, own = word_codes(list(terms)).tolist(), features([t.encode() for t in terms])
+        for code, mine, other in zip(codes, own, own[1:] + own[:1]):
+            out.setdefault(code, (mine, other))
     return out
 
 
-def swapped(codes: np.ndarray, table: dict[int, int]) -> np.ndarray:
-    """The features of the text with its identity terms swapped."""
-    return np.unique(np.array([table.get(c, c) for c in codes.tolist()], np.uint64))
+def counterfactuals(codes: np.ndarray, table: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The features of the text with its identity terms swapped, and without them."""
+    terms = [table[c] for c in codes.tolist() if c in table]
+    bare = np.setdiff1d(codes, np.concatenate([mine for mine, _ in terms]))
+    return np.union1d(bare, np.concatenate([other for _, other in terms])), bare
 
 
 class Model:
@@ -127,7 +131,7 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, penalty: float = PENALTY
     ones = int(labels.sum())
     share = counts / n
     z = (toxic / ones - (counts - toxic) / (n - ones)) / np.sqrt(share * (1 - share) * (1 / ones + 1 / (n - ones)) + 1e-30)
-    known = np.union1d(known[(counts >= least) & (np.abs(z) >= LEAST_Z)], np.array(list(table), np.uint64))
+    known = np.union1d(known[(counts >= least) & (np.abs(z) >= LEAST_Z)], np.concatenate([mine for mine, _ in table.values()]))
 
     def sparse(rows):
         owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
@@ -137,10 +141,10 @@ def fit(examples: list[np.ndarray], labels: np.ndarray, penalty: float = PENALTY
         return owner[ok], at[ok]
 
     row, column = sparse(examples)
-    # Only texts with an identity term change when swapped: +1 for what they have, -1 for what the swap has.
+    # Only texts with an identity term have counterfactuals: +1 for what they have, -1 for what those have.
     terms = np.array(sorted(table), np.uint64)
-    named = [k for k, e in enumerate(examples) if np.isin(terms, e).any()]
-    before, after = sparse([examples[k] for k in named]), sparse([swapped(examples[k], table) for k in named])
+    named = [e for e in examples if np.isin(terms, e).any() for _ in range(2)]
+    before, after = sparse(named), sparse([c for e in named[::2] for c in counterfactuals(e, table)])
     pair = np.concatenate([before[0], after[0]])
     part = np.concatenate([before[1], after[1]])
     sign = np.concatenate([np.ones(len(before[0])), -np.ones(len(after[0]))])
