@@ -271,16 +271,17 @@ def test_mentions_of_groups_do_not_count():
 
 def quality_rows():
     rng = random.Random(9)
-    banner, footer = " ".join(words(rng, 20)), "Page 12 of " + " ".join(words(rng, 4))
+    banners, footer = [" ".join(words(rng, 20)) for _ in range(4)], "Page 12 of " + " ".join(words(rng, 4))
     rows = []
     for k in range(120):
         lines = [" ".join(words(rng, 12)) for _ in range(6)]
-        if k < 60:
-            lines.insert(k % 6, banner.upper() if k % 2 else banner + "  ")
+        if k < 100:
+            banner = banners[k % 4]
+            lines.insert(k % 6, banner.upper() if k % 3 else banner + "  ")
         if k % 3 == 0:
             lines.append(footer.replace("12", str(10 + k % 80)))
         rows.append((300 + k, "\n".join(lines), "a" if k < 100 else "b"))
-    rows += [(500 + k, "\n".join([banner] * 5 + [" ".join(words(rng, 8))]), "a") for k in range(3)]
+    rows += [(500 + k, "\n".join([*banners, " ".join(words(rng, 8))]), "a") for k in range(3)]
     return rows
 
 
