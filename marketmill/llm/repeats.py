@@ -30,12 +30,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketmill.llm.shared import stored
+from marketmill.llm.shared import small, stored
 from marketmill.llm.text import _powers, chunks, constants, mix
 
 GROUP = 1000
-#: Spans (and two for each document) that are broadcast at most.
-BROADCAST_SPANS = 1_000_000
+CHUNK_BYTES = 1 << 19
 
 _BASE = int(constants(1, 61)[0])
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -109,7 +108,34 @@ class Shape:
         }
 
 
-_RUN = "anchor long, content long, id long, first long, last long, at long"
+_RUN = "anchor long, content long, id long, first long, last long, at long, n long, spans array<struct<s:long,e:long>>, later array<struct<s:long,e:long>>"
+_SPANS = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+
+
+def merged(starts: np.ndarray, length: int) -> list[dict[str, int]]:
+    """The spans that windows of a length at sorted starts cover."""
+    cut = np.flatnonzero(np.diff(starts) > length)
+    return [{"s": int(s), "e": int(e) + length} for s, e in zip(starts[np.concatenate([[0], cut + 1])], starts[np.concatenate([cut, [len(starts) - 1]])])]
+
+
+def one_per_text(found: dict[str, np.ndarray], keys: tuple[str, ...], length: int) -> dict:
+    """Equal runs of a text as one row: the first of them, their number, what all of them cover, and all but the first. So a word that fills texts makes a row for each."""
+    order = np.lexsort([found["first"], *[found[k] for k in keys], found["text"]])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for name in ("text", *keys):
+        values = found[name][order]
+        new[1:] |= values[1:] != values[:-1]
+    head = np.flatnonzero(new)
+    counts = np.diff(np.append(head, len(order)))
+    out = {name: values[order[head]] for name, values in found.items()} | {"n": counts}
+    spans, later = [None] * len(head), [None] * len(head)
+    if "content" in keys:
+        for k in np.flatnonzero(counts > 1).tolist():
+            starts = found["first"][order[head[k]:head[k] + counts[k]]]
+            size = int(out["last"][k] - out["first"][k]) + length
+            spans[k], later[k] = merged(starts, size), merged(starts[1:], size)
+    return out | {"spans": spans, "later": later}
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -119,6 +145,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def find_runs(texts: DataFrame, shape: Shape, columns: tuple[str, ...]) -> DataFrame:
     """The runs of all rows id, text: some of the columns of _RUN. Rows without id or text have none."""
     kept = ", ".join(c for c in _RUN.split(", ") if c.split()[0] in columns)
+    columns = tuple(c.split()[0] for c in kept.split(", "))
 
     def pieces(batch):
         for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -130,25 +157,24 @@ def find_runs(texts: DataFrame, shape: Shape, columns: tuple[str, ...]) -> DataF
                     yield text[start:start + step + shape.length - 1], id_, start
 
     def run(batches):
-        for batch in batches:
-            for held in chunks(pieces(batch)):
+        for batch in small(batches):
+            for held in chunks(pieces(batch), CHUNK_BYTES):
                 found = shape.runs([t for t, _, _ in held])
                 if not found:
                     continue
-                text, start = found.pop("text"), np.array([s for _, _, s in held])
+                start = np.array([s for _, _, s in held])[found["text"]]
                 for name in ("first", "last", "at"):
-                    found[name] = found[name] + start[text]
-                found["id"] = np.array([i for _, i, _ in held])[text]
-                names = [c.split()[0] for c in kept.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(found[c], pa.int64()) for c in names], names)
+                    found[name] = found[name] + start
+                found = one_per_text(found, ("anchor", "content") if "content" in columns else ("anchor",), shape.length)
+                found["id"] = np.array([i for _, i, _ in held])[found["text"]]
+                yield pa.RecordBatch.from_arrays([pa.array(found[c], _SPANS if c in ("spans", "later") else pa.int64()) for c in columns], list(columns))
 
     return texts.where("id is not null and text is not null").mapInArrow(run, kept)
 
 
 def classes_of(runs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """anchor, content, n, f (the first occurrence: id, first, last, at and extra columns). A column n of the runs counts for each row."""
-    n = F.sum("n") if "n" in runs.columns else F.count("*")
-    return runs.groupBy("anchor", "content").agg(n.alias("n"), F.min(F.struct("id", "first", "last", "at", *extra)).alias("f"))
+    """anchor, content, n, f (the first occurrence: id, first, last, at and extra columns)."""
+    return runs.groupBy("anchor", "content").agg(F.sum("n").alias("n"), F.min(F.struct("id", "first", "last", "at", *extra)).alias("f"))
 
 
 def contested(classes: DataFrame) -> DataFrame:
@@ -166,7 +192,7 @@ def fetch(texts: DataFrame, classes: DataFrame, shape: Shape) -> DataFrame:
 
     def run(batches):
         names = [c.split()[0] for c in _CLASS.split(", ")]
-        for batch in batches:
+        for batch in small(batches, 16):
             for id_, text, runs in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 tokens = shape.tokens(text)
                 rows = [
@@ -186,7 +212,7 @@ def halves(rows: DataFrame, shape: Shape) -> DataFrame:
 
     def run(batches):
         names = [c.split()[0] for c in schema.split(", ")]
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for anchor, n, id_, first, last, at, low, high, _, body in zip(*(c.to_pylist() for c in batch.columns)):
                 tokens, middle = shape.tokens(body), (low + high) // 2
@@ -205,13 +231,16 @@ def halves(rows: DataFrame, shape: Shape) -> DataFrame:
 def _marked(runs: DataFrame, classes: DataFrame, shape: Shape, keep_first: bool) -> DataFrame:
     """Spans of the runs that occur again as a whole: all of them, or all but the first."""
     both = runs.join(classes.where("n > 1").select("anchor", "content", F.col("f.id").alias("fid"), F.col("f.first").alias("ffirst")), ["anchor", "content"])
+    one = F.array(F.struct(F.col("first").alias("s"), (F.col("last") + shape.length).alias("e")))
+    every = F.coalesce("spans", one) if "spans" in runs.columns else one
     if keep_first:
-        both = both.where("id <> fid or first <> ffirst")
-    return both.select("id", F.col("first").alias("start"), (F.col("last") + shape.length).alias("end"))
+        rest = F.coalesce("later", F.filter(one, lambda x: F.lit(False))) if "later" in runs.columns else F.filter(one, lambda x: F.lit(False))
+        every = F.when(F.expr("id <> fid or first <> ffirst"), every).otherwise(rest)
+    return both.select("id", F.explode(every).alias("x")).select("id", F.col("x.s").alias("start"), F.col("x.e").alias("end"))
 
 
-def judged(small: DataFrame, judge: Callable[[list[tuple]], Iterator[tuple[int, int, int]]], shard_bytes: int) -> DataFrame:
-    """Spans id, start, end that `judge` finds among whole groups, several at a time; small is partitioned and sorted by group."""
+def judged(contents: DataFrame, judge: Callable[[list[tuple]], Iterator[tuple[int, int, int]]], shard_bytes: int) -> DataFrame:
+    """Spans id, start, end that `judge` finds among whole groups, several at a time; the contents are partitioned and sorted by group."""
 
     def run(batches):
         held, size, last = [], 0, None
@@ -221,7 +250,7 @@ def judged(small: DataFrame, judge: Callable[[list[tuple]], Iterator[tuple[int,
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*rows)], ["id", "start", "end"])
 
-        for batch in batches:
+        for batch in small(batches):
             for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if size >= shard_bytes and row[0] != last:
                     yield from spans()
@@ -232,7 +261,7 @@ def judged(small: DataFrame, judge: Callable[[list[tuple]], Iterator[tuple[int,
         if held:
             yield from spans()
 
-    return small.select("anchor", "n", "id", "first", "body").mapInArrow(run, "id long, start long, end long")
+    return contents.select("anchor", "n", "id", "first", "body").mapInArrow(run, "id long, start long, end long")
 
 
 def repeated_spans(docs: DataFrame, shape: Shape, keep_first: bool, judge, deal: Callable[[DataFrame], DataFrame], id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = 1 << 20) -> DataFrame:
@@ -242,8 +271,8 @@ def repeated_spans(docs: DataFrame, shape: Shape, keep_first: bool, judge, deal:
     yields spans; deal partitions and sorts the rows so that groups stay whole.
     """
     texts = _rows(docs, id_col, text_col)
-    suspects = find_runs(texts, shape, ("anchor",)).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    every = find_runs(texts, shape, ("anchor", "content", "id", "first", "last", "at"))
+    suspects = find_runs(texts, shape, ("anchor", "n")).groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
+    every = find_runs(texts, shape, ("anchor", "content", "id", "first", "last", "at", "n", "spans", "later"))
     runs = stored(every.join(suspects, "anchor", "left_semi"), "repeat-runs")
     classes = stored(classes_of(runs), "repeat-classes")
     found = [_marked(runs, classes, shape, keep_first)]
@@ -264,14 +293,10 @@ def repeated_spans(docs: DataFrame, shape: Shape, keep_first: bool, judge, deal:
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, text (bytes, null as empty), starts, ends: each document with its spans, in no order.
-
-    Spans of few documents are broadcast after their number is known, those of more are joined.
-    """
-    merged = stored(spans.groupBy("id").agg(F.collect_set(F.struct("start", "end")).alias("spans")).select(F.col("id").alias("sid"), "spans.start", "spans.end"), "repeat-spans")
-    size = merged.agg(F.sum(2 + F.size("start"))).first()[0] or 0
+    """id, text (bytes, null as empty), starts, ends: each document with its spans, in no order."""
+    merged_spans = spans.groupBy("id").agg(F.collect_set(F.struct("start", "end")).alias("spans")).select(F.col("id").alias("sid"), "spans.start", "spans.end")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
-    joined = texts.join(F.broadcast(merged) if size <= BROADCAST_SPANS else merged, F.col("id") == F.col("sid"), "left")
+    joined = texts.join(merged_spans, F.col("id") == F.col("sid"), "left")
     none = F.array().cast("array<long>")
     return joined.select("id", "text", F.coalesce("start", none).alias("starts"), F.coalesce("end", none).alias("ends"))
 

@@ -30,9 +30,18 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write to the shared folder and read back: later work starts there, also after executors are lost."""
     path = scratch_path(df.sparkSession, name)
     df.write.options(**options).parquet(path)
+    # What the step shuffled is freed when the driver collects its garbage, not before.
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(batches, rows: int = 512):
+    """Batches of a few rows: Spark's hold thousands, which as Python objects take many times the space."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def new_name(df: DataFrame, name: str) -> str:
     """A column name that the table does not have, however its own are called."""
     taken = {c.lower() for c in df.columns}

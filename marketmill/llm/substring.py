@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketmill.llm.repeats import Shape, covered, repeated_spans, with_spans
-from marketmill.llm.shared import prepare
+from marketmill.llm.shared import prepare, small
 from marketmill.llm.text import Words
 
 LENGTH = 35
@@ -146,7 +146,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """id, n_words, n_removed, kept: the words left, joined by a space."""
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             ids, texts, starts, ends = (batch.column(i).to_pylist() for i in range(4))
             total, removed, kept = [], [], []
             for text, s, e in zip(texts, starts, ends):
