@@ -15,13 +15,15 @@ at least 75 percent; a component is what links connect.
 3. In every node with two or more classes, each is compared with the smallest
    one. Confirmed links make first components.
 4. Nodes whose members are in one component have nothing more to tell. The
-   others branch on until they hold at most LEAF members; nodes that MAX_DEPTH
+   others branch on until they are small, by their members and the size of
+   those members' sets; nodes that MAX_DEPTH
    levels do not split are dealt into pairs of blocks. There all members of
-   different components are compared by their minwise values, and those
-   within five standard deviations of the threshold are confirmed, best
-   first, in rounds, until none is left that is neither confirmed nor refuted
-   nor inside one component. Only links between components are looked for, so
-   a group of n copies costs about n confirmations, not n squared.
+   different components are compared by their minwise values. Of those within
+   five standard deviations of the threshold the BEST of each document are
+   confirmed first. Then the full sets of the members that such pairs still
+   keep open are brought to their node and compared exhaustively, and no pair
+   leaves the task but links between components. So a group of n copies makes
+   rows in proportion to n, not to its pairs.
 
 Every confirmation compares the full sets. A hot class or node is joined by
 keys that Spark can split, and counts combine before shuffles.
@@ -41,19 +43,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketmill.llm.shared import connected_components, prepare, stored
+from marketmill.llm.shared import connected_components, prepare, small, stored, without_ids
 from marketmill.llm.text import Words, chunks, constants, gram_hashes, mix
 
 SHINGLE = 5
 PERCENT = 75
 HASHES = 128
 TREES = 16
-LEAF = 512
+#: Members of a node, and shingles of all of them, that are compared exhaustively in one task.
+LEAF = 4096
+LEAF_SHINGLES = 4_000_000
 MAX_DEPTH = 8
 #: Equal minwise values that a pair must have to be confirmed: five standard deviations below the threshold.
 LEAST_EQUAL = math.floor(HASHES * PERCENT / 100 - 5 * math.sqrt(HASHES * PERCENT / 100 * (1 - PERCENT / 100)))
-#: Candidates that a document brings into each round of confirmations; the last round takes all.
-ROUNDS = (4, 64, None)
+#: Candidates that a document brings into the first confirmations; what they leave apart is compared in whole.
+BEST = 4
 BROADCAST_IDS = 1_000_000
 
 
@@ -138,7 +142,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> Da
     few = ids.count() <= BROADCAST_IDS
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             for held in chunks(zip(batch.column(1).to_pylist(), batch.column(0).to_pylist())):
                 yield pa.RecordBatch.from_arrays([pa.array([i for _, i in held], pa.int64()), pa.array([s.tobytes() for s in shingle_sets([t for t, _ in held])], pa.binary())], ["id", "items"])
 
@@ -158,8 +162,8 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs a, b whose full sets are similar."""
 
     def run(batches):
-        for batch in batches:
-            a, b, left, right = (batch.column(i).to_pylist() for i in range(4))
+        for batch in small(batches):
+            left, right = (batch.column(i).to_pylist() for i in (2, 3))
             ok = pa.array([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(left, right)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], ["a", "b"])
 
@@ -184,13 +188,14 @@ def star_candidates(crowd: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def contested(rows: DataFrame) -> DataFrame:
-    """Rows (node, id, component, ...) of the nodes with two or more components, with the number of their members."""
-    stats = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("node", "n")
-    return rows.drop("n").join(stats, "node")
+    """Rows (node, id, component, ...) of the nodes with two or more components, with the parts that are small enough to compare."""
+    parts = F.greatest(F.ceil(F.count("*") / LEAF), F.ceil(F.sum("size") / LEAF_SHINGLES)) if "size" in rows.columns else F.lit(1)
+    stats = rows.groupBy("node").agg(parts.cast("long").alias("parts"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("node", "parts")
+    return rows.drop("parts").join(stats, "node")
 
 
 def branch(rows: DataFrame) -> DataFrame:
-    """Rows node, id, component, sketch one level down."""
+    """Rows node, id, component, sketch, size one level down."""
 
     def run(batches):
         for batch in batches:
@@ -199,9 +204,9 @@ def branch(rows: DataFrame) -> DataFrame:
             for at, child in children(nodes, values):
                 if len(at):
                     take = pa.array(at)
-                    yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *(batch.column(i).take(take) for i in (1, 2, 3))], ["node", "id", "component", "sketch"])
+                    yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *(batch.column(i).take(take) for i in (1, 2, 3, 4))], ["node", "id", "component", "sketch", "size"])
 
-    return rows.select("node", "id", "component", "sketch").mapInArrow(run, "node long, id long, component long, sketch binary")
+    return rows.select("node", "id", "component", "sketch", "size").mapInArrow(run, "node long, id long, component long, sketch binary, size long")
 
 
 def leaves(rows: DataFrame) -> DataFrame:
@@ -209,12 +214,12 @@ def leaves(rows: DataFrame) -> DataFrame:
     done = []
     for depth in range(MAX_DEPTH + 1):
         rows = stored(contested(rows), "near-nodes")
-        done.append(rows.where(F.col("n") <= LEAF).select("node", "id", "sketch"))
-        large = rows.where(F.col("n") > LEAF)
+        done.append(rows.where("parts = 1").select("node", "id", "sketch"))
+        large = rows.where("parts > 1")
         if large.isEmpty():
             break
         if depth == MAX_DEPTH:
-            blocks = F.ceil(2 * F.col("n") / LEAF)
+            blocks = 2 * F.col("parts")
             dealt = large.withColumn("i", F.pmod(F.xxhash64("id"), blocks)).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
             done.append(dealt.select(F.xxhash64("node", F.least("i", "j"), F.greatest("i", "j")).alias("node"), "id", "sketch"))
             break
@@ -226,16 +231,15 @@ def leaves(rows: DataFrame) -> DataFrame:
 
 
 def _groups(batches):
-    """Columns node, id, component, sketch of one node after another, from batches sorted by node."""
+    """Node, ids, components, sketches and full sets (if there) of one node after another, from batches sorted by node."""
     held, last = [], None
 
     def full(parts):
-        ids = np.concatenate([p[1] for p in parts])
-        return ids, np.concatenate([p[2] for p in parts]), np.frombuffer(b"".join(x for p in parts for x in p[3]), np.uint8).reshape(-1, HASHES)
+        sketch = np.frombuffer(b"".join(x for p in parts for x in p[2]), np.uint8).reshape(-1, HASHES)
+        return last, np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), sketch, [x for p in parts for x in p[3]]
 
     for batch in batches:
         node, ids, component = (batch.column(i).to_numpy() for i in range(3))
-        sketch = batch.column(3).to_pylist()
         cuts = [0, *(np.flatnonzero(node[1:] != node[:-1]) + 1).tolist(), len(node)]
         for s, e in zip(cuts, cuts[1:]):
             if s == e:
@@ -244,16 +248,20 @@ def _groups(batches):
                 yield full(held)
                 held = []
             last = node[s]
-            held.append((last, ids[s:e], component[s:e], sketch[s:e]))
+            held.append((ids[s:e], component[s:e], *(batch.column(i).slice(s, e - s).to_pylist() if i < batch.num_columns else [] for i in (3, 4))))
     if held:
         yield full(held)
 
 
-def candidates(rows: DataFrame, most: int | None) -> DataFrame:
-    """Pairs of different components of a node that may be linked, the best `most` of each document (all if None)."""
+def _ordered(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.select("node", "id", "component", "sketch", *more).repartition("node").sortWithinPartitions("node", "id")
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """Pairs of different components of a node that may be linked, the BEST of each document outside the node's largest component."""
 
     def run(batches):
-        for ids, component, sketch in _groups(batches):
+        for _, ids, component, sketch, _ in _groups(batches):
             names, sizes = np.unique(component, return_counts=True)
             outside = np.flatnonzero(component != names[np.argmax(sizes)])
             a, b = [], []
@@ -261,15 +269,62 @@ def candidates(rows: DataFrame, most: int | None) -> DataFrame:
                 equal = (sketch == sketch[x]).sum(axis=1)
                 equal[component == component[x]] = 0
                 near = np.flatnonzero(equal >= LEAST_EQUAL)
-                if most is not None and len(near) > most:
-                    near = near[np.argsort(-equal[near], kind="stable")[:most]]
+                near = near[np.argsort(-equal[near], kind="stable")[:BEST]]
                 a.append(np.minimum(ids[x], ids[near]))
                 b.append(np.maximum(ids[x], ids[near]))
             if a and sum(map(len, a)):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
-    ordered = rows.select("node", "id", "component", "sketch").repartition("node").sortWithinPartitions("node", "id")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    return _ordered(rows).mapInArrow(run, "a long, b long").distinct()
+
+
+def still_open(rows: DataFrame) -> DataFrame:
+    """node, id, component, sketch of the members that a pair of different components keeps open."""
+
+    def run(batches):
+        for node, ids, component, sketch, _ in _groups(batches):
+            names, sizes = np.unique(component, return_counts=True)
+            needed = np.zeros(len(ids), bool)
+            for x in np.flatnonzero(component != names[np.argmax(sizes)]).tolist():
+                near = ((sketch == sketch[x]).sum(axis=1) >= LEAST_EQUAL) & (component != component[x])
+                if near.any():
+                    needed[x] = True
+                    needed |= near
+            if needed.any():
+                n = int(needed.sum())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, node)), pa.array(ids[needed]), pa.array(component[needed]), pa.array([s.tobytes() for s in sketch[needed]], pa.binary())], ["node", "id", "component", "sketch"])
+
+    return _ordered(rows).mapInArrow(run, "node long, id long, component long, sketch binary")
+
+
+def compare_members(ids: np.ndarray, component: np.ndarray, items: list[np.ndarray]):
+    """Links between components among the members of one node, by their full sets, as few as connect them."""
+    sizes = np.array([len(s) for s in items])
+    every, owner = np.concatenate(items), np.repeat(np.arange(len(items)), sizes)
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    names, label, counts = np.unique(component, return_inverse=True, return_counts=True)
+    for x in np.flatnonzero(label != np.argmax(counts)).tolist():
+        low, high = np.searchsorted(every, items[x], "left"), np.searchsorted(every, items[x], "right")
+        n = high - low
+        at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        common = np.bincount(owner[at], minlength=len(ids))
+        for y in np.flatnonzero(100 * common >= PERCENT * (sizes[x] + sizes - common)).tolist():
+            if label[y] != label[x]:
+                yield int(min(ids[x], ids[y])), int(max(ids[x], ids[y]))
+                label[label == label[y]] = label[x]
+
+
+def confirm_members(rows: DataFrame) -> DataFrame:
+    """Links a, b between components of the nodes of rows node, id, component, sketch, items."""
+
+    def run(batches):
+        for _, ids, component, _, items in _groups(batches):
+            links = list(compare_members(ids, component, [np.frombuffer(x, np.uint64) for x in items]))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*links)], ["a", "b"])
+
+    return _ordered(rows, "items").mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,7 +333,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     every = stored(signatures(docs, id_col, text_col), "near-signatures")
     classes = stored(every.where("n_shingles > 0 and id is not null").groupBy("key1", "key2", "n_shingles").agg(F.min("id").alias("first")), "near-classes")
     single = every.join(classes.select(F.col("first").alias("id")).distinct(), "id", "left_semi").where("n_shingles > 0")
-    sketches = single.select("id", "sketch")
+    sketches = single.select("id", "sketch", F.col("n_shingles").alias("size"))
     rows = single.select(F.explode("nodes").alias("node"), "id")
     counts = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1").select("node", "first")
     crowd = stored(rows.join(counts, "node"), "near-crowd")
@@ -293,19 +348,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return joined.withColumn("component", F.coalesce("component", "id"))
 
     open_nodes = contested(with_components(crowd.select("node", "id"))).select("node", "id", "component")
-    small = stored(leaves(open_nodes.join(sketches, "id")), "near-leaves")
-    tested = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    for most in ROUNDS:
-        found = candidates(contested(with_components(small)), most)
-        fresh = stored(found.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        if not fresh.isEmpty():
-            missing = fresh.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(sets.select("id"), "id", "left_anti")
-            sets = sets.union(full_sets(docs, stored(missing, "near-ids"), id_col, text_col))
-            more = stored(confirm(fresh, sets), "near-links")
-            tested = tested.union(fresh)
-            if not more.isEmpty():
-                links = links.union(more)
-                components = stored(connected_components(links), "near-components")
+    compared = stored(leaves(open_nodes.join(sketches, "id")), "near-leaves")
+    def needed(ids: DataFrame) -> DataFrame:
+        more = stored(ids.distinct().join(sets.select("id"), "id", "left_anti"), "near-ids")
+        return sets.union(full_sets(docs, more, id_col, text_col))
+
+    fresh = stored(candidates(contested(with_components(compared))), "near-pairs")
+    sets = needed(fresh.select(F.explode(F.array("a", "b")).alias("id")))
+    links = links.union(stored(confirm(fresh, sets), "near-links"))
+    components = stored(connected_components(links), "near-components")
+
+    rest = stored(still_open(contested(with_components(compared))), "near-open")
+    if not rest.isEmpty():
+        sets = needed(rest.select("id"))
+        links = links.union(stored(confirm_members(rest.join(sets, "id")), "near-links"))
+        components = stored(connected_components(links), "near-components")
+
     named = classes.join(components.withColumnRenamed("node", "first"), "first", "left").select("key1", "key2", "n_shingles", F.coalesce("component", "first").alias("component"))
     out = every.join(named, ["key1", "key2", "n_shingles"], "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
     return out.withColumn("kept", F.col("id").eqNullSafe(F.col("component")))
@@ -313,8 +371,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with the smallest id of their component, all columns."""
-    dropped = near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("id").alias("_dropped")).distinct()
-    return docs.join(dropped, F.col(id_col).cast("long") == F.col("_dropped"), "left_anti")
+    return without_ids(docs, id_col, near_duplicates(docs, id_col, text_col).where("not kept").select("id"))
 
 
 def op2_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
