@@ -24,6 +24,7 @@ dictionary-less, shard-less archive and no rows back.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from itertools import accumulate
@@ -43,6 +44,8 @@ DICTIONARY_SAMPLE = 4000
 SAMPLE_IDS = 2000
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
+#: Words of a generation of each of the encoder's two memos.
+MEMO = 300_000
 #: Documents that one task orders and writes come from one range of ids; shards end at this size.
 SHARD_BYTES = 256 << 20
 
@@ -60,6 +63,10 @@ def public_tokenizer(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+#: Letters of Latin-1, which are in normal form and have lower-case letters of Latin-1.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
 class WordEncoder:
     """Encodes texts with a tokenizer that drops white space and takes each word on its own, each different word once.
 
@@ -77,15 +84,15 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.core = Memo(self._encode)
-        self.memo = Memo(self._words)
+        self.core = Memo(self._encode, MEMO)
+        self.memo = Memo(self._words, MEMO)
 
     def _encode(self, words: list[str]) -> list[bytes]:
         out: dict[str, bytes] = {}
-        plain = [w for w in words if w.isalpha() and w.isascii()]
-        for k in range(0, len(plain), 64):
-            some = plain[k:k + 64]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+        plain = [w for w in words if _LETTERS.fullmatch(w)]
+        parts = [plain[k:k + 64] for k in range(0, len(plain), 64)]
+        for some, encoded in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
+            ids = np.array(encoded.ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(some):
                 raw, at = ids.tobytes(), 0
@@ -93,7 +100,7 @@ class WordEncoder:
                     out[w] = raw[4 * at:4 * cut]
                     at = cut
         rest = [w for w in words if w not in out]
-        for w, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             out[w] = np.array(e.ids, "<u4").tobytes()
         return [out[w] for w in words]
 
@@ -102,9 +109,9 @@ class WordEncoder:
         texts = [w.decode() for w in words]
         heads, tails = [], []
         for t in texts:
-            tail = t[-1] if t[-1] in ".," and len(t) > 1 and t[:-1].isalpha() and t.isascii() else ""
+            tail = t[-1] if t[-1] in ".," and _LETTERS.fullmatch(t, 0, len(t) - 1) else ""
             head = t[:-1] if tail else t
-            heads.append(head.lower() if head.isascii() else head)
+            heads.append(head.lower() if tail or _LETTERS.fullmatch(head) else head)
             tails.append(tail)
         found = self.core.look_up(heads)
         marks = {t: self._encode([t])[0] for t in set(tails) if t}
