@@ -71,6 +71,14 @@ def _stored_marts(spark, sf) -> marts.StoredMarts:
     return marts.read_marts(spark, P.stored_once(spark, sf, "marts", write))
 
 
+def _stored_history(spark, sf) -> marts.StoredMarts:
+    """Marts of all days of lineitem, written once."""
+    def write(root: str) -> None:
+        marts.write_marts(spark, P.bars(spark, sf), P.universe(spark, sf), P.seed(spark, sf), P.sentiment(spark, sf), root)
+
+    return marts.read_marts(spark, P.stored_once(spark, sf, "marts_history", write))
+
+
 def _lake_quotes(spark, sf) -> DataFrame:
     return K.stage_quotes(raw.clean_quotes(spark, P.clean_lake(spark, sf)))
 
@@ -455,7 +463,15 @@ def market_obt(spark, sf):
 
 @query
 def industry_vs_sentiment(spark, sf):
-    m = _stored_marts(spark, sf)
+    return _industry_vs_sentiment(_stored_marts(spark, sf))
+
+
+@query
+def industry_vs_sentiment_all_days(spark, sf):
+    return _industry_vs_sentiment(_stored_history(spark, sf))
+
+
+def _industry_vs_sentiment(m: marts.StoredMarts) -> DataFrame:
     pairs = D.industry_vs_sentiment(m.industry_fact, m.sentiment_fact, "AMERICA", S.MARKET_A, ALL_HISTORY)
     return shown(pairs, "weighted_avg_price")
 
@@ -492,7 +508,16 @@ def sentiment_asof(spark, sf):
 
 @query
 def scalar_latest_filter(spark, sf):
-    latest = D.latest_rows(_stored_marts(spark, sf).industry_fact, S.MARKET_A)
+    return _scalar_latest_filter(_stored_marts(spark, sf))
+
+
+@query
+def scalar_latest_filter_all_days(spark, sf):
+    return _scalar_latest_filter(_stored_history(spark, sf))
+
+
+def _scalar_latest_filter(m: marts.StoredMarts) -> DataFrame:
+    latest = D.latest_rows(m.industry_fact, S.MARKET_A)
     return shown(latest.select("trade_date", "industry_code", "weighted_avg_price", "daily_return_pct"), "weighted_avg_price")
 
 
@@ -614,11 +639,21 @@ def industry_ranking_latest(spark, sf):
     return shown(D.industry_ranking(_stored_marts(spark, sf).industry_fact, S.MARKET_A), "weighted_avg_price")
 
 
+@query
+def industry_ranking_latest_all_days(spark, sf):
+    return shown(D.industry_ranking(_stored_history(spark, sf).industry_fact, S.MARKET_A), "weighted_avg_price")
+
+
 @query
 def best_worst_industry(spark, sf):
     return D.best_and_worst(D.industry_ranking(_stored_marts(spark, sf).industry_fact, S.MARKET_A))
 
 
+@query
+def best_worst_industry_all_days(spark, sf):
+    return D.best_and_worst(D.industry_ranking(_stored_history(spark, sf).industry_fact, S.MARKET_A))
+
+
 @query
 def stock_series(spark, sf):
     return show_fact(D.stock_series(I.stock_fact(P.bars(spark, sf)), "7", ALL_HISTORY))
@@ -629,6 +664,11 @@ def stock_info(spark, sf):
     return D.stock_info(_stored_marts(spark, sf).market_wide, "7")
 
 
+@query
+def stock_info_all_days(spark, sf):
+    return D.stock_info(_stored_history(spark, sf).market_wide, "7")
+
+
 @query
 def top_gaps(spark, sf):
     actual = V.daily_distinct(_dated(P.clean_quotes(spark, sf)))
@@ -903,14 +943,31 @@ def job_marts(spark, sf):
 
 @query
 def job_quality_gates(spark, sf):
+    return _gates(spark, sf, _stored_marts(spark, sf))
+
+
+@query
+def job_quality_gates_all_days(spark, sf):
+    return _gates(spark, sf, _stored_history(spark, sf))
+
+
+def _gates(spark, sf, m: marts.StoredMarts) -> DataFrame:
     loads = P.table(spark, sf, "events").select(F.lit("events").alias("source"), F.col("ts").alias("loaded_at"))
     late = marts.freshness_gates(loads, datetime(2024, 1, 31), ["events", "never_loaded"])
-    return marts.quality_gates(_stored_marts(spark, sf), P.TODAY).unionByName(late)
+    return marts.quality_gates(m, P.TODAY).unionByName(late)
 
 
 @query
 def job_dashboard_overview(spark, sf):
-    m = _stored_marts(spark, sf)
+    return _overview(_stored_marts(spark, sf))
+
+
+@query
+def job_dashboard_overview_all_days(spark, sf):
+    return _overview(_stored_history(spark, sf))
+
+
+def _overview(m: marts.StoredMarts) -> DataFrame:
     return shown(marts.overview(m.industry_fact, m.sentiment_fact), "score_change")
 
 

@@ -600,6 +600,12 @@ BODIES: dict[str, str] = {
     "job_articles": "select article_id, title, summary, content, plain_chars, url, published_at, category, keyword, related_stocks, source_name, fetched_date from articles",
 }
 
+#: What stored marts are asked, over all days of lineitem.
+BODIES |= {
+    f"{key}_all_days": re.sub(r"\b(ifact|fact|obt|bars)_e\b", r"\1_l", BODIES[key])
+    for key in ("industry_vs_sentiment", "scalar_latest_filter", "industry_ranking_latest", "best_worst_industry", "stock_info", "job_quality_gates", "job_dashboard_overview")
+}
+
 
 def _needed(text: str, found: dict[str, None]) -> None:
     for name in STEPS:

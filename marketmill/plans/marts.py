@@ -107,6 +107,29 @@ def refresh_marts(
     }
 
 
+def write_marts(spark: SparkSession, quotes: DataFrame, universe: DataFrame, seed: DataFrame, sentiment: DataFrame, root: str) -> None:
+    """Write every mart once and whole, for a history of any number of days.
+
+    There are no day folders, so a refresh by days does not apply to this root;
+    building again replaces it. Each fact is read back by the models that use it.
+    """
+    require_unique("universe", universe, "stock_id")
+    require_unique("quotes", quotes, "stock_id", "trade_date")
+
+    def table(name: str, df: DataFrame) -> DataFrame:
+        return sinks.materialize(df, name, "marts", f"{root}/{name}")
+
+    lazy = build(quotes, universe, seed, sentiment)
+    stocks = table("dim_stock", lazy.stock_dimension)
+    industries = table("dim_industry", lazy.industry_dimension)
+    table("dim_date", lazy.date_dimension)
+    daily = table("int_industry_daily_price", lazy.industry_daily)
+    industry_fact = table("fact_industry_price", G.industry_fact(daily, industries))
+    stock_fact = table("fact_stock_daily", lazy.stock_fact)
+    mood = table("fact_fear_greed", lazy.sentiment_fact)
+    table("marts_market_obt", W.market_wide(stock_fact, stocks, industries, industry_fact, mood))
+
+
 class StoredMarts:
     """The marts as they were written, for questions and gates. A table's folders are listed when it is first asked for."""
 
