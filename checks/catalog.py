@@ -107,6 +107,13 @@ def scan_quotes_history(spark, sf):
     return K.flatten_payloads(payload, S.RAW_ROW_A)
 
 
+@query
+def scan_quotes_history_b(spark, sf):
+    lake = P.raw_lake(spark, sf, "quotes_b")
+    payload = raw.quotes_history(spark, lake, "quotes_b", multiline=False).select("dt", "data")
+    return K.flatten_payloads(payload, S.RAW_ROW_B)
+
+
 @query
 def scan_instrument_history(spark, sf):
     lake = P.raw_lake(spark, sf, "instrument_history")

@@ -398,6 +398,7 @@ BODIES: dict[str, str] = {
     # scans and staging
     "scan_quotes_day": f"select dt, {', '.join(A)} from flat_a_e where dt = '1998-06-20' and l_suppkey % 2 = 0",
     "scan_quotes_history": f"select dt, {', '.join(A)} from flat_a_e where l_suppkey % 2 = 0",
+    "scan_quotes_history_b": f"select dt, {', '.join(B)} from flat_b_e where l_suppkey % 2 <> 0",
     "scan_instrument_history": "select stock_id, market, trade_date, " + ", ".join(
         r4(f"case when not isnan({c}) then {c} end", c) for c in ("open", "high", "low", "close")) + ", volume from history_e",
     "scan_sentiment_nested": "select x, y, rating from nested_records",

@@ -22,3 +22,11 @@ def test_questions_of_stored_marts_are_asked_over_lineitem():
     for name in STORED:
         assert f"{name}_all_days" in QUERIES
         assert "lineitem" in sql[f"{name}_all_days"]
+
+
+def test_history_scans_read_both_exchanges(spark):
+    def days(name):
+        return {r.dt for r in QUERIES[name](spark, SF).select("dt").distinct().collect()}
+
+    assert len(days("scan_quotes_history_b")) > 20
+    assert days("scan_quotes_history_b") == days("scan_quotes_history")
