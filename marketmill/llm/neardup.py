@@ -8,22 +8,23 @@ at least 75 percent; a component is what links connect.
    TREES independent trees, the nodes at depth two: a node chooses one or two
    of the minwise tokens (4/3 on average, the inverse of the similarity), and
    a document goes to the child that its value of that token names. Two sets
-   at the threshold keep one common node on average at every depth; over all
-   trees they miss each other with a chance below one in ten million at depth
-   two, and one in a hundred thousand at depth four.
+   at the threshold keep one common node on average; over all trees they miss
+   each other with a chance of about one in ten million. Depth two is the
+   greatest depth, however crowded the nodes are.
 2. Equal sets are one class with its smallest id.
 3. In every node with two or more classes, each is compared with the smallest
    one. Confirmed links make first components.
-4. Nodes whose members are in one component have nothing more to tell. The
-   others branch on until they are small, by their members and the size of
-   those members' sets; nodes that MAX_DEPTH
-   levels do not split are dealt into pairs of blocks. There all members of
+4. Nodes whose members are in one component have nothing more to tell. Others
+   that are too large, by their members or the size of those members' sets,
+   are dealt into cells of two blocks, in which all pairs of different
+   components meet. In nodes and cells all members of
    different components are compared by their minwise values. Of those within
    five standard deviations of the threshold the BEST of each document are
    confirmed first. Then the full sets of the members that such pairs still
    keep open are brought to their node and compared exhaustively, and no pair
-   leaves the task but links between components. So a group of n copies makes
-   rows in proportion to n, not to its pairs.
+   leaves the task but links between components. A group of n copies makes
+   rows in proportion to n; m members of a large node that the first links
+   leave outside its largest component make m / LEAF times as many.
 
 Every confirmation compares the full sets. A hot class or node is joined by
 keys that Spark can split, and counts combine before shuffles.
@@ -53,7 +54,8 @@ TREES = 16
 #: Members of a node, and shingles of all of them, that are compared exhaustively in one task.
 LEAF = 4096
 LEAF_SHINGLES = 4_000_000
-MAX_DEPTH = 8
+#: Levels that larger nodes branch before they are dealt into cells. Members that part there are not compared in that node again, so any level costs recall.
+MAX_DEPTH = 0
 #: Equal minwise values that a pair must have to be confirmed: five standard deviations below the threshold.
 LEAST_EQUAL = math.floor(HASHES * PERCENT / 100 - 5 * math.sqrt(HASHES * PERCENT / 100 * (1 - PERCENT / 100)))
 #: Candidates that a document brings into the first confirmations; what they leave apart is compared in whole.
@@ -209,8 +211,28 @@ def branch(rows: DataFrame) -> DataFrame:
     return rows.select("node", "id", "component", "sketch", "size").mapInArrow(run, "node long, id long, component long, sketch binary, size long")
 
 
+def dealt(large: DataFrame) -> DataFrame:
+    """node, id, sketch: nodes too large for one task in cells, in one of which any two members of different components meet.
+
+    A cell is a block of members outside the node's largest component with a
+    block of all members. Members of the largest component need not meet each
+    other, so they come once for each block of the others.
+    """
+    sums = large.groupBy("node", "component").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"))
+    of_node = sums.groupBy("node").agg(F.max(F.struct("n", "component", "shingles")).alias("most"), F.sum("n").alias("n"), F.sum("shingles").alias("shingles"))
+    # Blocks of half a leaf, so that a cell is about as large as a leaf.
+    halves = lambda n, shingles: F.greatest(F.lit(1), F.ceil(2 * n / LEAF), F.ceil(2 * shingles / LEAF_SHINGLES)).cast("long")
+    blocks = of_node.select("node", F.col("most.component").alias("main"), halves(F.col("n") - F.col("most.n"), F.col("shingles") - F.col("most.shingles")).alias("outer"), halves(F.col("n"), F.col("shingles")).alias("all"))
+    i, j = F.pmod(F.xxhash64("id", F.lit(1)), "outer"), F.pmod(F.xxhash64("id", F.lit(2)), "all")
+    row = F.transform(F.sequence(F.lit(0).cast("long"), F.col("all") - 1), lambda k: i * F.col("all") + k)
+    column = F.transform(F.sequence(F.lit(0).cast("long"), F.col("outer") - 1), lambda k: k * F.col("all") + j)
+    cells = F.when(F.col("component") != F.col("main"), F.array_union(row, column)).otherwise(column)
+    rows = large.select("node", "id", "component", "sketch").join(blocks, "node").select("node", "id", "sketch", F.explode(cells).alias("cell"))
+    return rows.select(F.xxhash64("node", "cell").alias("node"), "id", "sketch")
+
+
 def leaves(rows: DataFrame) -> DataFrame:
-    """node, id, sketch: contested nodes branched until they are small, the rest dealt into pairs of blocks."""
+    """node, id, sketch: contested nodes that are small as they are, the others dealt into cells, after MAX_DEPTH levels of branching."""
     done = []
     for depth in range(MAX_DEPTH + 1):
         rows = stored(contested(rows), "near-nodes")
@@ -219,9 +241,7 @@ def leaves(rows: DataFrame) -> DataFrame:
         if large.isEmpty():
             break
         if depth == MAX_DEPTH:
-            blocks = 2 * F.col("parts")
-            dealt = large.withColumn("i", F.pmod(F.xxhash64("id"), blocks)).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-            done.append(dealt.select(F.xxhash64("node", F.least("i", "j"), F.greatest("i", "j")).alias("node"), "id", "sketch"))
+            done.append(dealt(large))
             break
         rows = branch(large)
     out = done[0]
