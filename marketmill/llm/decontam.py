@@ -6,9 +6,13 @@ Hashes of the documents are looked up among those of the test items; around
 each hit the passage is compared token by token in both directions on the
 hit's diagonal, and the best run of matches, less a penalty for every
 substitution, is the overlap. A document is contaminated by an item where the
-overlap has MIN_MATCHES matching tokens and MIN_SHARE of the item's tokens.
-Items of fewer than SPAN words are compared whole, word for word; those of
-fewer than MIN_ITEM words say too little and match nothing.
+overlap has ENOUGH matching tokens, or MIN_MATCHES of them and MIN_SHARE of
+the item's tokens. Items of fewer than SHORT words, of which MIN_MATCHES would
+be more than the share, are also compared whole: one substitution in every
+WINDOW words is allowed, anywhere. Of the item's windows of WINDOW words one
+then has a single substitution at most, so masks that ignore one position find
+every such place. Items of fewer than MIN_ITEM words say too little and match
+nothing.
 
 The test items are the smaller, given side. They go to the tasks in blocks of
 at most BLOCK_TOKENS tokens (the size of a broadcast is bounded by that); each
@@ -35,7 +39,12 @@ MASKS = ("111111111111", "110110110110", "101101101101", "111000111000", "000111
 SPAN = 12
 MIN_MATCHES = 12
 MIN_SHARE = 0.5
+ENOUGH = 21
 MIN_ITEM = 5
+#: Words of a window of short items, in which one may be substituted, and its masks.
+WINDOW = 5
+SHORT_MASKS = ("01111", "10111", "11011", "11101", "11110")
+SHORT = int(MIN_MATCHES / MIN_SHARE)
 PENALTY = 2
 BLOCK_TOKENS = 1_000_000
 
@@ -65,12 +74,12 @@ def compared_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def masked_hashes(words: np.ndarray, mask: str, seed: int) -> np.ndarray:
-    """The hash at each start of SPAN words, over the kept positions of the mask."""
-    m = len(words) - SPAN + 1
+    """The hash at each start of a mask's span of words, over the kept positions."""
+    m = len(words) - len(mask) + 1
     if m < 1:
         return np.empty(0, np.uint64)
     total = np.full(m, np.uint64(seed))
-    for k, c in enumerate(constants(SPAN, 31 + seed)):
+    for k, c in enumerate(constants(len(mask), 31 + seed)):
         if mask[k] == "1":
             total += words[k:m + k] * c
     return mix(total)
@@ -113,26 +122,46 @@ class Block:
             ok = np.flatnonzero(room[: len(h)])
             order = ok[np.argsort(h[ok], kind="stable")]
             self.tables.append((h[order], order, _filter(h[order])))
-        # Items shorter than the span: the hash of all their words.
-        self.short = {}
-        for i in np.flatnonzero((self.lengths >= MIN_ITEM) & (self.lengths < SPAN)):
-            w = self.words[self.bounds[i]:self.bounds[i + 1]]
-            self.short.setdefault((len(w), int(w[0])), []).append(int(i))
+        # Short items: the masked hashes of their windows one after another.
+        offset = at - self.bounds[owner]
+        short = (self.lengths[owner] >= MIN_ITEM) & (self.lengths[owner] < SHORT)
+        starts = np.flatnonzero(short & (offset % WINDOW == 0) & (self.lengths[owner] - offset >= WINDOW))
+        self.short = []
+        for seed, mask in enumerate(SHORT_MASKS, len(MASKS)):
+            h = masked_hashes(self.words, mask, seed)[starts] if len(starts) else np.empty(0, np.uint64)
+            order = np.argsort(h, kind="stable")
+            self.short.append((h[order], starts[order], _filter(h)))
 
     def suspects(self, words: np.ndarray, bounds: np.ndarray) -> list[int]:
-        """Documents of a chunk in which some masked hash, or the first word of a short item, may be found."""
+        """Documents of a chunk in which some masked hash may be found."""
         hits = []
-        for seed, mask in enumerate(MASKS):
-            keys, _, bits = self.tables[seed]
-            h = masked_hashes(words, mask, seed)
+        for seed, (mask, (keys, _, bits)) in enumerate(zip(MASKS + SHORT_MASKS, self.tables + self.short)):
+            h = masked_hashes(words, mask, seed) if len(keys) else keys
             near = np.flatnonzero(bits[(h >> _TOP).astype(np.int64)]) if len(h) else np.empty(0, np.int64)
             at = np.minimum(np.searchsorted(keys, h[near]), max(len(keys) - 1, 0))
             hits.append(near[keys[at] == h[near]] if len(keys) else near[:0])
-        if self.short:
-            hits.append(np.flatnonzero(np.isin(words, np.array([w for _, w in self.short], np.uint64))))
         at = np.concatenate(hits)
         return np.unique(np.searchsorted(bounds, at, "right") - 1).tolist()
 
+    def whole_short(self, words: np.ndarray):
+        """Places of short items in the words of one document: item, matches, start."""
+        tried = set()
+        for seed, (mask, (keys, places, bits)) in enumerate(zip(SHORT_MASKS, self.short), len(MASKS)):
+            h = masked_hashes(words, mask, seed) if len(keys) else keys
+            near = np.flatnonzero(bits[(h >> _TOP).astype(np.int64)])
+            low, high = np.searchsorted(keys, h[near], "left"), np.searchsorted(keys, h[near], "right")
+            for p, lo, hi in zip(near.tolist(), low.tolist(), high.tolist()):
+                for q in places[lo:hi].tolist():
+                    item = int(self.owner[q])
+                    n, first = int(self.lengths[item]), int(self.bounds[item])
+                    start = p - (q - first)
+                    if (item, start) in tried or start < 0 or start + n > len(words):
+                        continue
+                    tried.add((item, start))
+                    matches = int((words[start:start + n] == self.words[first:first + n]).sum())
+                    if n - matches <= n // WINDOW:
+                        yield item, matches, start
+
     def search(self, words: np.ndarray) -> dict[int, tuple[int, int, int, int]]:
         """Items that the words of one document overlap, with matches, substitutions, start and end word in the document."""
         found: dict[int, tuple[int, int, int, int]] = {}
@@ -151,14 +180,13 @@ class Block:
                     matches, subs, a, b = best_overlap(words[first + shift:last + shift], self.words[first:last], q - first)
                     a, b = a + first + shift, b + first + shift
                     tried.append((a, b))
-                    if matches >= MIN_MATCHES and matches >= MIN_SHARE * self.lengths[item] and matches > found.get(item, (0,))[0]:
+                    enough = matches >= ENOUGH or (matches >= MIN_MATCHES and matches >= MIN_SHARE * self.lengths[item])
+                    if enough and matches > found.get(item, (0,))[0]:
                         found[item] = (matches, subs, a, b)
-        if self.short:
-            for n, w in self.short:
-                for p in np.flatnonzero(words == np.uint64(w)):
-                    for item in self.short[n, w]:
-                        if item not in found and np.array_equal(words[p:p + n], self.words[self.bounds[item]:self.bounds[item + 1]]):
-                            found[item] = (n, 0, int(p), int(p) + n)
+        for item, matches, start in self.whole_short(words):
+            if matches > found.get(item, (0,))[0]:
+                n = int(self.lengths[item])
+                found[item] = (matches, n - matches, start, start + n)
         return found
 
 
