@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marketmill.llm import binary, decontam, neardup, pii, quality, sentencepiece, substring, suffixes, toxicity, warc
+from marketmill.llm import binary, decontam, merkle, neardup, pii, quality, sentencepiece, substring, suffixes, toxicity, warc
 
 QUERIES = {
     "op6_personal_data": pii.op6_personal_data,
@@ -15,9 +15,11 @@ QUERIES = {
     "op5_decontamination": decontam.op5_decontamination,
     "op8_quality": quality.op8_quality,
     "op10_warc": warc.op10_warc,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 SQL = {
     "op8_quality": quality.OP8_SQL,
     "op10_warc": warc.OP10_SQL,
+    "op13_merkle_manifest": merkle.OP13_SQL,
 }
