@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marketmill.llm import binary, decontam, merkle, neardup, periods, pii, quality, sentencepiece, substring, suffixes, toxicity, warc
+from marketmill.llm import binary, decontam, merkle, neardup, periods, pii, quality, secret_scan, sentencepiece, substring, suffixes, toxicity, warc
 
 QUERIES = {
     "op6_personal_data": pii.op6_personal_data,
@@ -15,6 +15,7 @@ QUERIES = {
     "op5_decontamination": decontam.op5_decontamination,
     "op8_quality": quality.op8_quality,
     "op10_warc": warc.op10_warc,
+    "op11_secret_scan": secret_scan.op11_secret_scan,
     "op12_period_runs": periods.op12_period_runs,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
