@@ -207,7 +207,7 @@ def with_fragments(docs: DataFrame, id_col: str, text_col: str, rewrite=None) ->
                     batch.column(0).take(at), batch.column(1).take(at), pa.array([len(t) for t in texts], pa.int64()),
                     pa.array([[{"period": q, "start": s, "end": e} for q, s, e in f] for f in found], pa.list_(pa.struct([("period", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))),
                     pa.array([j if f else None for j, f in zip(joined, found)], pa.binary()),
-                    pa.array([None if f else hashlib.sha256(j).hexdigest() for j, f in zip(joined, found)]),
+                    pa.array([None if f else hashlib.sha256(j).hexdigest() for j, f in zip(joined, found)], pa.string()),
                 ], ["row", "id", "n_words", "fragments", "words", "plain_sha256"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
