@@ -32,7 +32,7 @@ from marketmill.operators import sentiment as M
 from marketmill.operators import universe as U
 from marketmill.plans import cleaning, incremental, marts
 from marketmill.session import scratch_path
-from marketmill.sources import raw, sinks
+from marketmill.sources import aside, raw, sinks
 
 Query = Callable[..., DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,6 +114,31 @@ def scan_quotes_history_b(spark, sf):
     return K.flatten_payloads(payload, S.RAW_ROW_B)
 
 
+def _checked(spark, sf) -> raw.Checked:
+    return raw.checked_quotes(spark, P.damaged_lake(spark, sf), "quotes_a", multiline=False, glob="*.txt")
+
+
+@query
+def scan_quotes_sound(spark, sf):
+    """The records that parse, of a lake in which others do not."""
+    return K.flatten_payloads(_checked(spark, sf).good.select("dt", "data"), S.RAW_ROW_A)
+
+
+@query
+def scan_quotes_rejects(spark, sf):
+    """What does not parse, by day and reason."""
+    return _checked(spark, sf).rejects.groupBy(F.col("key").alias("dt"), "reason", "status").agg(F.sum("records").alias("records"))
+
+
+@query
+def backlog_set_aside(spark, sf):
+    """Days to be fetched again: some of their files were set aside, others were never landed."""
+    table, lake = scratch_path(spark, "aside"), P.damaged_lake(spark, sf)
+    for _ in range(2):
+        aside.put(_checked(spark, sf).rejects, table)
+    return cleaning.backlog(spark, lake, "quotes_a", "1998-06-01", "1998-07-31", table)
+
+
 @query
 def scan_instrument_history(spark, sf):
     lake = P.raw_lake(spark, sf, "instrument_history")
@@ -245,10 +270,11 @@ def land_raw_partition(spark, sf):
 
 @query
 def requeue_partitions(spark, sf):
-    path = scratch_path(spark, "requeued")
-    bad = spark.createDataFrame([(DAY,), (SPLIT,)], "dt string")
-    sinks.requeue_days(raw.clean_quotes(spark, P.clean_lake(spark, sf)), bad, path)
-    return raw.clean_quotes(spark, path).groupBy("dt").agg(F.count(F.lit(1)).alias("row_count"))
+    """Two days are set aside; the lake is neither copied nor changed."""
+    table, lake = scratch_path(spark, "requeued"), P.clean_lake(spark, sf)
+    root, source = lake.rsplit("/", 1)
+    aside.requeue(spark, root, source, spark.createDataFrame([(DAY,), (SPLIT,)], "dt string"), table)
+    return raw.clean_quotes(spark, lake, table=table).groupBy("dt").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 # -- scalar expressions ------------------------------------------------------

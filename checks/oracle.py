@@ -108,8 +108,8 @@ for f in ("l", "e"):
         STEPS[f"raw_{side}_{f}"] = f"select {keep}, {_row(row, names)} from trades_{f}"
         cut = ", ".join([*names[:10], *(f"null as {n}" for n in names[10:])])
         STEPS[f"flat_{side}_{f}"] = (
-            f"select dt, l_suppkey, {', '.join(names)} from raw_{side}_{f} where l_orderkey % 23 <> 0 "
-            f"union all select dt, l_suppkey, {cut} from raw_{side}_{f} where l_orderkey % 23 <> 0 and l_linenumber = 6"
+            f"select dt, l_suppkey, l_orderkey, {', '.join(names)} from raw_{side}_{f} where l_orderkey % 23 <> 0 "
+            f"union all select dt, l_suppkey, l_orderkey, {cut} from raw_{side}_{f} where l_orderkey % 23 <> 0 and l_linenumber = 6"
         )
         for src in ("raw", "flat"):
             tag = "" if src == "raw" else "flat_"
@@ -398,6 +398,12 @@ BODIES: dict[str, str] = {
     # scans and staging
     "scan_quotes_day": f"select dt, {', '.join(A)} from flat_a_e where dt = '1998-06-20' and l_suppkey % 2 = 0",
     "scan_quotes_history": f"select dt, {', '.join(A)} from flat_a_e where l_suppkey % 2 = 0",
+    "scan_quotes_sound": f"select dt, {', '.join(A)} from (select f.*, {P.DAMAGE.replace('l_orderkey', 'f.l_orderkey')} as damage from flat_a_e f) where l_suppkey % 2 = 0 and damage = 'none'",
+    "scan_quotes_rejects": f"""select dt, case damage when 'cut' then 'no JSON' else 'does not fit the schema' end as reason, 'unknown_failure' as status, cast(count(*) as bigint) as records
+        from (select dt, l_suppkey, {P.DAMAGE} as damage from raw_a_e) where l_suppkey % 2 = 0 and damage <> 'none' group by all""",
+    "backlog_set_aside": f"""select cast(d as date) as dt from (select unnest(generate_series(date '1998-06-01', date '1998-07-31', interval 1 day)) as d)
+        where cast(d as date) not in (select cast(dt as date) from raw_a_e where l_suppkey % 2 = 0)
+        or cast(d as date) in (select cast(dt as date) from (select dt, l_suppkey, {P.DAMAGE} as damage from raw_a_e) where l_suppkey % 2 = 0 and damage <> 'none')""",
     "scan_quotes_history_b": f"select dt, {', '.join(B)} from flat_b_e where l_suppkey % 2 <> 0",
     "scan_instrument_history": "select stock_id, market, trade_date, " + ", ".join(
         r4(f"case when not isnan({c}) then {c} end", c) for c in ("open", "high", "low", "close")) + ", volume from history_e",

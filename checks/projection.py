@@ -379,6 +379,20 @@ def raw_lake(spark, sf, *sources: str) -> str:
     return root
 
 
+#: Of the raw texts of every fourth day some are cut off, others do not fit the schema.
+DAMAGE = "case when day(cast(dt as date)) % 4 <> 0 then 'none' when l_orderkey % 41 = 0 then 'cut' when l_orderkey % 43 = 0 then 'unfit' else 'none' end"
+
+
+def damaged_lake(spark, sf) -> str:
+    """Root of a raw lake of exchange A's payloads as texts, one per line, some of them damaged."""
+    def write(root: str) -> None:
+        texts = _payloads(spark, sf, "a", "events").where(F.col("market_hint") == S.MARKET_A).select("dt", F.expr(DAMAGE).alias("damage"), F.to_json(F.struct("fields", "data")).alias("text"))
+        text = F.when(F.col("damage") == "cut", F.expr("left(text, length(text) - 7)")).when(F.col("damage") == "unfit", '{"fields": [], "data": 7}').otherwise(F.col("text"))
+        sinks.replace_partitions(texts.select("dt", text.alias("value")), f"{root}/quotes_a", fmt="text")
+
+    return stored_once(spark, sf, "damaged", write)
+
+
 def sentiment_file(spark, sf) -> str:
     return stored_once(spark, sf, "sentiment_raw", lambda path: sentiment_payloads(spark, sf).write.json(path))
 

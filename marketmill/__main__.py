@@ -15,10 +15,10 @@ from marketmill import schemas as S
 from marketmill.operators import backlog, coverage, quotes, sentiment
 from marketmill.plans import cleaning, marts
 from marketmill.session import build_session
-from marketmill.sources import raw
+from marketmill.sources import aside, raw
 
 SEED = str(Path(__file__).parent / "seeds" / "industry_names.csv")
-JOBS = ["universe", "clean-day", "backfill", "sentiment-day", "sentiment-history", "marts", "gates", "backlog", "gaps", "raw-gaps", "completeness"]
+JOBS = ["universe", "clean-day", "backfill", "sentiment-day", "sentiment-history", "marts", "gates", "backlog", "gaps", "raw-gaps", "completeness", "requeue"]
 
 
 def _arguments(argv: list[str]) -> argparse.Namespace:
@@ -34,6 +34,7 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--since", help="marts: rewrite from this day on, for rows that came late")
     parser.add_argument("--full", action="store_true", help="marts: rewrite all days")
     parser.add_argument("--market", default=S.MARKET_A, choices=S.MARKETS, help="market of gaps and completeness")
+    parser.add_argument("--aside", help="table of files set aside; broken raw files go there instead of failing the job")
     parser.add_argument("--out", help="folder for the whole answer of a job that asks (JSON lines); without it the answer is printed")
     parser.add_argument("--zone", default="Asia/Taipei", help="time zone of calendar dates")
     parser.add_argument("--json-lines", action="store_true", help="raw files hold one object per line")
@@ -67,9 +68,9 @@ def run(spark: SparkSession, a: argparse.Namespace) -> DataFrame | None:
     if a.job == "universe":
         cleaning.universe(spark, a.lake, clean_universe, multiline)
     elif a.job == "clean-day":
-        cleaning.clean_day(spark, a.lake, official(S.MARKET_A), official(S.MARKET_B), a.date, clean_quotes, multiline)
+        cleaning.clean_day(spark, a.lake, official(S.MARKET_A), official(S.MARKET_B), a.date, clean_quotes, multiline, a.aside)
     elif a.job == "backfill":
-        cleaning.backfill_quotes(spark, a.lake, official(S.MARKET_A), clean_quotes, multiline)
+        cleaning.backfill_quotes(spark, a.lake, official(S.MARKET_A), clean_quotes, multiline, a.aside)
     elif a.job == "sentiment-day":
         payload = raw.partition_path(a.lake, "sentiment", "dt", a.date)
         cleaning.sentiment_day(spark, payload, a.date, a.zone, clean_sentiment, multiline)
@@ -81,7 +82,11 @@ def run(spark: SparkSession, a: argparse.Namespace) -> DataFrame | None:
     elif a.job == "gates":
         return marts.quality_gates(marts.read_marts(spark, a.marts), date.fromisoformat(a.date))
     elif a.job == "backlog":
-        return cleaning.backlog(spark, a.lake, cleaning.SOURCE_A, a.start, a.end).orderBy("dt")
+        return cleaning.backlog(spark, a.lake, cleaning.SOURCE_A, a.start, a.end, a.aside).orderBy("dt")
+    elif a.job == "requeue":
+        days = backlog.requested_days(spark, a.start or a.date, a.end or a.date)
+        for source in (cleaning.SOURCE_A, cleaning.SOURCE_B):
+            aside.requeue(spark, a.lake, source, days, a.aside)
     elif a.job == "completeness":
         return judged_days().orderBy("dt", "missing_id")
     else:

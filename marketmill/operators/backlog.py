@@ -1,4 +1,4 @@
-"""What still has to be fetched, and dropping partitions so that it is fetched again."""
+"""What still has to be fetched."""
 
 from __future__ import annotations
 
@@ -30,7 +30,3 @@ def day_outcomes(requested: DataFrame, landed: DataFrame, no_data: DataFrame) ->
 def backlog_instruments(official: DataFrame, landed: DataFrame) -> DataFrame:
     return official.select("stock_id").distinct().join(landed.select("stock_id"), "stock_id", "left_anti")
 
-
-def without_days(lake: DataFrame, bad_days: DataFrame) -> DataFrame:
-    """The lake without some days, which are then part of the backlog again."""
-    return lake.join(bad_days.select("dt"), "dt", "left_anti").select(*lake.columns)

@@ -10,7 +10,7 @@ from marketmill.operators import backlog as B
 from marketmill.operators import quotes as Q
 from marketmill.operators import sentiment as M
 from marketmill.operators import universe as U
-from marketmill.sources import raw, sinks
+from marketmill.sources import aside, raw, sinks
 
 SOURCE_A = "quotes_a"
 SOURCE_B = "quotes_b"
@@ -18,13 +18,26 @@ SOURCE_HISTORY = "instrument_history"
 SOURCE_LISTS = {S.MARKET_A: "universe_a", S.MARKET_B: "universe_b"}
 
 
+def accepted(checked: raw.Checked, table: str) -> DataFrame:
+    """The records that fit; files with others are set aside first, so that they stay in the backlog."""
+    aside.put(checked.rejects, table)
+    return checked.good
+
+
 def clean_day(
     spark: SparkSession, lake: str, official_a: DataFrame, official_b: DataFrame, day: str, out: str,
-    multiline: bool = True,
+    multiline: bool = True, table: str | None = None,
 ) -> None:
-    """One day of both exchanges, parsed, filtered, merged and written to its partition."""
-    day_a = raw.quotes_day(spark, lake, SOURCE_A, day, multiline=multiline)
-    day_b = raw.quotes_day(spark, lake, SOURCE_B, day, schema=S.RAW_DAY_B, multiline=multiline)
+    """One day of both exchanges, parsed, filtered, merged and written to its partition.
+
+    A file that does not parse fails the job, or, with a table, is set aside.
+    """
+    if table:
+        day_a = accepted(raw.checked_quotes(spark, lake, SOURCE_A, multiline=multiline, table=table, day=day), table)
+        day_b = accepted(raw.checked_quotes(spark, lake, SOURCE_B, S.RAW_DAY_B, multiline, table=table, day=day), table)
+    else:
+        day_a = raw.quotes_day(spark, lake, SOURCE_A, day, multiline=multiline)
+        day_b = raw.quotes_day(spark, lake, SOURCE_B, day, schema=S.RAW_DAY_B, multiline=multiline)
     merged = Q.merge_markets(
         Q.clean_a(Q.flatten_payloads(day_a, S.RAW_ROW_A)),
         Q.clean_b(Q.flatten_payloads(day_b, S.RAW_ROW_B)),
@@ -34,11 +47,18 @@ def clean_day(
     sinks.replace_partitions(merged, out)
 
 
-def backfill_quotes(spark: SparkSession, lake: str, official_a: DataFrame, out: str, multiline: bool = True) -> None:
-    """All of exchange A's days and every instrument history, in one write."""
-    days = raw.quotes_history(spark, lake, SOURCE_A, multiline=multiline)
+def backfill_quotes(spark: SparkSession, lake: str, official_a: DataFrame, out: str, multiline: bool = True, table: str | None = None) -> None:
+    """All of exchange A's days and every instrument history, in one write.
+
+    A file that does not parse fails the job, or, with a table, is set aside.
+    """
+    if table:
+        days = accepted(raw.checked_quotes(spark, lake, SOURCE_A, multiline=multiline, table=table), table)
+        records = accepted(raw.checked_histories(spark, lake, SOURCE_HISTORY, multiline, table), table)
+    else:
+        days = raw.quotes_history(spark, lake, SOURCE_A, multiline=multiline)
+        records = raw.instrument_history(spark, lake, SOURCE_HISTORY, multiline=multiline)
     listed = Q.keep_official(Q.unify_a(Q.clean_a(Q.flatten_payloads(days, S.RAW_ROW_A))), official_a)
-    records = raw.instrument_history(spark, lake, SOURCE_HISTORY, multiline=multiline)
     sinks.backfill_once(out, listed, Q.unify_history(Q.clean_history(records)))
 
 
@@ -64,15 +84,15 @@ def universe(spark: SparkSession, lake: str, out: str, multiline: bool = True) -
     sinks.replace_snapshot(U.merge_lists(*lists), out)
 
 
-def backlog(spark: SparkSession, lake: str, source: str, start: str, end: str) -> DataFrame:
+def backlog(spark: SparkSession, lake: str, source: str, start: str, end: str, table: str | None = None) -> DataFrame:
     """Days of a range still to be fetched: not in the lake, not confirmed to have no data.
 
-    A day is confirmed by a marker file in its folder, or in the source's folder of confirmed days.
+    A day is confirmed by a marker file in its folder, or in the source's folder
+    of confirmed days. A day with a file that the table sets aside has not landed.
     """
-    landed, confirmed = (
-        raw.landed_keys(spark, lake, name).select(F.col("dt").cast("date").alias("dt"))
-        for name in (source, f"{source}{sinks.NO_DATA_SUFFIX}")
-    )
+    day = F.col("dt").cast("date").alias("dt")
+    landed = (aside.landed(spark, lake, source, table) if table else raw.landed_keys(spark, lake, source)).select(day)
+    confirmed = raw.landed_keys(spark, lake, f"{source}{sinks.NO_DATA_SUFFIX}").select(day)
     marked = confirmed.unionByName(raw.marked_days(spark, lake, source).select(F.col("dt").cast("date").alias("dt")))
     return B.backlog_days(B.requested_days(spark, start, end), landed, marked)
 

@@ -13,7 +13,6 @@ import warnings
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketmill.operators.backlog import without_days
 from marketmill.operators.quotes import merge_sources
 
 NO_DATA_SUFFIX = "_no_data"
@@ -55,11 +54,6 @@ def load_day(clean: DataFrame, warehouse: str, day: str) -> None:
     rows.write.mode("overwrite").parquet(f"{warehouse}/dt={day}")
 
 
-def requeue_days(lake: DataFrame, bad_days: DataFrame, new_path: str) -> None:
-    """Write the lake without the bad days to a new path, so that the backlog lists them again."""
-    replace_partitions(without_days(lake, bad_days), new_path)
-
-
 def mark_no_data(days: DataFrame, root: str, source: str) -> None:
     """Remember days (dt) confirmed to have no data, beside the source, so that they leave the backlog."""
     confirmed = days.select("dt", F.lit("confirmed_no_trading_day").alias("status"))

@@ -9,7 +9,7 @@ from marketmill import __main__ as cli
 from marketmill import schemas as S
 from marketmill.operators import quotes as Q
 from marketmill.plans import cleaning
-from marketmill.sources import raw, sinks
+from marketmill.sources import aside, raw, sinks
 
 
 def put(root, path, content):
@@ -145,3 +145,89 @@ def test_jobs_end_to_end(spark, lake, tmp_path):
     cleaning.universe(spark, root, str(tmp_path / "universe"))
     assert sorted((r.stock_id, r.industry_code, r.market) for r in raw.clean_universe(spark, str(tmp_path / "universe")).collect()) == [
         ("0050", "01", "TPEx"), ("0050", "01", "TWSE")]
+
+
+def damage(lake):
+    """A cut-off day, a day that does not fit, an empty file, a cut-off history."""
+    good = (lake / "quotes_a/dt=2026-07-09/data.json").read_text(encoding="utf-8")
+    (lake / "quotes_a/dt=2026-07-09/data.json").write_text(good[: len(good) // 2], encoding="utf-8")
+    put(lake, "quotes_a/dt=2026-07-11/data.json", {"fields": S.RAW_FIELDS_A, "data": 7})
+    (lake / "quotes_a/dt=2026-07-12").mkdir()
+    (lake / "quotes_a/dt=2026-07-12/data.json").write_text("")
+    history = (lake / "instrument_history/stock_id=0051/data.json").read_text()
+    (lake / "instrument_history/stock_id=0052").mkdir()
+    (lake / "instrument_history/stock_id=0052/data.json").write_text(history[:-40])
+    return good
+
+
+def test_broken_files_fail_or_are_set_aside(spark, lake, tmp_path):
+    good, root, table = damage(lake), str(lake), str(tmp_path / "aside")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        raw.quotes_history(spark, root, "quotes_a").collect()
+    checked = raw.checked_quotes(spark, root, "quotes_a")
+    found = {r.key: r for r in checked.rejects.collect()}
+    assert {k: (r.reason, r.records, r.status) for k, r in found.items()} == {
+        "2026-07-09": ("no JSON", 1, "unknown_failure"), "2026-07-11": ("does not fit the schema", 1, "unknown_failure")}
+    assert all(r.file.endswith(f"quotes_a/dt={k}/data.json") for k, r in found.items())
+    # Good files are unaffected, whichever columns are asked for.
+    assert [r.dt for r in checked.good.select("dt").collect()] == ["2026-07-08"]
+    assert [len(r.data) for r in checked.good.select("data").collect()] == [2]
+
+    official, out = spark.createDataFrame([("0050",), ("9999",)], "stock_id string"), str(tmp_path / "clean")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        cleaning.backfill_quotes(spark, root, official, out)
+    for _ in range(2):
+        cleaning.backfill_quotes(spark, root, official, out, table=table)
+    assert {(r.dt, r.stock_id) for r in raw.clean_quotes(spark, out).collect()} == {("2026-07-08", "0050"), ("2026-07-08", "9999"), ("2026-07-08", "0051"), ("2026-07-07", "0051")}
+    noted = aside.entries(spark, table).collect()
+    assert len(noted) == 3 and {(r.source, r.key) for r in noted} == {("quotes_a", k) for k in found} | {("instrument_history", "0052")}
+    days = lambda: [str(r.dt) for r in cleaning.backlog(spark, root, "quotes_a", "2026-07-07", "2026-07-12", table).orderBy("dt").collect()]
+    assert days() == ["2026-07-07", "2026-07-09", "2026-07-11", "2026-07-12"]
+    assert [r.stock_id for r in aside.landed(spark, root, "instrument_history", table, "stock_id").collect()] == ["0051"]
+
+    # Fetched again, the day has landed, and its rows are read.
+    import time
+
+    time.sleep(0.05)
+    (lake / "quotes_a/dt=2026-07-09/data.json").write_text(good, encoding="utf-8")
+    assert days() == ["2026-07-07", "2026-07-11", "2026-07-12"]
+    again = raw.checked_quotes(spark, root, "quotes_a", table=table)
+    assert {r.dt for r in again.good.select("dt").collect()} == {"2026-07-08", "2026-07-09"} and again.rejects.isEmpty()
+
+
+def test_broken_sentiment_is_told(spark, lake):
+    put(lake, "sentiment/dt=2026-07-08/data.json", json.loads((lake / "sentiment.json").read_text()))
+    whole = raw.checked_sentiment(spark, str(lake), "sentiment", "dt", "2026-07-08")
+    assert whole.good.count() == 1 and whole.rejects.isEmpty()
+    file = lake / "sentiment/dt=2026-07-08/data.json"
+    file.write_text(file.read_text()[:60])
+    cut = raw.checked_sentiment(spark, str(lake), "sentiment", "dt", "2026-07-08")
+    assert cut.good.isEmpty() and [(r.key, r.reason) for r in cut.rejects.collect()] == [("2026-07-08", "no JSON")]
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        cleaning.sentiment_day(spark, str(file.parent), "2026-07-08", "UTC", str(lake / "mood"))
+
+
+def test_requeued_days_leave_the_lake_as_it_is(spark, tmp_path):
+    """What is written depends on the days set aside and not on the lake; landing a day again brings it back."""
+    lake = str(tmp_path / "raw")
+    days = [f"2026-06-{d:02d}" for d in range(1, 31)]
+    rows = spark.createDataFrame([(d, f"{k}") for d in days for k in range(3)], "dt string, v string")
+    sinks.land_raw(rows, lake, "quotes_a")
+    before = sorted(p.relative_to(lake).as_posix() for p in (tmp_path / "raw").rglob("*.json"))
+    sizes = []
+    for n, bad in enumerate((["2026-06-02", "2026-06-09"], ["2026-06-02"])):
+        table = str(tmp_path / f"aside{n}")
+        aside.requeue(spark, lake, "quotes_a", spark.createDataFrame([(d,) for d in bad], "day string"), table)
+        assert {r.key for r in aside.entries(spark, table).collect()} == set(bad)
+        sizes.append(aside.entries(spark, table).count())
+        aside.requeue(spark, lake, "quotes_a", spark.createDataFrame([(d,) for d in bad], "day string"), table)
+        assert aside.entries(spark, table).count() == sizes[-1]
+    assert sizes[0] == 2 * sizes[1]
+    assert sorted(p.relative_to(lake).as_posix() for p in (tmp_path / "raw").rglob("*.json")) == before
+    table = str(tmp_path / "aside0")
+    backlog = lambda: [str(r.dt) for r in cleaning.backlog(spark, lake, "quotes_a", "2026-06-01", "2026-06-30", table).orderBy("dt").collect()]
+    assert backlog() == ["2026-06-02", "2026-06-09"]
+    read = lambda: {r.dt for r in aside.without(aside.with_file(spark.read.schema("v string, dt string").json(f"{lake}/quotes_a")), table).collect()}
+    assert read() == set(days) - {"2026-06-02", "2026-06-09"}
+    sinks.land_raw(rows.where("dt = '2026-06-02'"), lake, "quotes_a")
+    assert backlog() == ["2026-06-09"] and read() == set(days) - {"2026-06-09"}
