@@ -17,6 +17,9 @@ from marketmill.session import scratch_path
 #: ASCII white space that separates words everywhere in this package.
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 
+#: Whether Spark deletes the shuffle files of a query when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def prepare(spark: SparkSession) -> None:
     """Let Python workers that share this machine's files import the package; a cluster ships it with --py-files."""
@@ -28,11 +31,16 @@ def prepare(spark: SparkSession) -> None:
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write to the shared folder and read back: later work starts there, also after executors are lost."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.options(**options).parquet(path)
-    # What the step shuffled is freed when the driver collects its garbage, not before.
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    # What the step shuffled is freed with its end.
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small(batches, rows: int = 512):
