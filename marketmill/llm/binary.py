@@ -27,7 +27,7 @@ import hashlib
 import re
 import struct
 import zlib
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,16 +36,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketmill.llm.memo import Memo
-from marketmill.llm.shared import open_fs, prepare, read_files, shared_folder, stored, unique_file
+from marketmill.llm.shared import open_fs, prepare, read_files, shared_folder, small, stored, unique_file
+from marketmill.llm.text import chunks
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 DICTIONARY_SAMPLE = 4000
 SAMPLE_IDS = 2000
+OVERSAMPLE = 4
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
 #: Words of a generation of each of the encoder's two memos.
 MEMO = 300_000
+#: Bytes of the texts whose words are looked up together.
+BLOCK_BYTES = 4 << 20
 #: Documents that one task orders and writes come from one range of ids; shards end at this size.
 SHARD_BYTES = 256 << 20
 
@@ -117,11 +121,19 @@ class WordEncoder:
         marks = {t: self._encode([t])[0] for t in set(tails) if t}
         return [ids + marks[t] if t else ids for ids, t in zip(found, tails)]
 
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian 32-bit ids of UTF-8 texts. Each different word of the texts is looked up once, and what the memo lacks is encoded together."""
+        special = [any(s.encode() in t for s in self.special) for t in texts]
+        cut = [[] if odd else t.split() for t, odd in zip(texts, special)]
+        distinct = list(dict.fromkeys(chain.from_iterable(cut)))
+        ids = dict(zip(distinct, self.memo.look_up(distinct))).__getitem__
+        return [
+            np.array(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, "<u4").tobytes() if odd else b"".join(map(ids, words))
+            for t, words, odd in zip(texts, cut, special)
+        ]
+
     def encode(self, text: bytes) -> bytes:
-        """Little-endian 32-bit ids of a UTF-8 text."""
-        if any(s.encode() in text for s in self.special):
-            return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(self.memo.look_up(text.split()))
+        return self.encode_all([text])[0]
 
 
 _LOADED: dict = {}
@@ -139,12 +151,20 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def train_dictionary(docs: DataFrame, id_col: str, text_col: str, path: str, sample: int = DICTIONARY_SAMPLE) -> bytes:
-    """A dictionary trained on the first SAMPLE_IDS ids of the `sample` documents with the smallest hash of their id; empty if they are too few."""
-    some = _texts(docs, id_col, text_col).withColumn("h", F.xxhash64("id")).orderBy("h", "id").limit(sample).select("text")
+    """A dictionary trained on the first SAMPLE_IDS ids of the `sample` documents with the smallest hash of their id; empty if they are too few.
+
+    Of a large table only documents with a hash under a bound are ordered, so
+    that about OVERSAMPLE times as many texts as wanted meet in one task,
+    however many there are.
+    """
+    texts = _texts(docs, id_col, text_col).withColumn("h", F.xxhash64("id"))
+    share = min(1.0, OVERSAMPLE * sample / max(1, docs.count()))
+    bound = (1 << 63) - 1 if share == 1.0 else int((2 * share - 1) * (1 << 63))
+    some = texts.where(F.col("h") <= F.lit(bound)).orderBy("h", "id").limit(sample).select("text")
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([encoder(path).encode(t)[:4 * SAMPLE_IDS] for t in batch.column(0).to_pylist()], pa.binary())], ["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([ids[:4 * SAMPLE_IDS] for ids in encoder(path).encode_all(batch.column(0).to_pylist())], pa.binary())], ["ids"])
 
     samples = [bytes(r[0]) for r in some.repartition(8).mapInArrow(run, "ids binary").collect()]
     try:
@@ -178,8 +198,8 @@ def write_ids(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: st
             row = {"file": [name], "first_id": [entries[0][0]], "docs": [len(entries)], "ids": [sum(e[3] for e in entries)]}
             return pa.RecordBatch.from_pydict(row, pa.schema([(k, pa.string() if k == "file" else pa.int64()) for k in row]))
 
-        for batch in batches:
-            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for held in chunks(((t, i) for batch in small(batches) for i, t in zip(*(c.to_pylist() for c in batch.columns))), BLOCK_BYTES):
+            for (_, id_), ids in zip(held, code.encode_all([t for t, _ in held])):
                 id_ = NO_ID if id_ is None else id_
                 if out is not None and at >= SHARD_BYTES and id_ != entries[-1][0]:
                     yield finish()
@@ -190,7 +210,7 @@ def write_ids(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: st
                     system.create_dir(place.rsplit("/", 1)[0], recursive=True)
                     out = system.open_output_stream(place)
                     out.write(struct.pack(HEADER, MAGIC, 1, digest))
-                ids = code.encode(text) + end
+                ids += end
                 frame = packer.compress(ids)
                 out.write(frame)
                 entries.append((id_, at, len(frame), len(ids) // 4))

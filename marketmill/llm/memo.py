@@ -19,13 +19,10 @@ class Memo:
         """The results of the words, in order. `compute` sees every missing word once, and is free of state, so a memo never changes results."""
         found = list(map(self.young.get, words))
         if None in found:
-            missing = {w for w, x in zip(words, found) if x is None}
-            fresh = []
-            for w in missing:
-                if (x := self.old.get(w)) is None:
-                    fresh.append(w)
-                else:
-                    self.young[w] = x
+            missing = list(dict.fromkeys(w for w, x in zip(words, found) if x is None))
+            known = list(map(self.old.get, missing))
+            fresh = [w for w, x in zip(missing, known) if x is None]
+            self.young.update((w, x) for w, x in zip(missing, known) if x is not None)
             if fresh:
                 self.young.update(zip(fresh, self.compute(fresh)))
             found = list(map(self.young.__getitem__, words))

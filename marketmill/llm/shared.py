@@ -90,7 +90,7 @@ def read_files(manifest: DataFrame, reader: Callable[[str], Iterator[pa.RecordBa
                 yield from reader(name)
 
     n = max(1, names.count())
-    return names.repartition(n, column).mapInArrow(run, schema)
+    return names.repartition(n).mapInArrow(run, schema)
 
 
 def connected_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
