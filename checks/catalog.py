@@ -30,7 +30,7 @@ from marketmill.operators import quotes as K
 from marketmill.operators import runlog as L
 from marketmill.operators import sentiment as M
 from marketmill.operators import universe as U
-from marketmill.plans import cleaning, incremental, marts
+from marketmill.plans import cleaning, incremental, marts, state
 from marketmill.session import scratch_path
 from marketmill.sources import aside, raw, sinks
 
@@ -242,6 +242,15 @@ def incremental_replace(spark, sf):
     return show_fact(spark.read.schema(I.stock_fact(quotes).schema).parquet(path))
 
 
+@query
+def incremental_digests(spark, sf):
+    """Keys of each day, noted in three refreshes of which the later ones read the new days only."""
+    path, quotes = scratch_path(spark, "digests"), _lake_quotes(spark, sf)
+    for end in ("1998-07-03", "1998-07-08", "1998-07-15"):
+        noted = state.note_digests(quotes.where(F.col("trade_date") <= F.lit(end).cast("date")), path, ["stock_id", "trade_date"], 5)
+    return noted.select("trade_date", "n_rows", "n_keys", "n_repeated")
+
+
 @query
 def materialize_table(spark, sf):
     quotes = sinks.materialize(P.bars(spark, sf, "events"), "quotes", "staging")

@@ -2,25 +2,27 @@
 
 A refresh rewrites the days from `high-water mark - lookback` on, and nothing
 else. What it reads is a separate matter: window values of the first rewritten
-days depend on earlier rows, so those rows are read as well and dropped before
-the write. The result equals a full rebuild.
+days depend on earlier rows. These are carried in a small table of state beside
+the mart (state.py), so older days of the source are not opened. The result
+equals a full rebuild.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, timedelta
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketmill.operators import indicators, industry
+from marketmill.plans import state
 from marketmill.sources import raw, sinks
 
 STOCK_LOOKBACK_DAYS = 30
 OTHER_LOOKBACK_DAYS = 3
+#: What the folder of a mart's state is called after the mart.
+STATE = "_state"
 
 
 def high_water_mark(spark: SparkSession, path: str, by: str) -> date | None:
@@ -29,39 +31,6 @@ def high_water_mark(spark: SparkSession, path: str, by: str) -> date | None:
     return newest[0]
 
 
-def rows_with_history(
-    source: DataFrame, start: date, keys: list[str], rows: int, by: str = "trade_date", nearby_days: int = 90
-) -> DataFrame:
-    """Rows from the start day on, plus each key's last n rows before it.
-
-    The last n rows usually lie within the nearby days, so only those dated
-    partitions are read. Keys with fewer rows there are looked up in the older
-    ones, filtered to these keys; a source without such keys never opens them.
-    """
-    day = F.col(by)
-    near_start = start - timedelta(days=nearby_days)
-    current = source.where(day >= F.lit(start))
-    near = source.where((day >= F.lit(near_start)) & (day < F.lit(start)))
-    newest_first = Window.partitionBy(*keys).orderBy(F.desc(by))
-
-    def last_rows(df: DataFrame) -> DataFrame:
-        return df.withColumn("nth", F.row_number().over(newest_first)).where(F.col("nth") <= rows).drop("nth")
-
-    def matching(df: DataFrame, other: DataFrame, how: str) -> DataFrame:
-        """Joined on the keys, a null key being equal to a null key as it is in a window partition."""
-        named = other.select(*[F.col(k).alias(f"wanted_{k}") for k in keys])
-        return df.join(named, reduce(and_, [F.col(k).eqNullSafe(F.col(f"wanted_{k}")) for k in keys]), how)
-
-    active = current.select(*keys).distinct()
-    enough = near.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= rows)
-    sparse = matching(active, enough, "left_anti")
-    before = matching(near, active, "left_semi")
-    # Without such keys the join is empty after its first, small side; only then are older partitions opened.
-    older = matching(source.where(day < F.lit(near_start)), sparse, "left_semi")
-    before = before.unionByName(last_rows(older))
-    return current.unionByName(last_rows(before.select(*source.columns)))
-
-
 def refresh(
     spark: SparkSession,
     path: str,
@@ -71,21 +40,24 @@ def refresh(
     build_from: Callable[[date], DataFrame],
     since: date | None = None,
     full: bool = False,
+    carry: Callable[[date], DataFrame] | None = None,
 ) -> None:
     """First run, or `full`: everything. Later runs: recompute and replace the days since the lookback.
 
     `since` is the first day whose source rows changed, where that lies before
-    the lookback: days that arrive late are named by it.
+    the lookback: days that arrive late are named by it. `carry` leaves the
+    state of the day that the next run starts from.
     """
     mark = None if full else high_water_mark(spark, path, by)
     if mark is None:
         sinks.replace_partitions(build_full(), path, by)
-        return
-    start = mark - timedelta(days=lookback_days)
-    if since is not None:
-        start = min(start, since)
-    fresh = build_from(start).where(F.col(by) >= F.lit(start))
-    sinks.replace_partitions(fresh, path, by)
+    else:
+        start = mark - timedelta(days=lookback_days)
+        if since is not None:
+            start = min(start, since)
+        sinks.replace_partitions(build_from(start).where(F.col(by) >= F.lit(start)), path, by)
+    if carry is not None and (mark := high_water_mark(spark, path, by)) is not None:
+        carry(mark - timedelta(days=lookback_days))
 
 
 def refresh_stock_fact(
@@ -93,11 +65,10 @@ def refresh_stock_fact(
 ) -> None:
     """A late day changes the windows of the rows after it as well, so all days from it on are rewritten."""
 
-    def build_from(start: date) -> DataFrame:
-        needed = quotes.select(*indicators.FACT_COLUMNS)
-        return indicators.stock_fact(rows_with_history(needed, start, ["stock_id"], indicators.HISTORY_ROWS))
+    def needed(start: date) -> DataFrame:
+        return state.rows_from(quotes.select(*indicators.FACT_COLUMNS), start, ["stock_id"], indicators.HISTORY_ROWS, f"{path}{STATE}")
 
-    refresh(spark, path, "trade_date", lookback_days, lambda: indicators.stock_fact(quotes), build_from, since, full)
+    refresh(spark, path, "trade_date", lookback_days, lambda: indicators.stock_fact(quotes), lambda start: indicators.stock_fact(needed(start)), since, full, needed)
 
 
 def refresh_industry_daily(
@@ -112,13 +83,12 @@ def refresh_industry_daily(
 def refresh_industry_fact(
     spark: SparkSession, daily: DataFrame, dimension: DataFrame, path: str, lookback_days: int = OTHER_LOOKBACK_DAYS, since: date | None = None, full: bool = False
 ) -> None:
-    """One earlier row per industry and market is read, for the return of the first rewritten day."""
+    """One earlier row per industry and market is carried, for the return of the first rewritten day."""
 
-    def build_from(start: date) -> DataFrame:
-        needed = rows_with_history(daily, start, ["industry_code", "market"], 1)
-        return industry.industry_fact(needed, dimension)
+    def needed(start: date) -> DataFrame:
+        return state.rows_from(daily, start, ["industry_code", "market"], 1, f"{path}{STATE}")
 
-    refresh(spark, path, "trade_date", lookback_days, lambda: industry.industry_fact(daily, dimension), build_from, since, full)
+    refresh(spark, path, "trade_date", lookback_days, lambda: industry.industry_fact(daily, dimension), lambda start: industry.industry_fact(needed(start), dimension), since, full, needed)
 
 
 def refresh_rows(

@@ -19,6 +19,7 @@ from marketmill.operators import quality as Q
 from marketmill.operators import sentiment as M
 from marketmill.operators import universe as U
 from marketmill.plans import incremental as R
+from marketmill.plans import state
 from marketmill.sources import sinks
 
 
@@ -72,10 +73,14 @@ def refresh_marts(
     late, requeued days), `full` everything.
 
     Each fact is written once and read back by the models that use it, which
-    cuts their lineage at a table instead of recomputing it per reader.
+    cuts their lineage at a table instead of recomputing it per reader. Later
+    runs open the days from the lookback on: keys of older days are known by
+    their digests, window rows by the state beside each fact.
     """
     require_unique("universe", universe, "stock_id")
-    require_unique("quotes", quotes, "stock_id", "trade_date")
+    days = state.note_digests(quotes, f"{root}/quotes_digests", ["stock_id", "trade_date"], R.STOCK_LOOKBACK_DAYS, since, full)
+    if not days.where("n_repeated > 0").isEmpty():
+        raise ValueError("quotes: repeated stock_id, trade_date")
 
     def table(name: str, df: DataFrame) -> DataFrame:
         return sinks.materialize(df, name, "marts", f"{root}/{name}")
@@ -86,7 +91,8 @@ def refresh_marts(
     lazy = build(quotes, universe, seed, sentiment)
     stocks = table("dim_stock", lazy.stock_dimension)
     industries = table("dim_industry", lazy.industry_dimension)
-    dates = table("dim_date", lazy.date_dimension)
+    # The digests name every day, so the span of days is known without the quotes.
+    dates = table("dim_date", C.date_dimension(C.date_spine(days)))
 
     R.refresh_industry_daily(spark, quotes, universe, f"{root}/int_industry_daily_price", since=since, full=full)
     daily = written("int_industry_daily_price", lazy.industry_daily)

@@ -14,7 +14,7 @@ from marketmill.operators import indicators as I
 from marketmill.operators import industry as G
 from marketmill.operators import sentiment as M
 from marketmill.plans import incremental as R
-from marketmill.plans import marts
+from marketmill.plans import marts, state
 from marketmill.session import scratch_path
 from marketmill.sources import sinks
 
@@ -192,19 +192,84 @@ def test_incremental_stock_fact_equals_a_rebuild(spark):
     assert built == sorted(whole.collect(), key=key)
 
 
-def test_rows_with_history_reads_just_what_is_needed(spark):
-    quotes = frame(spark, history_rows())
-    start = D0 + timedelta(days=190)
-    got = R.rows_with_history(quotes, start, ["stock_id"], 19, nearby_days=30).collect()
-    before = {s: sorted((r.trade_date - D0).days for r in got if r.stock_id == s and r.trade_date < start) for s in ("daily", "holes", "sparse", "late", "gone")}
-    assert before["daily"] == list(range(171, 190))
-    assert before["sparse"] == []  # its last row lies before the window and nothing follows
-    assert before["gone"] == [] and before["late"] == [] and before["holes"] == []
-    quotes = quotes.unionByName(frame(spark, [quote("sparse", 195, 1.0), quote("holes", 195, 1.0)]))
-    got = R.rows_with_history(quotes, start, ["stock_id"], 19, nearby_days=30).collect()
-    of = lambda s: sorted((r.trade_date - D0).days for r in got if r.stock_id == s and r.trade_date < start)
-    assert of("sparse") == list(range(0, 190, 23))
-    assert of("holes") == [d for d in range(190) if d % 40 < 8][-19:]
+def test_carried_rows_are_those_before_the_start(spark):
+    quotes, path = frame(spark, history_rows()), scratch_path(spark, "state")
+    for day in (150, 190):
+        start = D0 + timedelta(days=day)
+        got = state.rows_from(quotes, start, ["stock_id"], 19, path).collect()
+        before = {s: sorted((r.trade_date - D0).days for r in got if r.stock_id == s and r.trade_date < start) for s in ("daily", "holes", "sparse", "late", "gone")}
+        assert before["daily"] == list(range(day - 19, day)) and before["gone"] == list(range(31, 50)) and before["late"] == []
+        assert before["sparse"] == list(range(0, day, 23)) and before["holes"] == [d for d in range(day) if d % 40 < 8][-19:]
+        assert sum(r.trade_date >= start for r in got) == quotes.where(F.col("trade_date") >= F.lit(start)).count()
+
+
+def test_slots_keep_an_older_snapshot():
+    """A year of daily refreshes with a late day, for which no snapshot is old enough: the others find one, and the oldest is never too old."""
+    found: list[state.Snapshot] = []
+    made, day = 0, 0
+    for k in range(365):
+        day = k
+        start = D0 + timedelta(days=day if k != 200 else 150)
+        base = max((s for s in state.valid(found) if s.as_of <= start), key=lambda s: (s.as_of, s.made), default=None)
+        slot, made = state.next_slot(found, base, start), made + 1
+        assert base is None or slot != base.slot
+        found = [s for s in found if s.slot != slot] + [state.Snapshot(slot, start, made)]
+        good = state.valid(found)
+        assert len(found) <= state.SLOTS and good[-1].as_of == start
+        if k > 5:
+            assert base is not None or k == 200
+            assert (start - good[0].as_of).days <= state.ANCHOR_DAYS + 1
+    assert state.valid([state.Snapshot(0, D0 + timedelta(days=9), 1), state.Snapshot(1, D0, 2)]) == [state.Snapshot(1, D0, 2)]
+
+
+def test_a_refresh_never_opens_old_days(spark):
+    """The source loses its old day folders after the first build; refreshes still equal a rebuild of the whole."""
+    import shutil
+
+    quotes = frame(spark, history_rows() + [quote(None, d, 5.0 + d % 7) for d in range(0, 200, 3)])
+    lake, path = scratch_path(spark, "lake"), scratch_path(spark, "fact")
+    whole = I.stock_fact(quotes)
+    key = lambda r: (r.stock_id or "", r.trade_date)
+    digests = scratch_path(spark, "digests")
+    for end, oldest in ((150, 0), (170, 144), (185, 164), (199, 179)):
+        sinks.replace_partitions(quotes.where(F.col("trade_date") <= F.lit(D0 + timedelta(days=end))), lake, "trade_date")
+        for day in range(oldest):
+            shutil.rmtree(f"{lake}/trade_date={D0 + timedelta(days=day)}", ignore_errors=True)
+        source = spark.read.schema(QUOTE_DDL).parquet(lake)
+        state.note_digests(source, digests, ["stock_id", "trade_date"], 6)
+        R.refresh_stock_fact(spark, source, path, lookback_days=6)
+    built = spark.read.schema(whole.schema).parquet(path).select(*whole.columns).collect()
+    assert sorted(built, key=key) == sorted(whole.collect(), key=key)
+    noted = {r.trade_date: (r.n_rows, r.n_keys, r.n_repeated) for r in state.noted_digests(spark, digests).collect()}
+    assert noted == {r.trade_date: (r.n_rows, r.n_keys, r.n_repeated) for r in state.key_digests(quotes, ["stock_id", "trade_date"]).collect()}
+
+
+def test_late_days_go_back_to_an_older_snapshot_or_to_all_rows(spark):
+    rows = [(s, d) for s in ("a", "b", None) for d in range(80)]
+    late = {("a", 40), ("b", 12), (None, 41)}
+    of = lambda keep: frame(spark, [quote(s, d, 10.0 + (d * 7) % 11 + len(s or "")) for s, d in rows if keep(s, d)])
+    path = scratch_path(spark, "fact")
+    for end, since, missing in ((50, None, late), (60, None, late), (70, None, late), (72, 40, {("b", 12)}), (75, None, {("b", 12)}), (79, 12, set())):
+        source = of(lambda s, d: d <= end and (s, d) not in missing)
+        R.refresh_stock_fact(spark, source, path, lookback_days=4, since=None if since is None else D0 + timedelta(days=since))
+        whole = I.stock_fact(source)
+        built = spark.read.schema(whole.schema).parquet(path).select(*whole.columns)
+        assert sorted(map(str, built.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_digests_find_repeated_keys_of_the_days_that_are_read(spark):
+    path, keys = scratch_path(spark, "digests"), ["stock_id", "trade_date"]
+    first = [quote(s, d, 1.0) for s in ("a", "b", None) for d in range(40)]
+    assert state.note_digests(frame(spark, first), path, keys, 5).where("n_repeated > 0").isEmpty()
+    again = frame(spark, first + [quote("a", 41, 1.0), quote("a", 41, 2.0), quote("b", 3, 1.0)])
+    assert [(r.trade_date - D0).days for r in state.note_digests(again, path, keys, 5).where("n_repeated > 0").collect()] == [41]
+    assert sorted((r.trade_date - D0).days for r in state.note_digests(again, path, keys, 5, since=D0 + timedelta(days=3)).where("n_repeated > 0").collect()) == [3, 41]
+    mended = state.note_digests(frame(spark, first), path, keys, 5, full=True)
+    assert mended.count() == 40 and mended.where("n_repeated > 0 or n_rows <> n_keys").isEmpty()
+    twice = frame(spark, [quote("a", 1, 1.0), quote("a", 1, 2.0)])
+    universe = spark.createDataFrame([("a", "c", "s", "01", D0, "TWSE")], S.UNIVERSE)
+    with pytest.raises(ValueError, match="quotes"):
+        marts.refresh_marts(spark, twice, universe, None, None, scratch_path(spark, "marts"))
 
 
 def test_incremental_industry_fact_equals_a_rebuild(spark):
