@@ -25,12 +25,13 @@ from marketmill.operators import coverage as V
 from marketmill.operators import dashboard as D
 from marketmill.operators import indicators as I
 from marketmill.operators import industry as G
+from marketmill.operators import presence as B8
 from marketmill.operators import quality as Q
 from marketmill.operators import quotes as K
 from marketmill.operators import runlog as L
 from marketmill.operators import sentiment as M
 from marketmill.operators import universe as U
-from marketmill.plans import cleaning, incremental, marts, state
+from marketmill.plans import cleaning, incremental, marts, presence, state
 from marketmill.session import scratch_path
 from marketmill.sources import aside, raw, sinks
 
@@ -251,6 +252,24 @@ def incremental_digests(spark, sf):
     return noted.select("trade_date", "n_rows", "n_keys", "n_repeated")
 
 
+@query
+def presence_days(spark, sf):
+    """Instruments per market and day from bitmaps that were stored in three refreshes; the quotes are not read again."""
+    root, quotes = scratch_path(spark, "presence"), _dated(raw.clean_quotes(spark, P.clean_lake(spark, sf)))
+    for end in ("1998-07-03", "1998-07-08", "1998-07-15"):
+        found = presence.refresh(spark, quotes.where(F.col("dt") <= F.lit(end).cast("date")), root, lookback_days=5)
+    return B8.counted(found, "market", "dt")
+
+
+@query
+def presence_months(spark, sf):
+    """Instruments that traded in a market on any day of a month: the days' bitmaps merged."""
+    quotes = _dated(P.clean_quotes(spark, sf))
+    days = B8.day_bitmaps(quotes, B8.numbered(quotes.select("market", "stock_id")))
+    months = B8.merged(days.withColumn("month", F.trunc("dt", "month")), "market", "month")
+    return B8.counted(months, "market", "month", name="instruments")
+
+
 @query
 def materialize_table(spark, sf):
     quotes = sinks.materialize(P.bars(spark, sf, "events"), "quotes", "staging")

@@ -422,6 +422,8 @@ BODIES: dict[str, str] = {
         union all select {_QUOTE_LIST} from unified_history_e where market = 'TPEx'""",
     "sink_snapshot": "select stock_id, company_name, stock_name, industry_code, listing_date, market from universe",
     "load_day_partition": "select dt, stock_id, case when dt = '1998-06-20' then close_price else -1.0 end as close_price from quotes_e",
+    "presence_days": "select market, cast(dt as date) as dt, count(distinct stock_id) as actual_count from quotes_e group by all",
+    "presence_months": "select market, cast(date_trunc('month', cast(dt as date)) as date) as month, count(distinct stock_id) as instruments from quotes_l group by all",
     "incremental_digests": """select cast(dt as date) as trade_date, cast(sum(n) as bigint) as n_rows, count(*) as n_keys, cast(count_if(n > 1) as bigint) as n_repeated
         from (select dt, stock_id, count(*) as n from quotes_e group by all) group by all""",
     "incremental_replace": f"select {_FACT} from fact_e",

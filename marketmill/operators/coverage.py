@@ -2,8 +2,8 @@
 
 All days are answered by one plan. Tables of days and of listing dates are
 bounded by the calendar, so their running sums stay small. Absences are
-intervals of days; they become rows of days and instruments only for days that
-are asked for.
+intervals of days; for days that are asked for, and for shares of a list, they
+are differences of bitmaps (presence.py).
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketmill.operators import presence as P
+
 
 def daily_distinct(quotes: DataFrame) -> DataFrame:
     return quotes.groupBy("market", "dt").agg(F.count_distinct("stock_id").alias("actual_count"))
@@ -94,21 +96,15 @@ def absence_intervals(quotes: DataFrame, universe: DataFrame, since_listing: boo
 
 
 def missing_on(quotes: DataFrame, universe: DataFrame, asked: DataFrame, since_listing: bool = True) -> DataFrame:
-    """One row for each asked day (market, dt) and instrument absent on it.
+    """One row for each asked day (market, dt) on which the market has rows and each listed instrument absent on it.
 
-    Runs of absence are cut to the asked days, which get numbers of their own,
-    so nothing but the answer is expanded.
+    Of the asked days, the bitmap of what is listed is held against the one of
+    what is present; nothing but the difference is expanded.
     """
-    days = market_days(quotes)
-    wanted = days.join(asked.select("market", "dt").distinct(), ["market", "dt"])
-    upto = Window.partitionBy("market").orderBy("day_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    places = days.join(wanted.select("market", "day_no", F.lit(1).alias("one")), ["market", "day_no"], "left").select("market", "day_no", F.sum(F.coalesce("one", F.lit(0))).over(upto).alias("place"), "one")
-    start = places.select("market", F.col("day_no").alias("first_no"), (F.col("place") - F.coalesce("one", F.lit(0)) + 1).alias("low"))
-    end = places.select("market", F.col("day_no").alias("last_no"), F.col("place").alias("high"))
-    runs = _absences(quotes, universe, days, since_listing).join(start, ["market", "first_no"]).join(end, ["market", "last_no"]).where("low <= high")
-    rows = runs.select("market", "stock_id", "company_name", F.explode(F.sequence("low", "high")).alias("place"))
-    named = places.where("one = 1").join(days, ["market", "day_no"]).select("market", "place", "dt")
-    return rows.join(named, ["market", "place"]).select("market", "dt", "stock_id", "company_name")
+    dictionary = P.numbered(universe.select("market", "stock_id", "company_name", "listing_date"))
+    short = quotes.select("market", "stock_id", "dt").join(asked.select("market", "dt").distinct(), ["market", "dt"], "left_semi")
+    expected = P.listed_bitmaps(dictionary, short, since_listing)
+    return P.absent_ids(expected, P.day_bitmaps(short, dictionary), dictionary).select("market", "dt", "stock_id", "company_name")
 
 
 def missing_instruments(quotes: DataFrame, universe: DataFrame, since_listing: bool = True) -> DataFrame:
@@ -169,13 +165,11 @@ def completeness(
     if end:
         ids = ids.where(F.col("dt") <= F.lit(end).cast("date"))
     ids = ids.join(requested.select("dt").distinct(), "dt", "left_semi")
-    members = official.where(F.col("market") == market).select("market", "stock_id").distinct()
-    if official_only:
-        counted = ids.join(members.select("stock_id", F.lit(True).alias("counts")), "stock_id", "left")
-    else:
-        counted = ids.withColumn("counts", F.lit(True))
+    members = P.numbered(official.where(F.col("market") == market).select("market", "stock_id"))
+    # Bits are those of list members; a day on which none is present has a bitmap without bits.
+    present = P.bitmaps(ids.join(members, ["market", "stock_id"], "left"), "market", "dt")
     size = members.agg(F.count(F.lit(1)).alias("n")).scalar()
-    per_day = counted.groupBy("dt").agg(F.count_distinct(F.when(F.col("counts"), F.col("stock_id"))).alias("present"))
+    per_day = P.counted(present, "dt", name="present") if official_only else ids.groupBy("dt").agg(F.count_distinct("stock_id").alias("present"))
     judged = (
         requested.select("dt").distinct().join(per_day, "dt", "left")
         .select(
@@ -188,8 +182,5 @@ def completeness(
         .withColumn("passed", ~F.col("landed") | (F.col("ratio") >= min_ratio))
     )
     failed = judged.where(~F.col("passed")).select(F.lit(market).alias("market"), "dt")
-    always = members.select("market", "stock_id", F.lit(None).cast("string").alias("company_name"), F.lit(None).cast("date").alias("listing_date"))
-    # Rows of days that pass need no look for absences.
-    short = ids.join(failed, ["market", "dt"], "left_semi")
-    missing = missing_on(short, always, failed, since_listing=False).select("dt", F.col("stock_id").alias("missing_id"))
+    missing = P.absent_ids(P.listed_bitmaps(members, failed, since_listing=False), present, members).select("dt", F.col("stock_id").alias("missing_id"))
     return judged.join(missing, "dt", "left")
