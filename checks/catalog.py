@@ -33,7 +33,7 @@ from marketmill.operators import sentiment as M
 from marketmill.operators import universe as U
 from marketmill.plans import cleaning, incremental, marts, presence, state
 from marketmill.session import scratch_path
-from marketmill.sources import aside, raw, sinks
+from marketmill.sources import aside, raw, sinks, versions
 
 Query = Callable[..., DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -155,9 +155,13 @@ def scan_sentiment_nested(spark, sf):
 
 @query
 def scan_universe_latest(spark, sf):
-    lake = P.raw_lake(spark, sf, "universe_a")
-    listed = raw.universe_snapshot(spark, lake, "universe_a", S.MARKET_A, multiline=False)
-    return listed.toDF("stock_id", "company_name", "stock_name", "industry_code", "listing_date", "dt")
+    """The newest snapshot of each exchange's list."""
+    lake, found = P.raw_lake(spark, sf, "universe_a", "universe_b"), None
+    for market, source in cleaning.SOURCE_LISTS.items():
+        listed = raw.universe_snapshot(spark, lake, source, market, multiline=False)
+        named = listed.toDF("stock_id", "company_name", "stock_name", "industry_code", "listing_date", "dt")
+        found = named if found is None else found.unionByName(named)
+    return found
 
 
 @query
@@ -217,6 +221,17 @@ def sink_backfill_union_once(spark, sf):
     return raw.clean_quotes(spark, path).select(*S.names(S.QUOTES))
 
 
+@query
+def sink_versions(spark, sf):
+    """Partitions replaced as one version, from a frame that reads the table; a write that was not committed is not seen."""
+    root, quotes = scratch_path(spark, "versions"), P.clean_quotes(spark, sf, "events")
+    versions.replace(_unpriced(quotes), root)
+    versions.replace(quotes.where(F.col("dt") >= SPLIT), root)
+    late = versions.read(spark, root, S.QUOTES, first=SPLIT)
+    versions.replace(late.withColumn("close_price", F.col("close_price") * 1), root, gone=[DAY])
+    return versions.read(spark, root, S.QUOTES).select("dt", "stock_id", "close_price")
+
+
 @query
 def sink_snapshot(spark, sf):
     path = scratch_path(spark, "snapshot")

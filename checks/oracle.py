@@ -11,8 +11,9 @@ import re
 
 from checks import projection as P
 from marketmill import schemas as S
-from marketmill.functions.parsing import OUTER_SPACE
 
+#: White space around a text, of any script, and separators: the pattern as the rules state it.
+OUTER_SPACE = r"^[\s\x0b\x1c-\x1f\x85\p{Z}]+|[\s\x0b\x1c-\x1f\x85\p{Z}]+$"
 
 # First days of the named ranges, counted back by hand from 2001-06-30.
 RANGES_ON_2001_06_30 = {
@@ -409,7 +410,7 @@ BODIES: dict[str, str] = {
         r4(f"case when not isnan({c}) then {c} end", c) for c in ("open", "high", "low", "close")) + ", volume from history_e",
     "scan_sentiment_nested": "select x, y, rating from nested_records",
     "scan_universe_latest": """select cast(s_suppkey as varchar) as stock_id, s_name as company_name, 'Stock ' || cast(s_suppkey as varchar) as stock_name,
-        code as industry_code, listed as listing_date, dt from raw_list where market = 'TWSE' and dt = (select max(dt) from raw_list)""",
+        code as industry_code, listed as listing_date, dt from raw_list where dt = (select max(dt) from raw_list)""",
     "scan_clean_partitioned": "select dt, stock_id, close_price, trade_volume from quotes_e where market = 'TWSE'",
     "scan_seed_codes": "select industry_code, industry_name from seed",
     "stg_quotes": f"select {', '.join(STAGED)} from bars_l",
@@ -418,6 +419,7 @@ BODIES: dict[str, str] = {
     "stg_universe": "select stock_id, company_name, stock_name, industry_code, listing_date, market from universe",
     # sinks
     "sink_replace_partition": "select dt, stock_id, case when dt < '1998-07-01' then -1.0 else close_price end as close_price from quotes_e",
+    "sink_versions": "select dt, stock_id, case when dt < '1998-07-01' then -1.0 else close_price end as close_price from quotes_e where dt <> '1998-06-20'",
     "sink_backfill_union_once": f"""select {_QUOTE_LIST} from unified_a_e where {_market('cast(stock_id as bigint)')} = 'TWSE'
         union all select {_QUOTE_LIST} from unified_history_e where market = 'TPEx'""",
     "sink_snapshot": "select stock_id, company_name, stock_name, industry_code, listing_date, market from universe",

@@ -360,7 +360,8 @@ def stored_once(spark: SparkSession, sf: str, name: str, write) -> str:
 
 
 def _stored(spark: SparkSession, sf: str, name: str, make) -> DataFrame:
-    return spark.read.parquet(stored_once(spark, sf, name, lambda path: make().write.parquet(path)))
+    """Kept as a table in as many files as there are cores: the driver's tables are one row group each, which one core would read."""
+    return spark.read.parquet(stored_once(spark, sf, name, lambda path: make().repartition(spark.sparkContext.defaultParallelism).write.parquet(path)))
 
 
 def raw_lake(spark, sf, *sources: str) -> str:

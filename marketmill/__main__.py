@@ -20,6 +20,9 @@ from marketmill.sources import aside, raw
 SEED = str(Path(__file__).parent / "seeds" / "industry_names.csv")
 JOBS = ["universe", "clean-day", "backfill", "sentiment-day", "sentiment-history", "marts", "gates", "backlog", "gaps", "raw-gaps", "completeness", "requeue"]
 
+#: Jobs that return rows.
+ANSWERS = {"gates", "backlog", "gaps", "raw-gaps", "completeness"}
+
 
 def _arguments(argv: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="marketmill", description=__doc__)
@@ -35,7 +38,8 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
     parser.add_argument("--full", action="store_true", help="marts: rewrite all days")
     parser.add_argument("--market", default=S.MARKET_A, choices=S.MARKETS, help="market of gaps and completeness")
     parser.add_argument("--aside", help="table of files set aside; broken raw files go there instead of failing the job")
-    parser.add_argument("--out", help="folder for the whole answer of a job that asks (JSON lines); without it the answer is printed")
+    parser.add_argument("--out", help="folder for the whole answer of a job that asks (JSON lines)")
+    parser.add_argument("--rows", type=int, help="print so many rows of the answer; without it an answer needs --out")
     parser.add_argument("--zone", default="Asia/Taipei", help="time zone of calendar dates")
     parser.add_argument("--json-lines", action="store_true", help="raw files hold one object per line")
     return parser.parse_args(argv)
@@ -97,20 +101,23 @@ def run(spark: SparkSession, a: argparse.Namespace) -> DataFrame | None:
 
 def main(argv: list[str]) -> int:
     arguments = _arguments(argv)
+    if arguments.job in ANSWERS and not arguments.out and arguments.rows is None:
+        print(f"{arguments.job} has an answer of any length: name --out for all of it, or --rows", file=sys.stderr)
+        return 2
     spark = build_session(f"marketmill {arguments.job}", time_zone=arguments.zone)
     answer = run(spark, arguments)
     if answer is None:
         return 0
-    # The plan runs once: the written answer, or the rows on their way to the screen, tell whether a gate failed.
+    # A whole answer is planned once: what was written tells whether a gate failed.
     failed = False
     if arguments.out:
         answer.write.mode("overwrite").json(arguments.out)
         rows = spark.read.schema(answer.schema).json(arguments.out)
         failed = arguments.job == "gates" and not rows.where(~F.col("passed")).isEmpty()
     else:
-        for row in answer.toLocalIterator():
+        for row in answer.limit(arguments.rows).collect():
             print(json.dumps(row.asDict(), default=str, ensure_ascii=False))
-            failed = failed or arguments.job == "gates" and not row.passed
+        failed = arguments.job == "gates" and not answer.where(~F.col("passed")).isEmpty()
     return 1 if failed else 0
 
 

@@ -32,7 +32,7 @@ def one_per_day(records: DataFrame, zone: str) -> DataFrame:
     dated = dated_records(records, zone)
     newest = dated.groupBy(F.col("dt").alias("day")).agg(F.max("x").alias("moment"))
     last = dated.join(newest, F.expr("dt <=> day and x <=> moment"))
-    best = F.array_max(F.collect_set(F.struct("score", "fear_greed_rating")))
+    best = F.max(F.struct("score", "fear_greed_rating"))
     daily = last.groupBy("dt").agg(best.alias("latest"))
     return daily.select("dt", F.round("latest.score", 2).alias("score"), "latest.fear_greed_rating")
 
