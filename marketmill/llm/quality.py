@@ -1,15 +1,17 @@
 """Quality rules: statistics of each text, and lines that too many documents of a host share.
 
 A line counts as the same after lower-casing, digits to 0 and single spaces.
-It is above the limit where more than LINE_SHARE of the documents of its host
-have it, and more than LINE_DOCUMENTS in number. Such lines are removed. A
+It is above the limit where more than LINE_DOCUMENTS documents of its host have
+it, whatever their share, or where more than LINE_SHARE of them have it and
+more than SHARED_DOCUMENTS in number. Such lines are removed. A
 document is rejected if its words are fewer than MIN_WORDS, if more than
 REPEAT_PERCENT of them are in repeated three-word windows, or if removing
 lines leaves less than KEPT_SHARE of its words.
 
 Defined cases: a null text has no words and is rejected. A null host is a host
-of its own. Rows that repeat count as documents each, and get the same result;
-rows of one id and host share the list of removed lines. Extra columns pass
+of its own. Documents are told apart by their id: rows of one id and host are
+one document for the limits, and share the list of removed lines; rows without
+an id are documents of their own. Rows that repeat get the same result. Extra columns pass
 through, whatever their names. No rows give no rows.
 """
 
@@ -30,7 +32,8 @@ from marketmill.llm.text import Words, chunks
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 LINE_SHARE = 0.05
-LINE_DOCUMENTS = 20
+SHARED_DOCUMENTS = 20
+LINE_DOCUMENTS = 500
 KEPT_SHARE = 0.3
 
 _SPACE_BYTES = SPACES.encode()
@@ -101,11 +104,14 @@ def text_stats(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Da
     return rows.mapInArrow(run, f"id long, host string, {_STATS}, lines array<struct<hash:long,words:int>>")
 
 
-def common_lines(stats: DataFrame, line_share: float = LINE_SHARE, line_documents: int = LINE_DOCUMENTS) -> DataFrame:
-    """host, hash of the lines above the limit. A document adds one row for each distinct line; counts combine before the shuffle."""
-    sizes = stats.groupBy("host").agg(F.count("*").alias("n_docs"))
-    counts = stats.select("host", F.explode("lines.hash").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n"))
-    return counts.where(F.col("n") > line_documents).join(sizes, "host").where(F.col("n") > line_share * F.col("n_docs")).select("host", "hash")
+def common_lines(stats: DataFrame, line_share: float = LINE_SHARE, shared_documents: int = SHARED_DOCUMENTS, line_documents: int = LINE_DOCUMENTS) -> DataFrame:
+    """host, hash of the lines above a limit. Documents are counted by their different ids, which combine before each shuffle."""
+    document = F.struct("id", F.when(F.col("id").isNull(), F.col("row")).alias("row")).alias("document")
+    sizes = stats.select("host", document).groupBy("host").agg(F.count_distinct("document").alias("n_docs"))
+    lines = stats.select("host", document, F.explode("lines.hash").alias("hash"))
+    counts = lines.groupBy("host", "hash").agg(F.count_distinct("document").alias("n"))
+    share = F.col("n") > line_share * F.col("n_docs")
+    return counts.where(F.col("n") > min(shared_documents, line_documents)).join(sizes, "host").where((F.col("n") > line_documents) | (F.col("n") > shared_documents) & share).select("host", "hash")
 
 
 SALTS = 32
@@ -132,7 +138,8 @@ def judge(stats: DataFrame, removed: DataFrame) -> DataFrame:
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """One row per document: id, host, statistics, removed lines, base_failed and kept."""
     prepare(docs.sparkSession)
-    stats = stored(text_stats(docs, id_col, text_col, host_col), "quality-stats")
+    # The number of a row tells documents without an id apart.
+    stats = stored(text_stats(docs, id_col, text_col, host_col).withColumn("row", F.monotonically_increasing_id()), "quality-stats")
     return judge(stats, removed_lines(stats, common_lines(stats)))
 
 
@@ -176,35 +183,36 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 _W = r"[^\x20\x09-\x0D]+"
 OP8_SQL = rf"""
 WITH d AS (
-  SELECT doc_id, coalesce(source, chr(1)) AS host, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_W}') AS w FROM documents
+  SELECT doc_id, coalesce(source, chr(1)) AS host, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_W}') AS w,
+    row_number() OVER () AS rn FROM documents
 ), grams AS (
-  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+  SELECT rn, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram
+  FROM (SELECT rn, w, unnest(range(1, len(w) - 1)) AS i FROM d)
 ), again AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM grams
+  SELECT rn, i, count(*) OVER (PARTITION BY rn, gram) AS n FROM grams
 ), covered AS (
-  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM again, (VALUES (0), (1), (2)) AS v(k) WHERE n > 1 GROUP BY doc_id
+  SELECT rn, count(DISTINCT i + k) AS n_repeat_words FROM again, (VALUES (0), (1), (2)) AS v(k) WHERE n > 1 GROUP BY rn
 ), raw AS (
-  SELECT doc_id, host, line, regexp_extract_all(line, '{_W}') AS lw FROM (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM d)
+  SELECT rn, doc_id, host, line, regexp_extract_all(line, '{_W}') AS lw FROM (SELECT rn, doc_id, host, unnest(string_split(text, chr(10))) AS line FROM d)
 ), lines AS (
-  SELECT doc_id, host, line, len(lw) AS n,
+  SELECT rn, doc_id, host, line, len(lw) AS n,
     regexp_replace(translate(array_to_string(lw, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g') AS norm
   FROM raw WHERE len(lw) > 0
 ), dup AS (
-  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY doc_id
+  SELECT rn, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY rn
 ), sizes AS (
-  SELECT host, count(*) AS n_docs FROM d GROUP BY host
+  SELECT host, count(DISTINCT doc_id) + count(*) FILTER (doc_id IS NULL) AS n_docs FROM d GROUP BY host
 ), freq AS (
-  SELECT host, norm, count(DISTINCT doc_id) AS c FROM lines GROUP BY host, norm
+  SELECT host, norm, count(DISTINCT doc_id) + count(DISTINCT rn) FILTER (doc_id IS NULL) AS c FROM lines GROUP BY host, norm
 ), gone AS (
-  SELECT l.doc_id, sum(l.n) AS n_gone FROM lines l JOIN freq USING (host, norm) JOIN sizes USING (host)
-  WHERE c > {LINE_DOCUMENTS} AND c > {LINE_SHARE} * n_docs GROUP BY l.doc_id
+  SELECT l.rn, sum(l.n) AS n_gone FROM lines l JOIN freq USING (host, norm) JOIN sizes USING (host)
+  WHERE c > {LINE_DOCUMENTS} OR c > {SHARED_DOCUMENTS} AND c > {LINE_SHARE} * n_docs GROUP BY l.rn
 ), stats AS (
   SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
     CAST(coalesce(n_gone, 0) AS BIGINT) AS n_removed_words
-  FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN gone USING (doc_id)
+  FROM d LEFT JOIN covered USING (rn) LEFT JOIN dup USING (rn) LEFT JOIN gone USING (rn)
 )
 SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed,
   NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words) AND n_words - n_removed_words >= {KEPT_SHARE} * n_words AS kept
