@@ -33,7 +33,7 @@ from marketmill.operators import sentiment as M
 from marketmill.operators import universe as U
 from marketmill.plans import cleaning, incremental, marts, presence, state
 from marketmill.session import scratch_path
-from marketmill.sources import aside, raw, sinks, versions
+from marketmill.sources import aside, raw, sinks, tables, versions
 
 Query = Callable[..., DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -285,6 +285,14 @@ def presence_months(spark, sf):
     return B8.counted(months, "market", "month", name="instruments")
 
 
+@query
+def bucketed_tables(spark, sf):
+    """All quotes as a table bucketed by instrument; indicators come from it without a shuffle."""
+    root = scratch_path(spark, "tables")
+    quotes = tables.publish(P.bars(spark, sf), f"clean_{root[-8:]}", "quotes", root, buckets=16, sort=("trade_date",))
+    return show_fact(I.stock_fact(quotes))
+
+
 @query
 def materialize_table(spark, sf):
     quotes = sinks.materialize(P.bars(spark, sf, "events"), "quotes", "staging")
@@ -587,6 +595,24 @@ def scalar_latest_filter(spark, sf):
     return _scalar_latest_filter(_stored_marts(spark, sf))
 
 
+def _marts_root(spark, sf) -> str:
+    return _stored_marts(spark, sf)._root
+
+
+@query
+def latest_day_served(spark, sf):
+    """The newest day of both markets by the note that the refresh keeps; each answer opens one folder."""
+    both = [marts.latest_industries(spark, _marts_root(spark, sf), m) for m in S.MARKETS]
+    return shown(both[0].unionByName(both[1]).select("market", "trade_date", "industry_code", "weighted_avg_price", "daily_return_pct"), "weighted_avg_price")
+
+
+@query
+def latest_ranking_served(spark, sf):
+    """Best and worst industry of the newest day, from its one folder."""
+    rows = marts.latest_industries(spark, _marts_root(spark, sf), S.MARKET_A)
+    return D.best_and_worst(D.industry_ranking(rows, S.MARKET_A, rows=rows))
+
+
 @query
 def scalar_latest_filter_all_days(spark, sf):
     return _scalar_latest_filter(_stored_history(spark, sf))

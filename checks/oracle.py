@@ -426,6 +426,7 @@ BODIES: dict[str, str] = {
     "load_day_partition": "select dt, stock_id, case when dt = '1998-06-20' then close_price else -1.0 end as close_price from quotes_e",
     "presence_days": "select market, cast(dt as date) as dt, count(distinct stock_id) as actual_count from quotes_e group by all",
     "presence_months": "select market, cast(date_trunc('month', cast(dt as date)) as date) as month, count(distinct stock_id) as instruments from quotes_l group by all",
+    "bucketed_tables": f"select {_FACT} from fact_l",
     "incremental_digests": """select cast(dt as date) as trade_date, cast(sum(n) as bigint) as n_rows, count(*) as n_keys, cast(count_if(n > 1) as bigint) as n_repeated
         from (select dt, stock_id, count(*) as n from quotes_e group by all) group by all""",
     "incremental_replace": f"select {_FACT} from fact_e",
@@ -496,6 +497,8 @@ BODIES: dict[str, str] = {
         group by market, stock_id, company_name, run""",
     "raw_gap_days": "select market, dt, stock_id, company_name from absent_l where dt between date '1998-06-10' and date '1998-07-20'",
     "sentiment_asof": """select d.dt, s.score, s.fear_greed_rating from (select distinct dt from quotes_l) d asof left join per_day s on d.dt >= s.dt""",
+    "latest_day_served": f"""select market, trade_date, industry_code, {r4('weighted_avg_price')}, daily_return_pct from ifact_e i
+        where trade_date = (select max(trade_date) from ifact_e j where j.market = i.market)""",
     "scalar_latest_filter": f"""select trade_date, industry_code, {r4('weighted_avg_price')}, daily_return_pct from ifact_e where market = 'TWSE'
         and trade_date = (select max(trade_date) from ifact_e where market = 'TWSE')""",
     # aggregations
@@ -526,6 +529,9 @@ BODIES: dict[str, str] = {
     # sorts and limits
     "sentiment_last2": "select index_date, fear_greed_score, fear_greed_rating from sentiment order by index_date desc limit 2",
     "industry_ranking_latest": f"select trade_date, industry_code, industry_name, {r4('weighted_avg_price')}, daily_return_pct {_RANKED}",
+    "latest_ranking_served": f"""with r as (select * {_RANKED}) select b.industry_name as best_industry, b.daily_return_pct as best_return_pct,
+        w.industry_name as worst_industry, w.daily_return_pct as worst_return_pct
+        from (select * from r order by daily_return_pct desc, industry_code limit 1) b, (select * from r order by daily_return_pct, industry_code desc limit 1) w""",
     "best_worst_industry": f"""with r as (select * {_RANKED}) select b.industry_name as best_industry, b.daily_return_pct as best_return_pct,
         w.industry_name as worst_industry, w.daily_return_pct as worst_return_pct
         from (select * from r order by daily_return_pct desc, industry_code limit 1) b, (select * from r order by daily_return_pct, industry_code desc limit 1) w""",

@@ -19,8 +19,14 @@ def latest_rows(facts: DataFrame, market: str) -> DataFrame:
     return ours.where(F.col("trade_date") == newest)
 
 
-def industry_ranking(industries: DataFrame, market: str, by: str = "return") -> DataFrame:
-    rows = latest_rows(industries, market).where(
+def rows_on(facts: DataFrame, market: str, day: date | None) -> DataFrame:
+    """Rows of a market on a day that is known, from one folder of a dated table; none where no day is."""
+    return facts.where((F.col("market") == market) & (F.col("trade_date") == F.lit(day).cast("date")))
+
+
+def industry_ranking(industries: DataFrame, market: str, by: str = "return", rows: DataFrame | None = None) -> DataFrame:
+    """Industries of the newest day by return, or by code. `rows` are those of the day where it is known already."""
+    rows = (latest_rows(industries, market) if rows is None else rows).where(
         F.col("daily_return_pct").isNotNull() & F.col("industry_name").isNotNull()
     )
     order = [F.desc("daily_return_pct"), F.asc("industry_code")] if by == "return" else [F.asc("industry_code")]

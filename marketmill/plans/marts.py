@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from marketmill.operators import sentiment as M
 from marketmill.operators import universe as U
 from marketmill.plans import incremental as R
 from marketmill.plans import state
-from marketmill.sources import sinks
+from marketmill.sources import sinks, versions
 
 
 @dataclass(frozen=True)
@@ -103,6 +103,7 @@ def refresh_marts(
     R.refresh_rows(spark, lazy.sentiment_fact, f"{root}/fact_fear_greed", "index_date", since=since, full=full)
     mood = written("fact_fear_greed", lazy.sentiment_fact)
     wide = W.market_wide(stock_fact, stocks, industries, industry_fact, mood)
+    note_latest(spark, industry_fact, root, since, full)
     # The wide table follows the stock fact, which rewrites more days than the others.
     R.refresh_rows(spark, wide, f"{root}/marts_market_obt", "trade_date", R.STOCK_LOOKBACK_DAYS, since, full)
     return {
@@ -113,6 +114,36 @@ def refresh_marts(
     }
 
 
+LATEST = "market string, latest_date date"
+
+
+def note_latest(spark: SparkSession, industry_fact: DataFrame, root: str, since: date | None = None, full: bool = False) -> None:
+    """Keep each market's newest day beside the marts, so that a question about it opens one folder.
+
+    Only the days that a refresh may have changed are read. A market without
+    rows on them keeps its day; `full` asks all days.
+    """
+    path = f"{root}/latest_day"
+    rows = industry_fact
+    if not full and versions.newest(spark, path)[0]:
+        known = versions.read(spark, path, LATEST, "market").agg(F.max("latest_date")).first()[0]
+        start = known - timedelta(days=R.OTHER_LOOKBACK_DAYS)
+        rows = rows.where(F.col("trade_date") >= F.lit(start if since is None else min(start, since)))
+    newest = rows.groupBy("market").agg(F.max("trade_date").alias("latest_date")).where(F.col("market").isNotNull())
+    versions.replace(newest, path, "market")
+
+
+def latest_day(spark: SparkSession, root: str, market: str) -> date | None:
+    """A market's newest day, from the note of the last refresh."""
+    row = versions.read(spark, f"{root}/latest_day", LATEST, "market", first=market, last=market).first()
+    return row and row.latest_date
+
+
+def latest_industries(spark: SparkSession, root: str, market: str) -> DataFrame:
+    """The industry fact of a market's newest day; the day is a literal, so its folder alone is read."""
+    return D.rows_on(read_marts(spark, root).industry_fact, market, latest_day(spark, root, market))
+
+
 def write_marts(spark: SparkSession, quotes: DataFrame, universe: DataFrame, seed: DataFrame, sentiment: DataFrame, root: str) -> None:
     """Write every mart once and whole, for a history of any number of days.
 
