@@ -19,6 +19,7 @@ from marketmill.functions import articles as NF
 from marketmill.functions import labels
 from marketmill.functions import parsing
 from marketmill.operators import articles as N
+from marketmill.operators import asof as A9
 from marketmill.operators import backlog as B
 from marketmill.operators import calendar as C
 from marketmill.operators import coverage as V
@@ -590,6 +591,15 @@ def sentiment_asof(spark, sf):
     return M.as_of(daily, P.clean_quotes(spark, sf).select("dt"))
 
 
+@query
+def events_asof(spark, sf):
+    """For every event the value of the latest view on or before its moment."""
+    events = P.table(spark, sf, "events")
+    views = events.where("event_type = 'view'").select("ts", "event_id", "value")
+    found = A9.latest_before(views, events.select("event_id", "ts"), "ts", "event_id")
+    return found.select("event_id", F.col("known.event_id").alias("view_id"), F.col("known.value").alias("view_value"))
+
+
 @query
 def scalar_latest_filter(spark, sf):
     return _scalar_latest_filter(_stored_marts(spark, sf))

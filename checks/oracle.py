@@ -497,6 +497,11 @@ BODIES: dict[str, str] = {
         group by market, stock_id, company_name, run""",
     "raw_gap_days": "select market, dt, stock_id, company_name from absent_l where dt between date '1998-06-10' and date '1998-07-20'",
     "sentiment_asof": """select d.dt, s.score, s.fear_greed_rating from (select distinct dt from quotes_l) d asof left join per_day s on d.dt >= s.dt""",
+    "events_asof": """select event_id, view_id, view_value from (
+        select event_id, kind, last_value(view_id ignore nulls) over w as view_id, last_value(view_value ignore nulls) over w as view_value from (
+            select null as event_id, ts, 0 as kind, event_id as view_id, value as view_value from events where event_type = 'view'
+            union all select event_id, ts, 1, null, null from events)
+        window w as (order by ts, kind, view_id rows between unbounded preceding and current row)) where kind = 1""",
     "latest_day_served": f"""select market, trade_date, industry_code, {r4('weighted_avg_price')}, daily_return_pct from ifact_e i
         where trade_date = (select max(trade_date) from ifact_e j where j.market = i.market)""",
     "scalar_latest_filter": f"""select trade_date, industry_code, {r4('weighted_avg_price')}, daily_return_pct from ifact_e where market = 'TWSE'
