@@ -39,7 +39,7 @@ MASKS = ("111111111111", "110110110110", "101101101101", "111000111000", "000111
 SPAN = 12
 MIN_MATCHES = 12
 MIN_SHARE = 0.5
-ENOUGH = 21
+ENOUGH = 13
 MIN_ITEM = 5
 #: Words of a window of short items, in which one may be substituted, and its masks.
 WINDOW = 5

@@ -112,18 +112,67 @@ def test_overlaps_tolerate_substitutions(spark, make_docs, odd_rows):
     rows = [
         (100, around(items[0][1])), (101, around(changed(items[0][1], 7))), (102, around(items[1][1].upper().replace(" ", "\n") + ".")), (103, around(" ".join(items[1][1].split()[:32]))),
         (104, around(" ".join(items[1][1].split()[:20]))), (105, around(items[2][1])), (106, around(items[3][1])), (107, around(items[4][1])), (108, around(items[0][1]) + " " + around(items[7][1])),
-        (109, around("")), (100, around(items[0][1])),
+        (109, around("")), (100, around(items[0][1])), (110, around(" ".join(items[1][1].split()[30:43]))), (111, around(" ".join(items[1][1].split()[30:42]))),
     ]
     table = spark.createDataFrame(items, "item_id long, text string")
     got = decontam.find_overlaps(make_docs(rows + odd_rows), table).collect()
-    assert sorted((r.id, r.item_id) for r in got) == [(100, 0), (100, 0), (101, 0), (102, 1), (103, 1), (105, 2), (106, 3), (108, 0), (108, 7)]
+    assert sorted((r.id, r.item_id) for r in got) == [(100, 0), (100, 0), (101, 0), (102, 1), (103, 1), (104, 1), (105, 2), (106, 3), (108, 0), (108, 7), (110, 1)]
     assert all(r.n_substitutions == (0 if r.id != 101 else r.n_substitutions) and r.n_matches <= r.item_words for r in got)
     clean = decontam.drop_contaminated(make_docs(rows + odd_rows), table)
-    assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(i) for i, _ in rows + odd_rows if i not in {100, 101, 102, 103, 105, 106, 108})
+    assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(i) for i, _ in rows + odd_rows if i not in {100, 101, 102, 103, 104, 105, 106, 108, 110})
     assert decontam.find_overlaps(make_docs(rows), table.where("false")).count() == 0
     assert decontam.find_overlaps(make_docs([]), table).count() == 0
 
 
+def compared(text):
+    trimmed = ("".join(c.lower() if "A" <= c <= "Z" else c for c in w).strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") for w in (text or "").encode().decode().split())
+    return [w for w in trimmed if w]
+
+
+def all_diagonals(doc, item):
+    """The most matches of any run on any diagonal that scores best, counting penalties, and the longest stretch without a substitution."""
+    most = longest = 0
+    for shift in range(-len(item), len(doc)):
+        score = matches = stretch = 0
+        for q in range(max(0, -shift), min(len(item), len(doc) - shift)):
+            if doc[q + shift] == item[q]:
+                score, matches, stretch = score + 1, matches + 1, stretch + 1
+                most, longest = max(most, matches), max(longest, stretch)
+            else:
+                score, stretch = score - decontam.PENALTY, 0
+                if score < 0:
+                    score = matches = 0
+    return most, longest
+
+
+def test_overlaps_against_all_diagonals(spark, make_docs):
+    """No pair is lost that shares ENOUGH words in a row; none is found whose best run has fewer matches than the rule asks."""
+    rng = random.Random(15)
+    items = [(k, " ".join(words(rng, rng.randint(24, 50)))) for k in range(6)]
+    rows = []
+    for k in range(60):
+        parts = [" ".join(words(rng, rng.randint(0, 8)))]
+        for _ in range(rng.randint(0, 2)):
+            source = items[rng.randrange(6)][1].split()
+            a, n = rng.randrange(len(source)), rng.randint(5, 30)
+            piece = [w if rng.random() > 0.06 else "zz" for w in source[a:a + n]]
+            parts += [" ".join(piece).upper() if k % 2 else " ".join(piece), " ".join(words(rng, rng.randint(0, 8)))]
+        rows.append((k, " ".join(parts)))
+    got = {(r.id, r.item_id): r for r in decontam.find_overlaps(make_docs(rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    sure = maybe = 0
+    for i, text in rows:
+        for j, item in items:
+            most, longest = all_diagonals(compared(text), compared(item))
+            least = min(decontam.ENOUGH, max(decontam.MIN_MATCHES, decontam.MIN_SHARE * len(item.split())))
+            if longest >= decontam.ENOUGH:
+                assert (i, j) in got
+                sure += 1
+            if (i, j) in got:
+                assert most >= got[i, j].n_matches >= least
+                maybe += 1
+    assert sure > 10 and maybe >= sure
+
+
 def test_blocks_of_items_find_the_same(spark, make_docs, monkeypatch):
     rng = random.Random(5)
     items = [(k, " ".join(words(rng, 30))) for k in range(6)]
