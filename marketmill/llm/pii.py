@@ -79,6 +79,10 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+#: Matches, or spans, that are put into one array; blocks of them are then joined.
+BLOCK = 256
+
+
 def matches(text: str, kind: str) -> Column:
     """Matches of a kind's pattern in a text column as an array of (s, e, m).
 
@@ -90,10 +94,14 @@ def matches(text: str, kind: str) -> Column:
     if kind in _NEEDS:
         marked = f"IF({_NEEDS[kind].format(t=text)}, {marked}, '')"
     none = "cast(array() AS ARRAY<STRUCT<s: INT, e: INT, m: STRING>>)"
-    found = (
-        f"aggregate(slice(p, 2, size(p)), named_struct('at', length(p[0]), 'out', {none}), (a, x) -> named_struct('at', a.at + length(x) - 1, 'out', "
+    # An array grows by copying, so parts are taken in blocks: within one from where it starts, which the lengths of the blocks before it say.
+    blocks = f"transform(sequence(0, (size(p) - 2) div {BLOCK}), k -> slice(p, 2 + k * {BLOCK}, {BLOCK}))"
+    starts = "aggregate(b, array(length(p[0])), (o, y) -> concat(o, array(element_at(o, -1) + aggregate(y, 0, (n, x) -> n + length(x) - 1))))"
+    within = (
+        f"aggregate(y, named_struct('at', at, 'out', {none}), (a, x) -> named_struct('at', a.at + length(x) - 1, 'out', "
         "concat(a.out, array(named_struct('s', a.at, 'e', a.at + length(substring_index(x, '\\u0002', 1)), 'm', substring_index(x, '\\u0002', 1))))), a -> a.out)"
     )
+    found = f"element_at(transform(array({blocks}), b -> flatten(zip_with(b, slice({starts}, 1, size(b)), (y, at) -> {within}))), 1)"
     return F.expr(f"element_at(transform(array(split({marked}, '\\u0001', -1)), p -> IF(size(p) > 1, {found}, {none})), 1)")
 
 
@@ -256,13 +264,20 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     ordered = F.array_sort(F.transform("every", lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"), x["kind"].alias("kind"))))
     found = found.withColumn("ordered_", ordered)
     text = f"cast({place} AS STRING)"
+    # Spans in blocks, each with the furthest end before it and its own stretch of the text, in which positions are short.
+    blocks = f"transform(sequence(0, (size(ordered_) - 1) div {BLOCK}), k -> slice(ordered_, 1 + k * {BLOCK}, {BLOCK}))"
+    ends = "aggregate(b, array(0), (o, y) -> concat(o, array(greatest(element_at(o, -1), array_max(transform(y, x -> -x.e))))))"
+    stretch = f"substring({text}, at + 1, greatest(array_max(transform(y, x -> -x.e)) - at, 0))"
     pieces = (
-        "aggregate(ordered_, named_struct('at', 0, 'out', cast(array() AS ARRAY<STRING>)), (a, x) -> IF(x.s >= a.at, "
-        f"named_struct('at', -x.e, 'out', concat(a.out, array(substring({text}, a.at + 1, x.s - a.at), concat('[', upper(x.kind), ']')))), "
-        "named_struct('at', greatest(a.at, -x.e), 'out', a.out)))"
+        "aggregate(y, named_struct('at', at, 'out', cast(array() AS ARRAY<STRING>)), (a, x) -> IF(x.s >= a.at, "
+        "named_struct('at', -x.e, 'out', concat(a.out, array(substring(t, a.at - at + 1, x.s - a.at), concat('[', upper(x.kind), ']')))), "
+        "named_struct('at', greatest(a.at, -x.e), 'out', a.out)), a -> array_join(a.out, ''))"
+    )
+    cut = f"zip_with(b, slice({ends}, 1, size(b)), (y, at) -> element_at(transform(array({stretch}), t -> {pieces}), 1))"
+    last = "array_max(transform(ordered_, x -> -x.e))"
+    new = F.expr(
+        f"IF(size(ordered_) > 0, concat(element_at(transform(array({blocks}), b -> array_join({cut}, '')), 1), substring({text}, {last} + 1, length({text}))), {text})"
     )
-    found = found.withColumn("cut_", F.expr(pieces))
-    new = F.expr(f"IF(size(ordered_) > 0, concat(array_join(cut_.out, ''), substring({text}, cut_.at + 1, length({text}) - cut_.at)), {text})")
     return found.withColumn(place, new).select(*names).toDF(*docs.columns)
 
 

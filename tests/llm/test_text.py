@@ -237,6 +237,20 @@ def test_base_kinds_equal_the_rules(spark, make_docs, odd_rows):
     assert keys and keys <= {i for i, t in rows if t and "token" in t}
 
 
+def test_many_matches_take_linear_time(spark, make_docs):
+    import time
+
+    took = {}
+    for n in (100, 16_000, 32_000):
+        docs = make_docs([(1, "a@b.cd " * n)])
+        start = time.time()
+        row = pii.find_personal_data(docs).first()
+        assert row.n_email == n and [tuple(x) for x in row.base][-1] == ("email", 7 * n - 7, 7 * n - 1)
+        assert pii.redact(docs).first().text == "[EMAIL] " * n
+        took[n] = time.time() - start
+    assert took[32_000] < 2 * took[16_000] + 3
+
+
 def test_redaction_leaves_the_rest(spark, make_docs, odd_rows):
     rows = personal_rows() + odd_rows
     docs = make_docs(rows)
