@@ -312,6 +312,18 @@ def run_log_append(spark, sf):
     return spark.read.parquet(path).select("target_date", "task_id", "status", "row_count", "duration_seconds")
 
 
+@query
+def run_log_observed(spark, sf):
+    """The log of two writes of all days, counted while they were written."""
+    path, quotes = scratch_path(spark, "runs"), P.clean_quotes(spark, sf, "events")
+    days = [str(date(1998, 6, 16) + timedelta(days=d)) for d in range(31)]
+    for minute, task in enumerate(("clean", "load")):
+        counts = sinks.replace_observed(quotes, scratch_path(spark, "observed"), days, S.MARKETS)
+        began = datetime(2024, 2, 1, 17, minute)
+        sinks.append_run_log(L.observed_runs(spark, counts, "market", task, began, began + timedelta(seconds=90)), path)
+    return spark.read.parquet(path).select("target_date", "task_id", "status", "row_count", "duration_seconds")
+
+
 @query
 def land_raw_partition(spark, sf):
     path, scores = scratch_path(spark, "landed"), P.clean_sentiment(spark, sf)

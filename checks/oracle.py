@@ -431,6 +431,8 @@ BODIES: dict[str, str] = {
         from (select dt, stock_id, count(*) as n from quotes_e group by all) group by all""",
     "incremental_replace": f"select {_FACT} from fact_e",
     "materialize_table": f"select {_IDAILY} from idaily_e",
+    "run_log_observed": """select cast(dt as date) as target_date, t.task || '.' || market as task_id, 'success' as status, count(*) as row_count, 90.0::double as duration_seconds
+        from quotes_e, (values ('clean'), ('load')) t(task) group by all""",
     "run_log_append": """select cast(dt as date) as target_date, t.task || '.' || market as task_id, 'success' as status, count(*) as row_count, 90.0::double as duration_seconds
         from quotes_e, (values ('clean'), ('load')) t(task) group by all""",
     "land_raw_partition": "select dt, case when dt < '1998-07-01' then score else 0.0 end as score, fear_greed_rating from clean_sentiment",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketmill.functions.labels import health_band
@@ -74,3 +74,14 @@ def partition_runs(quotes: DataFrame, dag_id: str, task_id: str, run_timestamp:
         F.concat_ws(".", F.lit(task_id), "market").alias("task_id"), "target_date",
         F.lit("success").alias("status"), "row_count", F.lit(seconds).cast("double").alias("duration_seconds"),
     )
+
+
+def observed_runs(spark: SparkSession, counts: dict[tuple[str, str], int], dag_id: str, task_id: str, run_timestamp: datetime, ended: datetime | None = None) -> DataFrame:
+    """The same log rows from counts taken while the table was written: nothing is read again."""
+    rows = spark.createDataFrame([(day, market, n) for (day, market), n in counts.items()], "day string, market string, row_count bigint")
+    seconds = (ended - run_timestamp).total_seconds() if ended else None
+    return rows.select(
+        F.lit(str(run_timestamp)).cast("timestamp").alias("run_timestamp"), F.lit(dag_id).alias("dag_id"),
+        F.concat_ws(".", F.lit(task_id), "market").alias("task_id"), F.col("day").cast("date").alias("target_date"),
+        F.lit("success").alias("status"), "row_count", F.lit(seconds).cast("double").alias("duration_seconds"),
+    )

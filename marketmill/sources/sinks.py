@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketmill.operators.quotes import merge_sources
@@ -30,6 +30,24 @@ def replace_partitions(df: DataFrame, path: str, by: str = "dt", fmt: str = "par
     )
 
 
+def replace_observed(df: DataFrame, path: str, days: list[str], markets: list[str], by: str = "dt") -> dict[tuple[str, str], int]:
+    """`replace_partitions`, and how many rows of each day and market it wrote, counted while they are written.
+
+    The days are those that a run was asked for; other days are written as
+    well, but not counted. Days and markets without rows are left out.
+    """
+    pairs = [(day, market) for day in days for market in markets]
+    seen = Observation()
+    counts = [F.count_if((F.col(by).cast("string") == day) & (F.col("market") == market)).alias(f"n{k}") for k, (day, market) in enumerate(pairs)]
+    # Counted in the stage that writes, whose tasks count once however often they are tried.
+    (
+        df.hint("rebalance", by).observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    )
+    found = seen.get
+    return {pair: found[f"n{k}"] for k, pair in enumerate(pairs) if found[f"n{k}"]}
+
+
 def backfill_once(path: str, *unified: DataFrame) -> None:
     """Union all sources, then write once: two writes to one partition would erase each other."""
     replace_partitions(merge_sources(*unified), path)

@@ -1,7 +1,7 @@
 """Indicators, industry prices, coverage and incremental refresh against plain-Python brute force."""
 
 import random
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -324,3 +324,18 @@ def test_replaced_partitions_leave_the_others(spark):
     sinks.load_day(read.where("false"), path, "d3")
     spark.catalog.refreshByPath(path)
     assert {r.dt for r in spark.read.schema("v int, dt string").parquet(path).collect()} == {"d1", "d2"}
+
+
+def test_rows_are_counted_while_they_are_written(spark):
+    from marketmill.operators import runlog
+
+    path = scratch_path(spark, "observed")
+    rows = [(f"2026-01-0{d}", m, k) for d in (1, 2, 3) for m in S.MARKETS for k in range(4 * d + (m == "TPEx")) if (d, m) != (2, "TPEx")] + [("2026-01-01", "other", 1)]
+    quotes = spark.createDataFrame(rows, "dt string, market string, v int")
+    counts = sinks.replace_observed(quotes, path, ["2026-01-01", "2026-01-02", "2026-01-09"], S.MARKETS)
+    assert counts == {("2026-01-01", "TWSE"): 4, ("2026-01-01", "TPEx"): 5, ("2026-01-02", "TWSE"): 8}
+    assert spark.read.schema("market string, v int, dt string").parquet(path).count() == len(rows)
+    ran = datetime(2026, 1, 1, 17)
+    mine = runlog.observed_runs(spark, counts, "d", "t", ran, ran + timedelta(seconds=9))
+    theirs = runlog.partition_runs(quotes.where("dt < '2026-01-03' and market <> 'other'"), "d", "t", ran, ran + timedelta(seconds=9))
+    assert mine.schema.simpleString() == theirs.schema.simpleString() and sorted(mine.collect()) == sorted(theirs.collect())
