@@ -20,9 +20,11 @@ at least 75 percent; a component is what links connect.
    components meet. In nodes and cells all members of
    different components are compared by their minwise values. Of those within
    five standard deviations of the threshold the BEST of each document are
-   confirmed first. Then the full sets of the members that such pairs still
-   keep open are brought to their node and compared exhaustively, and no pair
-   leaves the task but links between components. A group of n copies makes
+   confirmed first, but for pairs of step 3. Then the full sets of the members
+   that such pairs still keep open, confirmed ones set aside, are brought
+   together, once for all nodes that share members while these fit in one task,
+   and compared exhaustively, and no pair leaves the task but links between
+   components. A group of n copies makes
    rows in proportion to n; m members of a large node that the first links
    leave outside its largest component make m / LEAF times as many.
 
@@ -37,6 +39,7 @@ all have the id's component. No rows give no rows. Extra columns pass through.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -274,7 +277,26 @@ def _groups(batches):
 
 
 def _ordered(rows: DataFrame, *more: str) -> DataFrame:
-    return rows.select("node", "id", "component", "sketch", *more).repartition("node").sortWithinPartitions("node", "id")
+    """The rows with each node whole in one partition, one node after another.
+
+    Spark leaves out a repartition by the key of the join below it, and may then
+    read that join's shuffle in parts of a key. One by a hash of the key stays.
+    """
+    return rows.select("node", "id", "component", "sketch", *more).repartition(F.xxhash64("node")).sortWithinPartitions("node", "id")
+
+
+def outside_largest(component: np.ndarray) -> list[int]:
+    """Places of the members outside a node's largest component."""
+    names, sizes = np.unique(component, return_counts=True)
+    return np.flatnonzero(component != names[np.argmax(sizes)]).tolist()
+
+
+def best_near(x: int, component: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """Places of the BEST members of other components that may be linked with member x."""
+    equal = (sketch == sketch[x]).sum(axis=1)
+    equal[component == component[x]] = 0
+    near = np.flatnonzero(equal >= LEAST_EQUAL)
+    return near[np.argsort(-equal[near], kind="stable")[:BEST]]
 
 
 def candidates(rows: DataFrame) -> DataFrame:
@@ -282,14 +304,9 @@ def candidates(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for _, ids, component, sketch, _ in _groups(batches):
-            names, sizes = np.unique(component, return_counts=True)
-            outside = np.flatnonzero(component != names[np.argmax(sizes)])
             a, b = [], []
-            for x in outside.tolist():
-                equal = (sketch == sketch[x]).sum(axis=1)
-                equal[component == component[x]] = 0
-                near = np.flatnonzero(equal >= LEAST_EQUAL)
-                near = near[np.argsort(-equal[near], kind="stable")[:BEST]]
+            for x in outside_largest(component):
+                near = best_near(x, component, sketch)
                 a.append(np.minimum(ids[x], ids[near]))
                 b.append(np.maximum(ids[x], ids[near]))
             if a and sum(map(len, a)):
@@ -298,23 +315,48 @@ def candidates(rows: DataFrame) -> DataFrame:
     return _ordered(rows).mapInArrow(run, "a long, b long").distinct()
 
 
+def open_members(component: np.ndarray, before: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """Which members of a node a pair of different components keeps open that `candidates` did not take by the components before."""
+    taken: dict[int, list[int]] = {}
+    for x in outside_largest(before):
+        for y in best_near(x, before, sketch).tolist():
+            taken.setdefault(x, []).append(y)
+            taken.setdefault(y, []).append(x)
+    needed = np.zeros(len(component), bool)
+    for x in outside_largest(component):
+        near = ((sketch == sketch[x]).sum(axis=1) >= LEAST_EQUAL) & (component != component[x])
+        near[taken.get(x, [])] = False
+        if near.any():
+            needed[x] = True
+            needed |= near
+    return needed
+
+
 def still_open(rows: DataFrame) -> DataFrame:
-    """node, id, component, sketch of the members that a pair of different components keeps open."""
+    """node, id, component, sketch of the open members of rows node, id, component, before, sketch.
+
+    Nodes that leave the same members open come as one, named by their ids.
+    """
 
     def run(batches):
-        for node, ids, component, sketch, _ in _groups(batches):
-            names, sizes = np.unique(component, return_counts=True)
-            needed = np.zeros(len(ids), bool)
-            for x in np.flatnonzero(component != names[np.argmax(sizes)]).tolist():
-                near = ((sketch == sketch[x]).sum(axis=1) >= LEAST_EQUAL) & (component != component[x])
-                if near.any():
-                    needed[x] = True
-                    needed |= near
+        for _, ids, component, sketch, before in _groups(batches):
+            needed = open_members(component, np.array(before), sketch)
             if needed.any():
                 n = int(needed.sum())
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, node)), pa.array(ids[needed]), pa.array(component[needed]), pa.array([s.tobytes() for s in sketch[needed]], pa.binary())], ["node", "id", "component", "sketch"])
+                name = int.from_bytes(hashlib.blake2b(ids[needed].tobytes(), digest_size=8).digest(), "little", signed=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, name)), pa.array(ids[needed]), pa.array(component[needed]), pa.array([s.tobytes() for s in sketch[needed]], pa.binary())], ["node", "id", "component", "sketch"])
+
+    return _ordered(rows, "before").mapInArrow(run, "node long, id long, component long, sketch binary").distinct()
+
 
-    return _ordered(rows).mapInArrow(run, "node long, id long, component long, sketch binary")
+def gathered(rest: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The open members with nodes that share members as one, so that a set is brought once; nodes of what is too large for one task stay."""
+    heads = rest.groupBy("node").agg(F.min("id").alias("first"))
+    groups = stored(connected_components(rest.join(heads, "node").select(F.col("first").alias("a"), F.col("id").alias("b"))).toDF("id", "group"), "near-groups")
+    size = F.sum(F.col("size").cast("double"))
+    fits = groups.join(sketches.select("id", "size"), "id").groupBy("group").agg(F.count("*").alias("n"), size.alias("size")).where((F.col("n") <= LEAF) & (F.col("size") <= LEAF_SHINGLES)).select("group")
+    named = rest.join(groups.join(fits, "group").select("id", F.xxhash64("group", F.lit("group")).alias("group")), "id", "left")
+    return named.select(F.coalesce("group", "node").alias("node"), "id", "component", "sketch").distinct()
 
 
 def compare_members(ids: np.ndarray, component: np.ndarray, items: list[np.ndarray]):
@@ -373,15 +415,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         more = stored(ids.distinct().join(sets.select("id"), "id", "left_anti"), "near-ids")
         return sets.union(full_sets(docs, more, id_col, text_col))
 
-    fresh = stored(candidates(contested(with_components(compared))), "near-pairs")
+    first_seen = with_components(compared)
+    # What the first confirmations decided is not asked again.
+    fresh = stored(candidates(contested(first_seen)).join(pairs, ["a", "b"], "left_anti"), "near-pairs")
     sets = needed(fresh.select(F.explode(F.array("a", "b")).alias("id")))
     links = links.union(stored(confirm(fresh, sets), "near-links"))
     components = stored(connected_components(links), "near-components")
 
-    rest = stored(still_open(contested(with_components(compared))), "near-open")
+    rest = stored(still_open(contested(with_components(first_seen.withColumnRenamed("component", "before")))), "near-open")
     if not rest.isEmpty():
         sets = needed(rest.select("id"))
-        links = links.union(stored(confirm_members(rest.join(sets, "id")), "near-links"))
+        links = links.union(stored(confirm_members(gathered(rest, sketches).join(sets, "id")), "near-links"))
         components = stored(connected_components(links), "near-components")
 
     named = classes.join(components.withColumnRenamed("node", "first"), "first", "left").select("key1", "key2", "n_shingles", F.coalesce("component", "first").alias("component"))
