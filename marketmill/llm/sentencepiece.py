@@ -30,6 +30,7 @@ with clashing names pass through. No rows give no rows.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -84,6 +85,8 @@ class Pieces:
         self.lowest = min((score for _, score in self.ids.values()), default=0.0)
         self.longest = max(map(len, self.ids), default=1)
         self.starts = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        #: Every start of a piece, with id and score where it is one.
+        self.table = {p: self.ids.get(p) for p in self.starts}
         self.bytes_fallback = len(self.byte_ids) == 256
         #: Whether texts are taken as they are, but for the mark of a space.
         self.plain = self.normalize(_PROBE).lstrip(SPACE) == _PROBE.replace(" ", SPACE).lstrip(SPACE)
@@ -106,10 +109,35 @@ class Pieces:
         return self.pattern.findall(text) if self.cuts else [text] if text else []
 
     def _search_all(self, parts: list[str]) -> list[bytes]:
-        return [np.array(self.search(p), "<u4").tobytes() for p in parts]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in map(self.search, parts)]
 
     def search(self, text: str) -> list[int]:
         """Ids of the best segmentation of the characters in `text`."""
+        return self.search_whole(text) if len(text) <= 2 * self.longest else self.search_stream(text)
+
+    def search_whole(self, text: str) -> list[int]:
+        """The search over a text that ends before any boundary would be committed."""
+        look, longest, n = self.table.get, self.longest, len(text)
+        bad = self.lowest - UNKNOWN_PENALTY
+        best, back, got = [0.0] + [float("-inf")] * n, [0] * (n + 1), [None] * (n + 1)
+        for i in range(n):
+            here = best[i]
+            for end in range(i + 1, min(i + longest, n) + 1):
+                hit = look(text[i:end], 0)
+                if hit:
+                    score = here + hit[1]
+                    if score > best[end]:
+                        best[end], back[end], got[end] = score, i, hit[0]
+                elif hit == 0:
+                    break
+            if here + bad > best[i + 1]:
+                best[i + 1], back[i + 1], got[i + 1] = here + bad, i, text[i]
+        out: list[int] = []
+        self._commit(n, back, got, out)
+        return out
+
+    def search_stream(self, text: str) -> list[int]:
+        """The search over a text of any length, in a window."""
         ids, starts, longest = self.ids, self.starts, self.longest
         bad, never = self.lowest - UNKNOWN_PENALTY, float("-inf")
         out: list[int] = []
