@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from marketmill.llm import neardup
-from marketmill.llm.shared import prepare
+from marketmill.llm.shared import BATCH_ROWS, MOST_ROWS, prepare, stored
 
 from .conftest import words
 
@@ -70,3 +70,15 @@ def test_confirmed_pairs_bring_no_sets_again(spark, make_docs, monkeypatch):
     neardup.near_duplicates(make_docs(rows)).collect()
     assert seen["near-stars"].count() >= 40
     assert seen["near-open"].count() == 0
+
+
+def test_steps_hand_bounded_batches_to_python(spark):
+    before = spark.conf.get(BATCH_ROWS)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    rows = stored(spark.range(0, 25_000, 1, 1).mapInArrow(sizes, "n long"), "batches").collect()
+    assert sum(r.n for r in rows) == 25_000 and max(r.n for r in rows) <= MOST_ROWS
+    assert spark.conf.get(BATCH_ROWS) == before
