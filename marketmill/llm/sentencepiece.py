@@ -84,9 +84,8 @@ class Pieces:
                 self.bytes_of.append(piece.replace(SPACE, " ").encode())
         self.lowest = min((score for _, score in self.ids.values()), default=0.0)
         self.longest = max(map(len, self.ids), default=1)
-        self.starts = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
         #: Every start of a piece, with id and score where it is one.
-        self.table = {p: self.ids.get(p) for p in self.starts}
+        self.table = {p[:k]: None for p in self.ids for k in range(1, len(p))} | self.ids
         self.bytes_fallback = len(self.byte_ids) == 256
         #: Whether texts are taken as they are, but for the mark of a space.
         self.plain = self.normalize(_PROBE).lstrip(SPACE) == _PROBE.replace(" ", SPACE).lstrip(SPACE)
@@ -138,7 +137,7 @@ class Pieces:
 
     def search_stream(self, text: str) -> list[int]:
         """The search over a text of any length, in a window."""
-        ids, starts, longest = self.ids, self.starts, self.longest
+        ids, starts, longest = self.ids, self.table, self.longest
         bad, never = self.lowest - UNKNOWN_PENALTY, float("-inf")
         out: list[int] = []
         # The window: for every position since the last committed boundary, the score of the best path
