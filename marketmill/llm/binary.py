@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketmill.llm.memo import Memo
-from marketmill.llm.shared import open_fs, prepare, read_files, shared_folder, small, stored, unique_file
+from marketmill.llm.shared import open_fs, prepare, read_files, shared_folder, small, stored, table, unique_file
 from marketmill.llm.text import chunks
 
 TOKENIZER = "word_bpe_49k.json"
@@ -136,14 +136,9 @@ class WordEncoder:
         return self.encode_all([text])[0]
 
 
-_LOADED: dict = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """The tokenizer, loaded once per Python worker."""
-    if path not in _LOADED:
-        _LOADED[path] = WordEncoder(path)
-    return _LOADED[path]
+    return table(path, WordEncoder)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

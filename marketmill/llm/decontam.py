@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketmill.llm.shared import prepare, without_ids
+from marketmill.llm.shared import lean, prepare, without_ids
 from marketmill.llm.text import chunks, constants, mix, word_bounds, word_hashes
 
 #: Kept positions of each mask; the others are ignored. No two substitutions nearby defeat all of them.
@@ -232,7 +232,7 @@ def find_overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*rows)], names)
 
-        part = texts.mapInArrow(run, OVERLAPS)
+        part = texts.mapInArrow(lean(run), OVERLAPS)
         out = part if out is None else out.union(part)
     return spark.createDataFrame([], OVERLAPS) if out is None else out
 

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketmill.llm.shared import connected_components, prepare, small, stored, without_ids
+from marketmill.llm.shared import connected_components, lean, prepare, small, stored, without_ids
 from marketmill.llm.text import Words, chunks, constants, gram_hashes, mix
 
 SHINGLE = 5
@@ -139,7 +139,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 keys = [[int(mix(s * c).sum(dtype=np.uint64).view(np.int64)) for s in sets] for c in constants(2, 43)]
                 yield pa.RecordBatch.from_arrays([pa.array([i for _, i in held], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[0], pa.int64()), pa.array(keys[1], pa.int64()), pa.array(sketches, pa.binary()), pa.array(nodes, pa.list_(pa.int64()))], schema=schema)
 
-    return _plain(docs, id_col, text_col).mapInArrow(run, _SIGNATURE)
+    return _plain(docs, id_col, text_col).mapInArrow(lean(run), _SIGNATURE)
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -152,7 +152,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> Da
                 yield pa.RecordBatch.from_arrays([pa.array([i for _, i in held], pa.int64()), pa.array([s.tobytes() for s in shingle_sets([t for t, _ in held])], pa.binary())], ["id", "items"])
 
     texts = _plain(docs, id_col, text_col).where("id is not null")
-    return stored(texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, "id long, items binary"), "near-sets")
+    return stored(texts.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(lean(run), "id long, items binary"), "near-sets")
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -174,7 +174,7 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("right"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(lean(run), "a long, b long")
 
 
 def star_candidates(crowd: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -189,7 +189,7 @@ def star_candidates(crowd: DataFrame, sketches: DataFrame) -> DataFrame:
     pairs = crowd.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     left = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("left"))
     right = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("right"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(lean(run), "a long, b long")
 
 
 def contested(rows: DataFrame) -> DataFrame:
@@ -211,7 +211,7 @@ def branch(rows: DataFrame) -> DataFrame:
                     take = pa.array(at)
                     yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *(batch.column(i).take(take) for i in (1, 2, 3, 4))], ["node", "id", "component", "sketch", "size"])
 
-    return rows.select("node", "id", "component", "sketch", "size").mapInArrow(run, "node long, id long, component long, sketch binary, size long")
+    return rows.select("node", "id", "component", "sketch", "size").mapInArrow(lean(run), "node long, id long, component long, sketch binary, size long")
 
 
 def dealt(large: DataFrame) -> DataFrame:
@@ -312,7 +312,7 @@ def candidates(rows: DataFrame) -> DataFrame:
             if a and sum(map(len, a)):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
-    return _ordered(rows).mapInArrow(run, "a long, b long").distinct()
+    return _ordered(rows).mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def open_members(component: np.ndarray, before: np.ndarray, sketch: np.ndarray) -> np.ndarray:
@@ -346,7 +346,7 @@ def still_open(rows: DataFrame) -> DataFrame:
                 name = int.from_bytes(hashlib.blake2b(ids[needed].tobytes(), digest_size=8).digest(), "little", signed=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, name)), pa.array(ids[needed]), pa.array(component[needed]), pa.array([s.tobytes() for s in sketch[needed]], pa.binary())], ["node", "id", "component", "sketch"])
 
-    return _ordered(rows, "before").mapInArrow(run, "node long, id long, component long, sketch binary").distinct()
+    return _ordered(rows, "before").mapInArrow(lean(run), "node long, id long, component long, sketch binary").distinct()
 
 
 def gathered(rest: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -386,7 +386,7 @@ def confirm_members(rows: DataFrame) -> DataFrame:
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*links)], ["a", "b"])
 
-    return _ordered(rows, "items").mapInArrow(run, "a long, b long").distinct()
+    return _ordered(rows, "items").mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketmill.llm.memo import Memo
-from marketmill.llm.shared import prepare
+from marketmill.llm.shared import lean, prepare, small, table
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -209,39 +209,34 @@ class Pieces:
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
-_LOADED: dict[str, Pieces] = {}
-
-
 def pieces(model_file: str) -> Pieces:
     """The vocabulary, loaded once per Python worker."""
-    if model_file not in _LOADED:
-        _LOADED[model_file] = Pieces(model_file)
-    return _LOADED[model_file]
+    return table(model_file, Pieces)
 
 
-def _appended(docs: DataFrame, source: str, columns: dict[str, T.DataType], make) -> DataFrame:
+def _appended(docs: DataFrame, source: str, columns: dict[str, T.DataType], make, path: str) -> DataFrame:
     """docs with more last columns, made from one of its columns batch by batch."""
     place = docs.columns.index(source)
     fields = [T.StructField(f"c{i}", kind) for i, kind in enumerate([f.dataType for f in docs.schema.fields] + list(columns.values()))]
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             yield pa.RecordBatch.from_arrays([*batch.columns, *make(batch.column(place))], names=[f.name for f in fields])
 
     prepare(docs.sparkSession)
-    return docs.mapInArrow(run, T.StructType(fields)).toDF(*docs.columns, *columns)
+    return docs.mapInArrow(lean(run, path), T.StructType(fields)).toDF(*docs.columns, *columns)
 
 
 def encode_column(docs: DataFrame, text_col: str = "text", ids_col: str = "piece_ids", model_file: str | None = None) -> DataFrame:
     """docs with a last column of ids (little-endian unsigned 32-bit integers)."""
     path = model_file or public_model()
-    return _appended(docs, text_col, {ids_col: T.BinaryType()}, lambda texts: [pa.array([pieces(path).encode(t.as_py()) for t in texts], pa.binary())])
+    return _appended(docs, text_col, {ids_col: T.BinaryType()}, lambda texts: [pa.array([pieces(path).encode(t.as_py()) for t in texts], pa.binary())], path)
 
 
 def decode_column(docs: DataFrame, ids_col: str = "piece_ids", text_col: str = "decoded", model_file: str | None = None) -> DataFrame:
     """docs with a last column of the texts of its ids."""
     path = model_file or public_model()
-    return _appended(docs, ids_col, {text_col: T.StringType()}, lambda ids: [pa.array([pieces(path).decode(x.as_py() or b"") for x in ids], pa.string())])
+    return _appended(docs, ids_col, {text_col: T.StringType()}, lambda ids: [pa.array([pieces(path).decode(x.as_py() or b"") for x in ids], pa.string())], path)
 
 
 def encode_checked(docs: DataFrame, text_col: str = "text", ids_col: str = "piece_ids", check_col: str = "round_trip", model_file: str | None = None) -> DataFrame:
@@ -256,7 +251,7 @@ def encode_checked(docs: DataFrame, text_col: str = "text", ids_col: str = "piec
             same.append(model.decode(ids[-1]) == text)
         return [pa.array(ids, pa.binary()), pa.array(same, pa.bool_())]
 
-    return _appended(docs, text_col, {ids_col: T.BinaryType(), check_col: T.BooleanType()}, make)
+    return _appended(docs, text_col, {ids_col: T.BinaryType(), check_col: T.BooleanType()}, make, path)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_file: str | None = None) -> DataFrame:
@@ -265,7 +260,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod
     names = ["id", "n_ids", "ids_crc32", "text_crc32", "round_trip"]
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             model = pieces(path)
             rows = []
             for id_, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -278,7 +273,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod
 
     prepare(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(run, "id long, n_ids long, ids_crc32 long, text_crc32 long, round_trip boolean")
+    return texts.mapInArrow(lean(run, path), "id long, n_ids long, ids_crc32 long, text_crc32 long, round_trip boolean")
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
