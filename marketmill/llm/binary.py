@@ -48,6 +48,8 @@ DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
 #: Words of a generation of each of the encoder's two memos.
 MEMO = 300_000
+#: Words of letters that make one text for the tokenizer.
+TOGETHER = 64
 #: Bytes of the texts whose words are looked up together.
 BLOCK_BYTES = 4 << 20
 #: Documents that one task orders and writes come from one range of ids; shards end at this size.
@@ -87,46 +89,46 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.core = Memo(self._encode, MEMO)
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.core = Memo(self._plain, MEMO)
         self.memo = Memo(self._words, MEMO)
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        out: dict[str, bytes] = {}
-        plain = [w for w in words if _LETTERS.fullmatch(w)]
-        parts = [plain[k:k + 64] for k in range(0, len(plain), 64)]
+    def _each(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only, many of them as one text."""
+        out: list[bytes] = []
+        parts = [words[k:k + TOGETHER] for k in range(0, len(words), TOGETHER)]
         for some, encoded in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
             ids = np.array(encoded.ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(some):
-                raw, at = ids.tobytes(), 0
-                for w, cut in zip(some, cuts.tolist()):
-                    out[w] = raw[4 * at:4 * cut]
-                    at = cut
-        rest = [w for w in words if w not in out]
-        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            out[w] = np.array(e.ids, "<u4").tobytes()
-        return [out[w] for w in words]
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *cuts], cuts)] if len(cuts) == len(some) else self._each(some)
+        return out
 
     def _words(self, words: list[bytes]) -> list[bytes]:
         """Lower-case letters and a full stop or comma behind letters are units of their own."""
-        texts = [w.decode() for w in words]
-        heads, tails = [], []
-        for t in texts:
-            tail = t[-1] if t[-1] in ".," and _LETTERS.fullmatch(t, 0, len(t) - 1) else ""
+        text = b" ".join(words).decode()
+        plain, tails, rest = [], [], []
+        for t, low in zip(text.split(" "), text.lower().split(" ")):
+            tail = t[-1] if t[-1] in ".," else ""
             head = t[:-1] if tail else t
-            heads.append(head.lower() if tail or _LETTERS.fullmatch(head) else head)
-            tails.append(tail)
-        found = self.core.look_up(heads)
-        marks = {t: self._encode([t])[0] for t in set(tails) if t}
-        return [ids + marks[t] if t else ids for ids, t in zip(found, tails)]
+            if head.isalpha() and (head.isascii() or _LETTERS.fullmatch(head)):
+                plain.append(low[:-1] if tail else low)
+                tails.append(tail)
+            else:
+                rest.append(t)
+                tails.append(None)
+        marks = dict(zip(("", ".", ","), (b"", *self._each([".", ","]))))
+        found, others = iter(self.core.look_up(plain)), iter(self._each(rest))
+        return [next(others) if tail is None else next(found) + marks[tail] if tail else next(found) for tail in tails]
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian 32-bit ids of UTF-8 texts. Each different word of the texts is looked up once, and what the memo lacks is encoded together."""
-        special = [any(s.encode() in t for s in self.special) for t in texts]
+        """Little-endian 32-bit ids of UTF-8 texts. Words that the memo lacks are encoded together, each once."""
+        special = [any(s in t for s in self.special) for t in texts]
         cut = [[] if odd else t.split() for t, odd in zip(texts, special)]
-        distinct = list(dict.fromkeys(chain.from_iterable(cut)))
-        ids = dict(zip(distinct, self.memo.look_up(distinct))).__getitem__
+        ids = self.memo.covering(cut).__getitem__
         return [
             np.array(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, "<u4").tobytes() if odd else b"".join(map(ids, words))
             for t, words, odd in zip(texts, cut, special)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import filterfalse
 
 SIZE = 150_000
 
@@ -29,3 +30,18 @@ class Memo:
             if len(self.young) > self.size:
                 self.young, self.old = {}, self.young
         return found
+
+    def covering(self, lists: list[list]) -> dict:
+        """The results of all words of the lists, by word, for use before the next look-up."""
+        missing: set = set()
+        for words in lists:
+            missing.update(filterfalse(self.young.__contains__, words))
+        known = {w: self.old[w] for w in missing if w in self.old}
+        fresh = list(missing.difference(known))
+        here = self.young
+        here.update(known)
+        if fresh:
+            here.update(zip(fresh, self.compute(fresh)))
+        if len(here) > self.size:
+            self.young, self.old = {}, here
+        return here
