@@ -24,13 +24,15 @@ dictionary-less, shard-less archive and no rows back.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import struct
 import zlib
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,10 +48,11 @@ SAMPLE_IDS = 2000
 OVERSAMPLE = 4
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
-#: Words of a generation of each of the encoder's two memos.
-MEMO = 300_000
-#: Words of letters that make one text for the tokenizer.
+#: Words of a generation of the encoder's memo.
+MEMO = 500_000
+#: Words that make one text for the tokenizer, and what stands between them where they are not of letters only.
 TOGETHER = 64
+BAR = "|"
 #: Bytes of the texts whose words are looked up together.
 BLOCK_BYTES = 4 << 20
 #: Documents that one task orders and writes come from one range of ids; shards end at this size.
@@ -70,68 +73,76 @@ def public_tokenizer(name: str = TOKENIZER) -> str:
 
 
 #: Letters of Latin-1, which are in normal form and have lower-case letters of Latin-1.
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+_IS_LETTERS = re.compile(_LETTERS).fullmatch
 
 
 class WordEncoder:
     """Encodes texts with a tokenizer that drops white space and takes each word on its own, each different word once.
 
-    A text is cut at ASCII spaces. Words of letters only, in normal form, are
-    one unit for the tokenizer whatever stands around them: missing ones are
-    encoded together in one text, and told apart by the mark of a word's end.
-    All other words are encoded one by one.
+    Texts are cut at ASCII spaces. Words of letters only, in normal form, are
+    one unit for the tokenizer whatever stands around them: they are looked up
+    in lower case, without a full stop or comma behind them. Words that the
+    memo lacks are encoded together in one text. Those of letters are told
+    apart by the mark of a word's end, others by a bar between them.
     """
 
     def __init__(self, path: str):
+        # A task has one core: the library's threads would take more time than they save.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        bar = self.tokenizer.encode(BAR, add_special_tokens=False).ids
+        self.bars = np.zeros(len(self.ends), bool)
+        self.bars[bar if len(bar) == 1 else []] = True
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.core = Memo(self._plain, MEMO)
-        self.memo = Memo(self._words, MEMO)
+        self.marks = [pa.scalar(x, pa.large_binary()) for x in (*self._each([".", ","]), b"")]
+        self.memo = Memo(self._missing, MEMO)
 
     def _each(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _plain(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters only, many of them as one text."""
+    def _together(self, words: list[str], between: str, marks: np.ndarray, with_mark: int) -> list[bytes]:
+        """Ids of words, many of them as one text: each word's end with its mark (with_mark 1) or before it. Words that bring marks of their own are encoded one by one."""
         out: list[bytes] = []
         parts = [words[k:k + TOGETHER] for k in range(0, len(words), TOGETHER)]
-        for some, encoded in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
+        for some, encoded in zip(parts, self.tokenizer.encode_batch_fast([between.join([*p, ""]) for p in parts], add_special_tokens=False)):
             ids = np.array(encoded.ids, "<u4")
-            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            raw = ids.tobytes()
-            out += [raw[a:b] for a, b in zip([0, *cuts], cuts)] if len(cuts) == len(some) else self._each(some)
+            found = np.flatnonzero(marks[ids])
+            raw, starts, ends = ids.tobytes(), [0, *(4 * (found + 1)).tolist()], (4 * (found + with_mark)).tolist()
+            out += [raw[a:b] for a, b in zip(starts, ends)] if len(ends) == len(some) else self._each(some)
         return out
 
-    def _words(self, words: list[bytes]) -> list[bytes]:
-        """Lower-case letters and a full stop or comma behind letters are units of their own."""
-        text = b" ".join(words).decode()
-        plain, tails, rest = [], [], []
-        for t, low in zip(text.split(" "), text.lower().split(" ")):
-            tail = t[-1] if t[-1] in ".," else ""
-            head = t[:-1] if tail else t
-            if head.isalpha() and (head.isascii() or _LETTERS.fullmatch(head)):
-                plain.append(low[:-1] if tail else low)
-                tails.append(tail)
-            else:
-                rest.append(t)
-                tails.append(None)
-        marks = dict(zip(("", ".", ","), (b"", *self._each([".", ","]))))
-        found, others = iter(self.core.look_up(plain)), iter(self._each(rest))
-        return [next(others) if tail is None else next(found) + marks[tail] if tail else next(found) for tail in tails]
+    def _missing(self, words: list[str]) -> list[bytes]:
+        letters = [w for w in words if _IS_LETTERS(w)]
+        barred = [w for w in words if BAR in w]
+        rest = [w for w in words if BAR not in w and not _IS_LETTERS(w)]
+        ids = dict(zip(letters, self._together(letters, " ", self.ends, 1)))
+        ids.update(zip(rest, self._together(rest, f" {BAR} ", self.bars, 0)))
+        ids.update(zip(barred, self._each(barred)))
+        return [ids[w] for w in words]
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of UTF-8 texts. Words that the memo lacks are encoded together, each once."""
         special = [any(s in t for s in self.special) for t in texts]
-        cut = [[] if odd else t.split() for t, odd in zip(texts, special)]
-        ids = self.memo.covering(cut).__getitem__
+        cut = pc.ascii_split_whitespace(pa.array([b"" if odd else t for t, odd in zip(texts, special)], pa.large_binary()).cast(pa.large_string()))
+        coded = cut.values.dictionary_encode()
+        words = coded.dictionary
+        plain = pc.match_substring_regex(words, f"^{_LETTERS}[.,]?$")
+        cores = pc.if_else(plain, pc.ascii_rtrim(pc.utf8_lower(words), ".,"), words).to_numpy(zero_copy_only=False).tolist()
+        heads = pa.array(list(map(self.memo.covering([cores]).__getitem__, cores)), pa.large_binary())
+        tails = pc.case_when(pc.make_struct(*(pc.and_(plain, pc.ends_with(words, x)) for x in ".,")), *self.marks)
+        ids = pc.binary_join_element_wise(heads, tails, pa.scalar(b"", pa.large_binary())).take(coded.indices)
+        _, places, data = ids.buffers()
+        bounds = np.frombuffer(places, np.int64)[cut.offsets.to_numpy()].tolist()
+        data = memoryview(data or b"")
         return [
-            np.array(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, "<u4").tobytes() if odd else b"".join(map(ids, words))
-            for t, words, odd in zip(texts, cut, special)
+            np.array(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids, "<u4").tobytes() if odd else bytes(data[a:b])
+            for t, odd, a, b in zip(texts, special, bounds, bounds[1:])
         ]
 
     def encode(self, text: bytes) -> bytes:
