@@ -169,11 +169,11 @@ def completeness(
     # Bits are those of list members; a day on which none is present has a bitmap without bits.
     present = P.bitmaps(ids.join(members, ["market", "stock_id"], "left"), "market", "dt")
     size = members.agg(F.count(F.lit(1)).alias("n")).scalar()
-    per_day = P.counted(present, "dt", name="present") if official_only else ids.groupBy("dt").agg(F.count_distinct("stock_id").alias("present"))
+    per_day = P.counted(present, "market", "dt", name="present") if official_only else ids.groupBy("market", "dt").agg(F.count_distinct("stock_id").alias("present"))
     judged = (
         requested.select("dt").distinct().join(per_day, "dt", "left")
         .select(
-            "dt",
+            "market", "dt",
             F.col("present").isNotNull().alias("landed"),
             F.coalesce("present", F.lit(0)).cast("bigint").alias("present"),
             size.alias("official_count"),
@@ -181,6 +181,7 @@ def completeness(
         .withColumn("ratio", F.when(F.col("official_count") > 0, F.col("present") / F.col("official_count")).otherwise(1.0))
         .withColumn("passed", ~F.col("landed") | (F.col("ratio") >= min_ratio))
     )
-    failed = judged.where(~F.col("passed")).select(F.lit(market).alias("market"), "dt")
+    # A day that fails has rows, and its market from them: with a literal here Spark turns the join by market into a nested loop.
+    failed = judged.where(~F.col("passed")).select("market", "dt")
     missing = P.absent_ids(P.listed_bitmaps(members, failed, since_listing=False), present, members).select("dt", F.col("stock_id").alias("missing_id"))
-    return judged.join(missing, "dt", "left")
+    return judged.drop("market").join(missing, "dt", "left")

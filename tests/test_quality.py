@@ -118,6 +118,11 @@ def test_no_nested_loops_and_no_python(spark, name):
         assert bad not in plan
 
 
+def test_completeness_of_all_ids_joins_by_market(spark):
+    plan = plan_of(catalog.QUERIES["completeness_a"](spark, SF))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_indicators_share_one_exchange(spark):
     plan = plan_of(catalog.QUERIES["fact_stock_daily"](spark, SF))
     assert plan.count("Exchange hashpartitioning(stock_id") == 1
