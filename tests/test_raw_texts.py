@@ -54,3 +54,12 @@ def test_explode_flatten(spark, folder):
     assert got["6"] == [("10.00", "3,000", "20.00"), ("10.00", "3,000", None)]
     assert got["8"] == [(None, None, None)]
     assert len(rows) == 7
+
+
+def test_clean_quotes_b(spark, folder):
+    rows = {r.stock_id: r for r in answer(spark, "clean_quotes_b", folder)}
+    assert len(rows) == len(ROWS)
+    assert (rows["2"].close_price, rows["2"].open_price, rows["2"].issued_shares, rows["2"].change_amount) == (1235.5, 1234.5, 5000, 5.0)
+    assert (rows["3"].close_price, rows["3"].trade_volume, rows["3"].high_price, rows["3"].change_amount) == (None, None, 1239.5, -5.0)
+    assert (rows["4"].close_price, rows["4"].trade_volume) == (1235.5, 3000)
+    assert (rows["8"].close_price, rows["8"].trade_volume, rows["8"].dt) == (None, None, "1998-07-01")
