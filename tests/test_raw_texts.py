@@ -63,3 +63,9 @@ def test_clean_quotes_b(spark, folder):
     assert (rows["3"].close_price, rows["3"].trade_volume, rows["3"].high_price, rows["3"].change_amount) == (None, None, 1239.5, -5.0)
     assert (rows["4"].close_price, rows["4"].trade_volume) == (1235.5, 3000)
     assert (rows["8"].close_price, rows["8"].trade_volume, rows["8"].dt) == (None, None, "1998-07-01")
+
+
+def test_unify_b(spark, folder):
+    rows = {r.stock_id: r for r in answer(spark, "unify_b", folder)}
+    assert len(rows) == len(ROWS) and {r.market for r in rows.values()} == {"TPEx"}
+    assert (rows["2"].close_price, rows["2"].average_price, rows["2"].pe_ratio) == (1235.5, 1236.5, None)
