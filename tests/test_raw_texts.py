@@ -69,3 +69,7 @@ def test_unify_b(spark, folder):
     rows = {r.stock_id: r for r in answer(spark, "unify_b", folder)}
     assert len(rows) == len(ROWS) and {r.market for r in rows.values()} == {"TPEx"}
     assert (rows["2"].close_price, rows["2"].average_price, rows["2"].pe_ratio) == (1235.5, 1236.5, None)
+
+
+def test_count_by_market(spark, folder):
+    assert {tuple(r) for r in answer(spark, "count_by_market", folder)} == {("TWSE", len(ROWS)), ("TPEx", len(ROWS))}
