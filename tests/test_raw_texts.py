@@ -73,3 +73,10 @@ def test_unify_b(spark, folder):
 
 def test_count_by_market(spark, folder):
     assert {tuple(r) for r in answer(spark, "count_by_market", folder)} == {("TWSE", len(ROWS)), ("TPEx", len(ROWS))}
+
+
+def test_merge_three_sources(spark, folder):
+    rows = answer(spark, "merge_three_sources", folder)
+    known = [r for r in rows if r.stock_id == "2"]
+    # From exchange A's text, and from the history, whose prices are a third.
+    assert sorted(r.open_price for r in known) == [411.5, 1234.5]
