@@ -75,6 +75,11 @@ def test_count_by_market(spark, folder):
     assert {tuple(r) for r in answer(spark, "count_by_market", folder)} == {("TWSE", len(ROWS)), ("TPEx", len(ROWS))}
 
 
+def test_merge_markets(spark, folder):
+    rows = {r.stock_id: r.market for r in answer(spark, "merge_markets", folder)}
+    assert rows == {"2": "TWSE", "3": "TPEx", "4": "TWSE", "5": "TPEx", "6": "TWSE"}
+
+
 def test_merge_three_sources(spark, folder):
     rows = answer(spark, "merge_three_sources", folder)
     known = [r for r in rows if r.stock_id == "2"]
